@@ -54,6 +54,9 @@ class EraConfig:
     nonneg_supply_keeps_null: bool = False
     # what to do with intervals whose end precedes their start
     invalid: str = "quarantine"
+    # drop exact duplicate target rows (same id, key and interval) before
+    # packing; record ids are unique by contract, so this is off by default
+    dedupe_rows: bool = False
     # ingredient selection in the concept table
     vocabulary_column: str = "vocabulary_id"
     vocabulary_value: Any = DEFAULT_VOCABULARY_VALUE

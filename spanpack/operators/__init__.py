@@ -3,9 +3,14 @@
 from spanpack.operators.eras import (
     condition_era,
     condition_era_by_type,
+    condition_eras_by_type_from_target,
+    condition_eras_from_target,
     dose_era,
+    dose_eras_from_target,
     drug_era,
     drug_era_by_type,
+    drug_eras_by_type_from_target,
+    drug_eras_from_target,
 )
 from spanpack.operators.packing import (
     assign_era_end,
@@ -18,6 +23,7 @@ from spanpack.operators.packing import (
 from spanpack.operators.quality import (
     condition_quality_report,
     drug_quality_report,
+    duplicate_id_report,
     quality_report,
     quarantine,
     reconcile_counts,
@@ -32,6 +38,7 @@ from spanpack.operators.targets import (
     ingredient_map,
     normalize_condition_end,
     normalize_drug_end,
+    prepared_ingredient_map,
     rollup_to_ingredient,
 )
 
@@ -39,6 +46,13 @@ __all__ = [
     "assign_era_end",
     "condition_era",
     "condition_era_by_type",
+    "condition_eras_by_type_from_target",
+    "condition_eras_from_target",
+    "dose_eras_from_target",
+    "drug_eras_by_type_from_target",
+    "drug_eras_from_target",
+    "duplicate_id_report",
+    "prepared_ingredient_map",
     "condition_quality_report",
     "condition_target",
     "dose_era",

@@ -29,10 +29,9 @@ from spanpack.operators.targets import (
 GAP_METHODS = ("stockpile", "covered", "both")
 
 
-def condition_era(condition_occurrence: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
-    """E1: one row per (person, condition, run): first start, run end, count."""
-    t = condition_target(condition_occurrence, cfg)
-    e = summarize_eras(t, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days)
+def condition_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
+    """E1 over an already built :func:`condition_target`."""
+    e = summarize_eras(target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days)
     return e.select(
         "person_id",
         "condition_concept_id",
@@ -42,15 +41,10 @@ def condition_era(condition_occurrence: DataFrame, cfg: EraConfig = EraConfig())
     )
 
 
-def condition_era_by_type(
-    condition_occurrence: DataFrame, cfg: EraConfig = EraConfig()
-) -> DataFrame:
-    """E2: runs as in E1, reported per condition type. The type is not a
-    packing key: rows of one run share the run's end, and the start is the
-    earliest start of that type. A NULL type is its own group."""
-    t = condition_target(condition_occurrence, cfg, with_type=True)
+def condition_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
+    """E2 over a :func:`condition_target` built with ``with_type=True``."""
     e = summarize_eras(
-        t, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days, split="condition_type_concept_id"
+        target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days, split="condition_type_concept_id"
     )
     return e.select(
         "person_id",
@@ -62,24 +56,11 @@ def condition_era_by_type(
     )
 
 
-def drug_era(
-    drug_exposure: DataFrame,
-    concept_ancestor: DataFrame,
-    concept: DataFrame,
-    cfg: EraConfig = EraConfig(),
-    gap: str = "stockpile",
-) -> DataFrame:
-    """E3/E4: ingredient-level drug eras with ``gap_days``.
-
-    ``gap="stockpile"``: era length minus summed exposure lengths (negative
-    when supplies overlap). ``gap="covered"``: era length minus the days
-    covered by at least one exposure. ``gap="both"`` returns both as
-    ``gap_days_stockpile`` and ``gap_days_covered`` from the same single pass.
-    """
+def drug_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig(), gap: str = "stockpile") -> DataFrame:
+    """E3/E4 over an already built :func:`drug_target`."""
     if gap not in GAP_METHODS:
         raise ValueError(f"gap must be one of {GAP_METHODS}")
-    t = drug_target(drug_exposure, concept_ancestor, concept, cfg)
-    e = summarize_eras(t, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days)
+    e = summarize_eras(target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days)
     stock = gap_days_stockpile("era_start", "era_end", "sum_days")
     cover = gap_days_covered("era_start", "era_end", "covered_days")
     gaps = {
@@ -97,16 +78,10 @@ def drug_era(
     )
 
 
-def drug_era_by_type(
-    drug_exposure: DataFrame,
-    concept_ancestor: DataFrame,
-    concept: DataFrame,
-    cfg: EraConfig = EraConfig(),
-) -> DataFrame:
-    """E5: drug eras reported per drug type (no gap days), as E2 for drugs."""
-    t = drug_target(drug_exposure, concept_ancestor, concept, cfg, extra=["drug_type_concept_id"])
+def drug_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
+    """E5 over a :func:`drug_target` that carries ``drug_type_concept_id``."""
     e = summarize_eras(
-        t, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days, split="drug_type_concept_id"
+        target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days, split="drug_type_concept_id"
     )
     return e.select(
         "person_id",
@@ -118,6 +93,65 @@ def drug_era_by_type(
     )
 
 
+def dose_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
+    """E6 over an already built :func:`dose_target`."""
+    e = summarize_eras(target, DOSE_KEYS, DRUG_START, DRUG_END, cfg.grace_days)
+    return e.select(
+        "person_id",
+        F.col("ingredient_concept_id").alias("drug_concept_id"),
+        "unit_concept_id",
+        "dose_value",
+        F.col("era_start").alias("dose_era_start_date"),
+        F.col("era_end").alias("dose_era_end_date"),
+    )
+
+
+def condition_era(condition_occurrence: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
+    """E1: one row per (person, condition, run): first start, run end, count."""
+    return condition_eras_from_target(condition_target(condition_occurrence, cfg), cfg)
+
+
+def condition_era_by_type(
+    condition_occurrence: DataFrame, cfg: EraConfig = EraConfig()
+) -> DataFrame:
+    """E2: runs as in E1, reported per condition type. The type is not a
+    packing key: rows of one run share the run's end, and the start is the
+    earliest start of that type. A NULL type is its own group."""
+    t = condition_target(condition_occurrence, cfg, with_type=True)
+    return condition_eras_by_type_from_target(t, cfg)
+
+
+def drug_era(
+    drug_exposure: DataFrame,
+    concept_ancestor: DataFrame,
+    concept: DataFrame,
+    cfg: EraConfig = EraConfig(),
+    gap: str = "stockpile",
+) -> DataFrame:
+    """E3/E4: ingredient-level drug eras with ``gap_days``.
+
+    ``gap="stockpile"``: era length minus summed exposure lengths (negative
+    when supplies overlap). ``gap="covered"``: era length minus the days
+    covered by at least one exposure. ``gap="both"`` returns both as
+    ``gap_days_stockpile`` and ``gap_days_covered`` from the same single pass.
+    """
+    if gap not in GAP_METHODS:
+        raise ValueError(f"gap must be one of {GAP_METHODS}")
+    t = drug_target(drug_exposure, concept_ancestor, concept, cfg)
+    return drug_eras_from_target(t, cfg, gap)
+
+
+def drug_era_by_type(
+    drug_exposure: DataFrame,
+    concept_ancestor: DataFrame,
+    concept: DataFrame,
+    cfg: EraConfig = EraConfig(),
+) -> DataFrame:
+    """E5: drug eras reported per drug type (no gap days), as E2 for drugs."""
+    t = drug_target(drug_exposure, concept_ancestor, concept, cfg, extra=["drug_type_concept_id"])
+    return drug_eras_by_type_from_target(t, cfg)
+
+
 def dose_era(
     drug_exposure: DataFrame,
     concept_ancestor: DataFrame,
@@ -127,13 +161,4 @@ def dose_era(
     """E6: runs per (person, ingredient, unit, dose). A change of dose or unit
     starts a separate run; runs of different doses may overlap in time.
     Records with a NULL unit or dose form no era."""
-    t = dose_target(drug_exposure, concept_ancestor, concept, cfg)
-    e = summarize_eras(t, DOSE_KEYS, DRUG_START, DRUG_END, cfg.grace_days)
-    return e.select(
-        "person_id",
-        F.col("ingredient_concept_id").alias("drug_concept_id"),
-        "unit_concept_id",
-        "dose_value",
-        F.col("era_start").alias("dose_era_start_date"),
-        F.col("era_end").alias("dose_era_end_date"),
-    )
+    return dose_eras_from_target(dose_target(drug_exposure, concept_ancestor, concept, cfg), cfg)

@@ -129,3 +129,15 @@ def reconcile_counts(target: DataFrame, era: DataFrame, count_col: str) -> DataF
     return left.crossJoin(right).withColumn(
         "matches", F.col("target_rows") == F.col("era_count_sum")
     )
+
+
+def duplicate_id_report(df: DataFrame, id_cols: list[str] | tuple[str, ...]) -> DataFrame:
+    """One row: how many ids occur more than once and how many surplus rows
+    they bring. Record ids must be unique for era counts to be exact (see
+    ``EraConfig.dedupe_rows``). Partial aggregation collapses a repeated id
+    on the map side, so a hot id does not overload one task."""
+    per_id = df.groupBy(*id_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return per_id.agg(
+        F.count(F.lit(1)).alias("duplicate_ids"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("surplus_rows"),
+    )

@@ -113,19 +113,32 @@ def ingredient_map(
     return pairs.select("descendant_concept_id", "ingredient_concept_id").distinct()
 
 
+def prepared_ingredient_map(
+    concept_ancestor: DataFrame, concept: DataFrame, cfg: EraConfig = EraConfig()
+) -> tuple[DataFrame, bool]:
+    """The ingredient map, broadcast-hinted when its checked size allows;
+    returns (map, is_broadcast)."""
+    return sized_broadcast(
+        ingredient_map(concept_ancestor, concept, cfg), cfg.broadcast_max_rows, "ingredient map"
+    )
+
+
 def rollup_to_ingredient(
     exposure: DataFrame,
-    concept_ancestor: DataFrame,
-    concept: DataFrame,
+    concept_ancestor: DataFrame | None = None,
+    concept: DataFrame | None = None,
     cfg: EraConfig = EraConfig(),
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each drug by every ingredient ancestor (T3): adds
     ``ingredient_concept_id``; a combination drug fans out to one row per
-    ingredient and a drug without an ingredient ancestor disappears."""
+    ingredient and a drug without an ingredient ancestor disappears.
+
+    ``mapping`` (from :func:`prepared_ingredient_map`) skips rebuilding and
+    re-checking the map when several targets share it."""
     require_columns(exposure, ["drug_concept_id"], "drug_exposure")
-    mapping, _ = sized_broadcast(
-        ingredient_map(concept_ancestor, concept, cfg), cfg.broadcast_max_rows, "ingredient map"
-    )
+    if mapping is None:
+        mapping, _ = prepared_ingredient_map(concept_ancestor, concept, cfg)
     joined = exposure.join(mapping, F.col("drug_concept_id") == F.col("descendant_concept_id"))
     return joined.drop("descendant_concept_id")
 
@@ -159,7 +172,8 @@ def condition_target(
     if cfg.exclude_unmapped:
         df = filter_unmapped(df, "condition_concept_id", cfg.unmapped_id)
     df = normalize_condition_end(df, cfg.default_days)
-    return enforce_valid(df, CONDITION_KEYS, COND_START, COND_END, cfg.invalid)
+    df = enforce_valid(df, CONDITION_KEYS, COND_START, COND_END, cfg.invalid)
+    return df.distinct() if cfg.dedupe_rows else df
 
 
 def _drug_source(drug_exposure: DataFrame, cfg: EraConfig, extra: list[str]) -> DataFrame:
@@ -175,27 +189,30 @@ def _drug_source(drug_exposure: DataFrame, cfg: EraConfig, extra: list[str]) ->
 
 def drug_target(
     drug_exposure: DataFrame,
-    concept_ancestor: DataFrame,
-    concept: DataFrame,
+    concept_ancestor: DataFrame | None,
+    concept: DataFrame | None,
     cfg: EraConfig = EraConfig(),
     extra: list[str] | tuple[str, ...] = (),
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
     """Clean (exposure x ingredient) intervals: id, person, ingredient,
     [extra], start, end, days_supply."""
     df = _drug_source(drug_exposure, cfg, list(extra))
     df = enforce_valid(df, ["person_id"], DRUG_START, DRUG_END, cfg.invalid)
-    df = rollup_to_ingredient(df, concept_ancestor, concept, cfg)
-    return df.select(
+    df = rollup_to_ingredient(df, concept_ancestor, concept, cfg, mapping=mapping)
+    df = df.select(
         "drug_exposure_id", "person_id", "ingredient_concept_id", *extra,
         DRUG_START, DRUG_END, "days_supply",
     )
+    return df.distinct() if cfg.dedupe_rows else df
 
 
 def dose_target(
     drug_exposure: DataFrame,
-    concept_ancestor: DataFrame,
-    concept: DataFrame,
+    concept_ancestor: DataFrame | None,
+    concept: DataFrame | None,
     cfg: EraConfig = EraConfig(),
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`drug_target` with ``unit_concept_id`` and ``dose_value``.
 
@@ -204,7 +221,7 @@ def dose_target(
     """
     t = drug_target(
         drug_exposure, concept_ancestor, concept, cfg,
-        extra=["dose_unit_concept_id", "effective_drug_dose"],
+        extra=["dose_unit_concept_id", "effective_drug_dose"], mapping=mapping,
     )
     return t.withColumnRenamed("dose_unit_concept_id", "unit_concept_id").withColumnRenamed(
         "effective_drug_dose", "dose_value"

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The scripts this engine re-expresses are batch jobs that recompute whole era
+tables (truncate and insert); they define no streams, watermarks, late data
+or incremental state, so there is no streaming operator to reproduce. An era
+depends only on one person's records, so an incremental refresh per changed
+person is possible later, but it is not part of the required behaviour and is
+not built.
+"""
