@@ -47,7 +47,10 @@ def _tree(text: str) -> list[str]:
         if not line.strip():
             break
         out.append(line)
-    return out
+    # after execution AQE prints the final and the initial plan; count the
+    # initial one so the numbers do not depend on whether the query ran
+    initial = [i for i, line in enumerate(out) if "== Initial Plan ==" in line]
+    return out[initial[0] + 1:] if initial else out
 
 
 def operator_counts(df: DataFrame) -> Counter:

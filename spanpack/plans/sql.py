@@ -1,0 +1,199 @@
+"""The era builders as Spark SQL text, for teams that run SQL scripts.
+
+``era_sql(output, cfg)`` returns one parameterised statement; table names are
+bound through ``IDENTIFIER(:name)`` and numbers/literals through named
+parameter markers, so the same text runs against any schema:
+
+    spark.sql(era_sql("drug_era"), args=sql_args(TableNames(cdm_schema="cdm")))
+
+or simply ``run_era_sql(spark, "drug_era")``. The statements follow the
+DataFrame plan exactly (day-level partial aggregate, one window over day
+rows, aggregate per run), so they compile to the same physical plan and give
+the same rows. The ingredient map is broadcast only when
+:func:`run_era_sql` has checked its size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from spanpack.config import EraConfig, TableNames
+
+OUTPUTS = (
+    "condition_era",
+    "condition_era_by_type",
+    "drug_era",
+    "drug_era_covered",
+    "drug_era_both_gaps",
+    "drug_era_by_type",
+    "dose_era",
+)
+
+_COND_TARGET = """
+src AS (
+  SELECT person_id, condition_concept_id, condition_type_concept_id,
+         CAST(condition_start_date AS DATE) AS s,
+         COALESCE(CAST(condition_end_date AS DATE),
+                  date_add(CAST(condition_start_date AS DATE), :default_days)) AS e
+  FROM IDENTIFIER(:condition_occurrence)
+  {where}),
+target AS (
+  SELECT * FROM src
+  WHERE person_id IS NOT NULL AND condition_concept_id IS NOT NULL AND s IS NOT NULL AND e >= s)"""
+
+_DRUG_TARGET = """
+ing AS (
+  SELECT concept_id FROM IDENTIFIER(:concept)
+  WHERE IDENTIFIER(:vocabulary_column) = :vocabulary_value
+    AND IDENTIFIER(:class_column) = :class_value),
+imap AS (
+  SELECT DISTINCT a.descendant_concept_id, a.ancestor_concept_id AS ingredient_concept_id
+  FROM IDENTIFIER(:concept_ancestor) a JOIN ing ON a.ancestor_concept_id = ing.concept_id),
+src AS (
+  SELECT person_id, drug_concept_id, drug_type_concept_id,
+         dose_unit_concept_id AS unit_concept_id, effective_drug_dose AS dose_value,
+         CAST(drug_exposure_start_date AS DATE) AS s,
+         COALESCE(CAST(drug_exposure_end_date AS DATE),
+                  CASE WHEN days_supply <> 0
+                       THEN date_add(CAST(drug_exposure_start_date AS DATE), days_supply) END,
+                  date_add(CAST(drug_exposure_start_date AS DATE), :default_days)) AS e
+  FROM IDENTIFIER(:drug_exposure)
+  {where}),
+target AS (
+  SELECT {hint} src.*, m.ingredient_concept_id
+  FROM src JOIN imap m ON src.drug_concept_id = m.descendant_concept_id
+  WHERE src.person_id IS NOT NULL AND src.s IS NOT NULL AND src.e >= src.s)"""
+
+_PACK = """
+days AS (
+  SELECT {keys}, s{split_col}, COUNT(*) AS n, MAX(e) AS day_end,
+         SUM(CAST(datediff(e, s) AS BIGINT)) AS len
+  FROM target WHERE {not_null}
+  GROUP BY {keys}, s{split_col}),
+prev AS (
+  SELECT *, MAX(day_end) OVER (PARTITION BY {keys} ORDER BY s, day_end
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end
+  FROM days),
+runs AS (
+  SELECT *,
+         SUM(CASE WHEN prev_end IS NULL OR s > date_add(prev_end, :grace_days) THEN 1 ELSE 0 END)
+           OVER (PARTITION BY {keys} ORDER BY s, day_end
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS era_seq,
+         GREATEST(CAST(0 AS BIGINT),
+                  CAST(datediff(day_end, GREATEST(s, COALESCE(prev_end, s))) AS BIGINT)) AS covered
+  FROM prev)"""
+
+_ERAS = """
+eras AS (
+  SELECT {keys}, MIN(s) AS era_start, MAX(day_end) AS era_end, SUM(n) AS cnt,
+         SUM(len) AS sum_days, SUM(covered) AS covered_days
+  FROM runs GROUP BY {keys}, era_seq)"""
+
+_SPLIT_ERAS = """
+per AS (
+  SELECT {keys}, era_seq, {split}, MIN(s) AS era_start, MAX(day_end) AS split_end, SUM(n) AS cnt
+  FROM runs GROUP BY {keys}, era_seq, {split}),
+eras AS (
+  SELECT *, MAX(split_end) OVER (PARTITION BY {keys}, era_seq) AS era_end FROM per)"""
+
+_STOCK = "CAST(datediff(era_end, era_start) AS BIGINT) - sum_days"
+_COVER = "CAST(datediff(era_end, era_start) AS BIGINT) - covered_days"
+
+_SPECS = {
+    "condition_era": ("condition", ["person_id", "condition_concept_id"], None,
+                      "person_id, condition_concept_id, era_start AS condition_era_start_date, "
+                      "era_end AS condition_era_end_date, cnt AS condition_occurrence_count"),
+    "condition_era_by_type": ("condition", ["person_id", "condition_concept_id"], "condition_type_concept_id",
+                              "person_id, condition_concept_id, era_start AS condition_era_start_date, "
+                              "era_end AS condition_era_end_date, condition_type_concept_id, "
+                              "cnt AS condition_occurrence_count"),
+    "drug_era": ("drug", ["person_id", "ingredient_concept_id"], None,
+                 "person_id, ingredient_concept_id AS drug_concept_id, era_start AS drug_era_start_date, "
+                 f"era_end AS drug_era_end_date, cnt AS drug_exposure_count, {_STOCK} AS gap_days"),
+    "drug_era_covered": ("drug", ["person_id", "ingredient_concept_id"], None,
+                         "person_id, ingredient_concept_id AS drug_concept_id, era_start AS drug_era_start_date, "
+                         f"era_end AS drug_era_end_date, cnt AS drug_exposure_count, {_COVER} AS gap_days"),
+    "drug_era_both_gaps": ("drug", ["person_id", "ingredient_concept_id"], None,
+                           "person_id, ingredient_concept_id AS drug_concept_id, era_start AS drug_era_start_date, "
+                           "era_end AS drug_era_end_date, cnt AS drug_exposure_count, "
+                           f"{_STOCK} AS gap_days_stockpile, {_COVER} AS gap_days_covered"),
+    "drug_era_by_type": ("drug", ["person_id", "ingredient_concept_id"], "drug_type_concept_id",
+                         "person_id, ingredient_concept_id AS drug_concept_id, era_start AS drug_era_start_date, "
+                         "era_end AS drug_era_end_date, drug_type_concept_id, cnt AS drug_exposure_count"),
+    "dose_era": ("drug", ["person_id", "ingredient_concept_id", "unit_concept_id", "dose_value"], None,
+                 "person_id, ingredient_concept_id AS drug_concept_id, unit_concept_id, dose_value, "
+                 "era_start AS dose_era_start_date, era_end AS dose_era_end_date"),
+}
+
+
+def _filters(kind: str, cfg: EraConfig) -> str:
+    conds = []
+    concept = "condition_concept_id" if kind == "condition" else "drug_concept_id"
+    if cfg.exclude_unmapped:
+        conds.append(f"({concept} IS NULL OR {concept} <> :unmapped_id)")
+    if kind == "drug" and cfg.require_nonneg_supply:
+        conds.append("(days_supply >= 0 OR days_supply IS NULL)" if cfg.nonneg_supply_keeps_null
+                     else "days_supply >= 0")
+    return "WHERE " + " AND ".join(conds) if conds else ""
+
+
+def era_sql(output: str, cfg: EraConfig = EraConfig(), broadcast_map: bool = False) -> str:
+    """Spark SQL text of one era output (see ``OUTPUTS``)."""
+    if output not in _SPECS:
+        raise ValueError(f"unknown output {output!r}; expected one of {OUTPUTS}")
+    if cfg.invalid != "quarantine":
+        raise ValueError("the SQL text implements invalid='quarantine' only")
+    kind, keys, split, projection = _SPECS[output]
+    where = _filters(kind, cfg)
+    target = (
+        _COND_TARGET.format(where=where)
+        if kind == "condition"
+        else _DRUG_TARGET.format(where=where, hint="/*+ BROADCAST(m) */" if broadcast_map else "")
+    )
+    k = ", ".join(keys)
+    pack = _PACK.format(
+        keys=k,
+        split_col=f", {split}" if split else "",
+        not_null=" AND ".join(f"{c} IS NOT NULL" for c in keys),
+    )
+    eras = _SPLIT_ERAS.format(keys=k, split=split) if split else _ERAS.format(keys=k)
+    body = ",\n".join(p.strip("\n") for p in (target, pack, eras))
+    return f"WITH\n{body}\nSELECT {projection} FROM eras"
+
+
+def sql_args(tables: TableNames = TableNames(), cfg: EraConfig = EraConfig()) -> dict:
+    """Named parameters for :func:`era_sql` statements."""
+    return {
+        "condition_occurrence": tables.qualified("condition_occurrence"),
+        "drug_exposure": tables.qualified("drug_exposure"),
+        "concept_ancestor": tables.qualified("concept_ancestor"),
+        "concept": tables.qualified("concept"),
+        "vocabulary_column": cfg.vocabulary_column,
+        "vocabulary_value": cfg.vocabulary_value,
+        "class_column": cfg.class_column,
+        "class_value": cfg.class_value,
+        "grace_days": cfg.grace_days,
+        "default_days": cfg.default_days,
+        "unmapped_id": cfg.unmapped_id,
+    }
+
+
+def run_era_sql(
+    spark: SparkSession,
+    output: str,
+    tables: TableNames = TableNames(),
+    cfg: EraConfig = EraConfig(),
+) -> DataFrame:
+    """Run :func:`era_sql` against catalog tables; the ingredient map is
+    broadcast-hinted only after its size has been checked."""
+    args = sql_args(tables, cfg)
+    broadcast = False
+    if _SPECS[output][0] == "drug":
+        from spanpack.operators.targets import ingredient_map
+
+        mapping = ingredient_map(
+            spark.table(args["concept_ancestor"]), spark.table(args["concept"]), cfg
+        )
+        broadcast = mapping.count() <= cfg.broadcast_max_rows
+    used = {k: v for k, v in args.items() if f":{k}" in era_sql(output, cfg, broadcast)}
+    return spark.sql(era_sql(output, cfg, broadcast), args=used)

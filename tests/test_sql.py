@@ -1,0 +1,50 @@
+"""The Spark SQL text gives the same rows as the DataFrame builders."""
+
+from __future__ import annotations
+
+import pytest
+
+from conftest import SF0001
+from spanpack import EraConfig, condition_era, condition_era_by_type, dose_era, drug_era, drug_era_by_type
+from spanpack.plans.inspect import join_count, shuffle_count
+from spanpack.plans.sql import OUTPUTS, era_sql, run_era_sql
+from spanpack.sources import fixtures as fx
+
+
+@pytest.fixture(scope="module")
+def views(spark):
+    co = fx.condition_occurrence(spark, SF0001)
+    de, ca, c = fx.drug_sources(spark, SF0001)
+    for name, df in [("condition_occurrence", co), ("drug_exposure", de), ("concept_ancestor", ca), ("concept", c)]:
+        df.createOrReplaceTempView(name)
+    return co, (de, ca, c)
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("output", OUTPUTS)
+def test_sql_matches_dataframe(spark, views, output):
+    co, drug = views
+    expected = {
+        "condition_era": lambda: condition_era(co),
+        "condition_era_by_type": lambda: condition_era_by_type(co),
+        "drug_era": lambda: drug_era(*drug),
+        "drug_era_covered": lambda: drug_era(*drug, gap="covered"),
+        "drug_era_both_gaps": lambda: drug_era(*drug, gap="both"),
+        "drug_era_by_type": lambda: drug_era_by_type(*drug),
+        "dose_era": lambda: dose_era(*drug),
+    }[output]()
+    got = run_era_sql(spark, output)
+    assert got.columns == expected.columns
+    assert rows(got) == rows(expected)
+
+
+def test_sql_parameters_and_plan(spark, views):
+    co, _ = views
+    cfg = EraConfig(grace_days=2, exclude_unmapped=True, unmapped_id="4-NOT SPECIFIED")
+    got = run_era_sql(spark, "condition_era", cfg=cfg)
+    assert rows(got) == rows(condition_era(co, cfg))
+    assert shuffle_count(got) == 2 and join_count(got) == 0
+    assert "IDENTIFIER(:condition_occurrence)" in era_sql("condition_era")
