@@ -99,6 +99,13 @@ def ingredients(concept: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     return concept.filter(sel).select(F.col("concept_id").alias("ingredient_concept_id"))
 
 
+def _map_from(concept_ancestor: DataFrame, ingredient_ids: DataFrame) -> DataFrame:
+    pairs = concept_ancestor.join(
+        ingredient_ids, F.col("ancestor_concept_id") == F.col("ingredient_concept_id")
+    )
+    return pairs.select("descendant_concept_id", "ingredient_concept_id").distinct()
+
+
 def ingredient_map(
     concept_ancestor: DataFrame, concept: DataFrame, cfg: EraConfig = EraConfig()
 ) -> DataFrame:
@@ -109,18 +116,33 @@ def ingredient_map(
         concept_ancestor, ["ancestor_concept_id", "descendant_concept_id"], "concept_ancestor"
     )
     ing, _ = sized_broadcast(ingredients(concept, cfg), cfg.broadcast_max_rows, "ingredient set")
-    pairs = concept_ancestor.join(ing, F.col("ancestor_concept_id") == F.col("ingredient_concept_id"))
-    return pairs.select("descendant_concept_id", "ingredient_concept_id").distinct()
+    return _map_from(concept_ancestor, ing)
 
 
 def prepared_ingredient_map(
     concept_ancestor: DataFrame, concept: DataFrame, cfg: EraConfig = EraConfig()
 ) -> tuple[DataFrame, bool]:
     """The ingredient map, broadcast-hinted when its checked size allows;
-    returns (map, is_broadcast)."""
-    return sized_broadcast(
-        ingredient_map(concept_ancestor, concept, cfg), cfg.broadcast_max_rows, "ingredient map"
+    returns (map, is_broadcast).
+
+    One small job counts both the ingredient set and the map; each is
+    broadcast only if its count is within ``cfg.broadcast_max_rows``.
+    """
+    require_columns(
+        concept_ancestor, ["ancestor_concept_id", "descendant_concept_id"], "concept_ancestor"
     )
+    ing = ingredients(concept, cfg)
+    sizes = ing.agg(F.count(F.lit(1)).alias("n_ing")).crossJoin(
+        _map_from(concept_ancestor, ing).agg(F.count(F.lit(1)).alias("n_map"))
+    ).first()
+    limit = cfg.broadcast_max_rows
+    if sizes.n_ing > limit:
+        log.warning("ingredient set has %d rows > %d: using a shuffle join", sizes.n_ing, limit)
+    mapping = _map_from(concept_ancestor, F.broadcast(ing) if sizes.n_ing <= limit else ing)
+    if sizes.n_map <= limit:
+        return F.broadcast(mapping), True
+    log.warning("ingredient map has %d rows > %d: using a shuffle join", sizes.n_map, limit)
+    return mapping, False
 
 
 def rollup_to_ingredient(

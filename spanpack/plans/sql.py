@@ -189,11 +189,10 @@ def run_era_sql(
     args = sql_args(tables, cfg)
     broadcast = False
     if _SPECS[output][0] == "drug":
-        from spanpack.operators.targets import ingredient_map
+        from spanpack.operators.targets import prepared_ingredient_map
 
-        mapping = ingredient_map(
+        _, broadcast = prepared_ingredient_map(
             spark.table(args["concept_ancestor"]), spark.table(args["concept"]), cfg
         )
-        broadcast = mapping.count() <= cfg.broadcast_max_rows
     used = {k: v for k, v in args.items() if f":{k}" in era_sql(output, cfg, broadcast)}
     return spark.sql(era_sql(output, cfg, broadcast), args=used)
