@@ -19,7 +19,10 @@ SF001 = f"{TESTDATA}/sf0.01"
 def spark():
     from spanpack.session import local_session
 
-    s = local_session(cores="*", shuffle_partitions=8, driver_memory="4g")
+    s = local_session(
+        cores="*", shuffle_partitions=8, driver_memory="4g",
+        extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="spanpack-test-wh-")},
+    )
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spanpack-test-ckpt-"))
     yield s
