@@ -1,6 +1,6 @@
 """Sources (catalog / file scans, fixture mapping) and sinks (publishing)."""
 
-from spanpack.sources.publish import publish, publish_append, publish_overwrite
+from spanpack.sources.publish import publish, publish_append, publish_overwrite, publish_swap
 from spanpack.sources.tables import load_sources, read_era_table, read_source
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "publish",
     "publish_append",
     "publish_overwrite",
+    "publish_swap",
     "read_era_table",
     "read_source",
 ]

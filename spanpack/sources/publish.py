@@ -11,11 +11,15 @@ output file (a layout hint, as the scripts' ORDER BY is).
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 MODES = ("overwrite", "append")
+VERSION_SEP = "__v"
 
 
 def _prepare(df: DataFrame, sort_within: Sequence[str] | None) -> DataFrame:
@@ -56,3 +60,39 @@ def publish_overwrite(df: DataFrame, **kw) -> None:
 def publish_append(df: DataFrame, **kw) -> None:
     """K2: add ``df`` to the target (re-running duplicates rows)."""
     publish(df, mode="append", **kw)
+
+
+def _versions(spark, table: str) -> list[str]:
+    db, _, name = table.rpartition(".")
+    listed = spark.catalog.listTables(db) if db else spark.catalog.listTables()
+    pattern = re.compile(re.escape(name) + re.escape(VERSION_SEP) + r"\d+_[0-9a-f]{8}$")
+    found = [t.name for t in listed if pattern.match(t.name) and not t.isTemporary]
+    return [f"{db}.{t}" if db else t for t in sorted(found)]
+
+
+def publish_swap(
+    df: DataFrame,
+    table: str,
+    fmt: str = "parquet",
+    sort_within: Sequence[str] | None = ("person_id",),
+    keep_versions: int = 2,
+) -> str:
+    """Overwrite without an empty window: stage, then swap.
+
+    Each call writes a new versioned table ``<table>__v<time>_<id>`` and then
+    repoints the view ``<table>`` at it with ``CREATE OR REPLACE VIEW`` (one
+    catalog operation), so readers see either the old or the new eras, never
+    an empty or half-written table. Versions beyond the newest
+    ``keep_versions`` are dropped afterwards (the default keeps the previous
+    one for readers still scanning it). ``table`` must be free or already
+    such a view.
+    Returns the name of the new version table.
+    """
+    spark = df.sparkSession
+    version = f"{table}{VERSION_SEP}{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+    _prepare(df, sort_within).write.mode("errorifexists").format(fmt).saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+    older = [v for v in _versions(spark, table) if v != version]
+    for old in older[: max(0, len(older) - (keep_versions - 1))]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return version

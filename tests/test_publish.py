@@ -32,3 +32,23 @@ def test_publish_arguments(spark):
         publish(df, mode="merge", path="/tmp/x")
     with pytest.raises(ValueError):
         publish(df)
+
+
+def test_publish_swap_never_shows_an_empty_table(spark, tmp_out):
+    from spanpack.sources import publish_swap
+
+    db = "spanpack_swap_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_out, 'wh')}'")
+    eras = condition_era(fx.condition_occurrence(spark, SF0001))
+    v1 = publish_swap(eras, f"{db}.condition_era")
+    assert spark.table(f"{db}.condition_era").count() == 1446
+    v2 = publish_swap(eras.limit(10), f"{db}.condition_era")
+    assert v1 != v2
+    assert spark.table(f"{db}.condition_era").count() == 10
+    names = {t.name for t in spark.catalog.listTables(db)}
+    assert v2.split(".")[1] in names and v1.split(".")[1] in names  # previous kept
+    v3 = publish_swap(eras, f"{db}.condition_era")
+    names = {t.name for t in spark.catalog.listTables(db)}
+    assert v1.split(".")[1] not in names and {v2.split(".")[1], v3.split(".")[1]} <= names
+    assert spark.table(f"{db}.condition_era").count() == 1446
+    spark.sql(f"DROP DATABASE {db} CASCADE")
