@@ -19,3 +19,18 @@ def pack(intervals, grace):
         covered = len({d for a, b in members for d in range(a, b)})
         out.append((s, e, len(members), (e - s) - summed, (e - s) - covered))
     return out
+
+
+def pack_members(intervals, grace):
+    """Like :func:`pack` but returns [(era_start, era_end, [member indexes])]
+    for intervals given as a list; members keep their input index."""
+    order = sorted(range(len(intervals)), key=lambda i: intervals[i])
+    runs = []
+    for i in order:
+        s, e = intervals[i]
+        if runs and s <= runs[-1][1] + grace:
+            runs[-1][1] = max(runs[-1][1], e)
+            runs[-1][2].append(i)
+        else:
+            runs.append([s, e, [i]])
+    return [(s, e, members) for s, e, members in runs]
