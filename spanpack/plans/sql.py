@@ -31,15 +31,16 @@ OUTPUTS = (
 
 _COND_TARGET = """
 src AS (
-  SELECT person_id, condition_concept_id, condition_type_concept_id,
+  SELECT condition_occurrence_id, person_id, condition_concept_id, condition_type_concept_id,
          CAST(condition_start_date AS DATE) AS s,
          COALESCE(CAST(condition_end_date AS DATE),
                   date_add(CAST(condition_start_date AS DATE), :default_days)) AS e
   FROM IDENTIFIER(:condition_occurrence)
   {where}),
 target AS (
-  SELECT * FROM src
-  WHERE person_id IS NOT NULL AND condition_concept_id IS NOT NULL AND s IS NOT NULL AND e >= s)"""
+  SELECT {distinct}condition_occurrence_id, person_id, condition_concept_id, condition_type_concept_id,
+         s, {end} AS e FROM src
+  WHERE person_id IS NOT NULL AND condition_concept_id IS NOT NULL AND s IS NOT NULL AND {end} >= s)"""
 
 _DRUG_TARGET = """
 ing AS (
@@ -50,7 +51,7 @@ imap AS (
   SELECT DISTINCT a.descendant_concept_id, a.ancestor_concept_id AS ingredient_concept_id
   FROM IDENTIFIER(:concept_ancestor) a JOIN ing ON a.ancestor_concept_id = ing.concept_id),
 src AS (
-  SELECT person_id, drug_concept_id, drug_type_concept_id,
+  SELECT drug_exposure_id, person_id, drug_concept_id, drug_type_concept_id,
          dose_unit_concept_id AS unit_concept_id, effective_drug_dose AS dose_value,
          CAST(drug_exposure_start_date AS DATE) AS s,
          COALESCE(CAST(drug_exposure_end_date AS DATE),
@@ -60,9 +61,10 @@ src AS (
   FROM IDENTIFIER(:drug_exposure)
   {where}),
 target AS (
-  SELECT {hint} src.*, m.ingredient_concept_id
+  SELECT {hint} {distinct}src.drug_exposure_id, src.person_id, src.drug_type_concept_id,
+         src.unit_concept_id, src.dose_value, src.s, {end} AS e, m.ingredient_concept_id
   FROM src JOIN imap m ON src.drug_concept_id = m.descendant_concept_id
-  WHERE src.person_id IS NOT NULL AND src.s IS NOT NULL AND src.e >= src.s)"""
+  WHERE src.person_id IS NOT NULL AND src.s IS NOT NULL AND {end} >= src.s)"""
 
 _PACK = """
 days AS (
@@ -141,14 +143,19 @@ def era_sql(output: str, cfg: EraConfig = EraConfig(), broadcast_map: bool = Fal
     """Spark SQL text of one era output (see ``OUTPUTS``)."""
     if output not in _SPECS:
         raise ValueError(f"unknown output {output!r}; expected one of {OUTPUTS}")
-    if cfg.invalid != "quarantine":
-        raise ValueError("the SQL text implements invalid='quarantine' only")
     kind, keys, split, projection = _SPECS[output]
     where = _filters(kind, cfg)
+    src = "src." if kind == "drug" else ""
+    # invalid="clamp" sets end = start where end < start; "quarantine" drops such rows
+    end = f"GREATEST({src}e, {src}s)" if cfg.invalid == "clamp" else f"{src}e"
+    distinct = "DISTINCT " if cfg.dedupe_rows else ""
     target = (
-        _COND_TARGET.format(where=where)
+        _COND_TARGET.format(where=where, end=end, distinct=distinct)
         if kind == "condition"
-        else _DRUG_TARGET.format(where=where, hint="/*+ BROADCAST(m) */" if broadcast_map else "")
+        else _DRUG_TARGET.format(
+            where=where, end=end, distinct=distinct,
+            hint="/*+ BROADCAST(m) */" if broadcast_map else "",
+        )
     )
     k = ", ".join(keys)
     pack = _PACK.format(

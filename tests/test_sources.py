@@ -73,3 +73,18 @@ def test_timestamps_are_cast_to_dates(spark):
     assert dict(out.dtypes)["condition_start_date"] == "date"
     r = condition_era(out).first()
     assert (str(r.condition_era_start_date), str(r.condition_era_end_date)) == ("2020-01-01", "2020-01-02")
+
+
+def test_command_line_job(spark, tmp_out):
+    from spanpack.__main__ import main
+
+    paths, *_ = _write_sources(spark, tmp_out)
+    db = "spanpack_cli_cdm"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_out, 'cli_wh')}'")
+    for name, p in paths.items():
+        spark.read.parquet(p).write.mode("overwrite").saveAsTable(f"{db}.{name}")
+    main(["--cdm-schema", db, "--outputs", "condition_era,drug_era,dose_era", "--gap", "both"])
+    assert spark.table(f"{db}.condition_era").count() == 2
+    assert set(spark.table(f"{db}.drug_era").columns) >= {"gap_days_stockpile", "gap_days_covered"}
+    assert spark.table(f"{db}.dose_era").count() == 3
+    spark.sql(f"DROP DATABASE {db} CASCADE")

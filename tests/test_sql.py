@@ -48,3 +48,17 @@ def test_sql_parameters_and_plan(spark, views):
     assert rows(got) == rows(condition_era(co, cfg))
     assert shuffle_count(got) == 2 and join_count(got) == 0
     assert "IDENTIFIER(:condition_occurrence)" in era_sql("condition_era")
+
+
+def test_sql_clamp_and_dedupe(spark, views):
+    from test_micro import conditions
+
+    co = conditions(spark, [(1, 7, 100, 90), (1, 7, 200, 210), (1, 7, 200, 210)])
+    co = co.unionByName(co.filter("condition_occurrence_id = 2"))
+    co.createOrReplaceTempView("co_clamp")
+    from spanpack import TableNames
+
+    tables = TableNames(condition_occurrence="co_clamp")
+    for cfg in (EraConfig(invalid="clamp"), EraConfig(dedupe_rows=True), EraConfig()):
+        got = run_era_sql(spark, "condition_era", tables=tables, cfg=cfg)
+        assert rows(got) == rows(condition_era(co, cfg)), cfg
