@@ -34,10 +34,13 @@ def publish(
     fmt: str = "parquet",
     sort_within: Sequence[str] | None = ("person_id",),
     partition_by: Sequence[str] | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> None:
     """Write ``df`` to a catalog ``table`` or to files under ``path``.
 
-    Exactly one of ``table`` / ``path`` must be given.
+    Exactly one of ``table`` / ``path`` must be given. ``bucket_by=(n,
+    ["person_id"])`` (tables only) writes a bucketed table, so later joins
+    with other person-keyed bucketed tables need no shuffle.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -46,6 +49,13 @@ def publish(
     writer = _prepare(df, sort_within).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        if table is None:
+            raise ValueError("bucket_by needs a catalog table")
+        n, cols = bucket_by
+        writer = writer.bucketBy(n, *cols)
+        if sort_within:
+            writer = writer.sortBy(*sort_within)
     if table is not None:
         writer.saveAsTable(table)
     else:

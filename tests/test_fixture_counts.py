@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001, SF001
+from conftest import SF0001, SF001, TESTDATA
+
+SF01 = f"{TESTDATA}/sf0.1"
 from spanpack import (
     EraConfig,
     condition_era,
@@ -28,11 +30,15 @@ EXPECTED = {
     SF001: dict(cond=14404, cond_multi=575, cond_type=14807, target=71902, branches=(10294, 40161, 21447),
                 subs=68261, drug=61022, drug_multi=8871, g1=85245, neg=2500, g2=108701, drug_type=67803,
                 null_dose=3497, dose=65836, dose_src=68405, t4_rows=11980, t4_eras=11500, t5=39954, t5_null=2849),
+    SF01: dict(cond=143838, cond_multi=5901, cond_type=147865, target=719043, branches=(102806, 402295, 213942),
+               subs=681972, drug=610422, drug_multi=89082, g1=839730, neg=25810, g2=1082418, drug_type=678035,
+               null_dose=36408, dose=656552, dose_src=682635, t4_rows=120080, t4_eras=115133, t5=399975,
+               t5_null=28470),
 }
 KEYS = ["person_id", "ingredient_concept_id"]
 
 
-@pytest.mark.parametrize("sf", [SF0001, SF001])
+@pytest.mark.parametrize("sf", [SF0001, SF001, SF01])
 def test_condition_counts(spark, sf):
     x = EXPECTED[sf]
     co = fx.condition_occurrence(spark, sf)
@@ -47,7 +53,7 @@ def test_condition_counts(spark, sf):
     assert condition_era(co, cfg).count() == x["t4_eras"]
 
 
-@pytest.mark.parametrize("sf", [SF0001, SF001])
+@pytest.mark.parametrize("sf", [SF0001, SF001, SF01])
 def test_drug_counts(spark, sf):
     x = EXPECTED[sf]
     srcs = fx.drug_sources(spark, sf)

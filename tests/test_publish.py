@@ -52,3 +52,22 @@ def test_publish_swap_never_shows_an_empty_table(spark, tmp_out):
     assert v1.split(".")[1] not in names and {v2.split(".")[1], v3.split(".")[1]} <= names
     assert spark.table(f"{db}.condition_era").count() == 1446
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_bucketed_publish_joins_without_shuffle(spark, tmp_out):
+    from spanpack.plans.inspect import shuffle_count
+
+    db = "spanpack_bucket_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_out, 'bwh')}'")
+    eras = condition_era(fx.condition_occurrence(spark, SF0001))
+    publish(eras, table=f"{db}.a", bucket_by=(4, ["person_id"]))
+    publish(eras, table=f"{db}.b", bucket_by=(4, ["person_id"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(f"{db}.a").join(spark.table(f"{db}.b"), "person_id")
+        assert shuffle_count(j) == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        publish(eras, path=os.path.join(tmp_out, "x"), bucket_by=(4, ["person_id"]))
+    spark.sql(f"DROP DATABASE {db} CASCADE")
