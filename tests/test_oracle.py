@@ -37,3 +37,14 @@ def test_entry_smoke(spark):
         "drug_exposure_count", "gap_days_stockpile", "gap_days_covered",
     ]
     assert df.count() == 6033
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "decimal(18,2)": "DECIMAL(18,2)", "double": "DOUBLE"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_column_types_match_oracle(spark, con, name):
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in QUERIES[name](spark, SF).dtypes}
+    rel = con.sql(SQL[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
