@@ -3,7 +3,7 @@
 Concept and type ids are ``LongType`` in the canonical schemas, but the
 operators only rely on column *names*: any id type that supports equality
 works (the test fixtures use strings). Dates are always ``DateType``;
-:func:`conform` casts timestamp columns once at load so the whole pipeline
+:func:`conform` casts timestamp columns once at load so every operator
 stays in DATE arithmetic.
 """
 
