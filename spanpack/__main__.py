@@ -31,6 +31,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--exclude-unmapped", action="store_true")
     p.add_argument("--require-nonneg-supply", action="store_true")
     p.add_argument("--invalid", default="quarantine", choices=["quarantine", "clamp"])
+    p.add_argument("--vocabulary-column", default="vocabulary_id")
+    p.add_argument("--vocabulary-value", default="8",
+                   help="ingredient vocabulary (an integer id, or text such as RxNorm)")
+    p.add_argument("--class-column", default="concept_class")
+    p.add_argument("--class-value", default="Ingredient")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--format", default="parquet")
     p.add_argument("--materialize", default="auto", choices=["auto", "never", "checkpoint"])
@@ -47,10 +52,14 @@ def main(argv: list[str] | None = None) -> None:
         exclude_unmapped=args.exclude_unmapped,
         require_nonneg_supply=args.require_nonneg_supply,
         invalid=args.invalid,
+        vocabulary_column=args.vocabulary_column,
+        vocabulary_value=int(args.vocabulary_value) if args.vocabulary_value.isdigit() else args.vocabulary_value,
+        class_column=args.class_column,
+        class_value=args.class_value,
         tables=tables,
     )
     outputs = [o.strip() for o in args.outputs.split(",") if o.strip()]
-    eras = build_era_tables(load_sources(spark, tables), cfg, outputs, args.gap, args.materialize)
+    eras = build_era_tables(load_sources(spark, tables, cfg=cfg), cfg, outputs, args.gap, args.materialize)
     publish_era_tables(eras, tables, mode=args.mode, fmt=args.format)
 
 

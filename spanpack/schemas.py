@@ -83,6 +83,23 @@ DOSE_ERA = _struct(
     ("dose_era_end_date", _D, False),
 )
 
+
+
+def concept_schema(
+    vocabulary_column: str = "vocabulary_id",
+    class_column: str = "concept_class",
+    vocabulary_type: T.DataType = _L,
+) -> T.StructType:
+    """``concept`` with the configured vocabulary / class column names (the
+    scripts compare an integer ``vocabulary_id`` and ``concept_class``; other
+    vocabularies name them ``vocabulary_id`` (text) and ``concept_class_id``)."""
+    return _struct(
+        ("concept_id", _L, False),
+        (vocabulary_column, vocabulary_type, False),
+        (class_column, _S, False),
+    )
+
+
 SOURCE_SCHEMAS = {
     "drug_exposure": DRUG_EXPOSURE,
     "condition_occurrence": CONDITION_OCCURRENCE,

@@ -11,12 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from spanpack.config import TableNames
-from spanpack.schemas import SOURCE_SCHEMAS, conform
+from spanpack.config import EraConfig, TableNames
+from spanpack.schemas import SOURCE_SCHEMAS, concept_schema, conform
 
 SOURCES = ("drug_exposure", "condition_occurrence", "concept_ancestor", "concept")
 
 
+def source_schema(name: str, cfg: EraConfig = EraConfig()) -> T.StructType:
+    """The expected schema of a source; ``concept`` follows the configured
+    vocabulary and class columns."""
+    if name not in SOURCE_SCHEMAS:
+        raise KeyError(f"unknown source {name!r}; expected one of {SOURCES}")
+    if name == "concept":
+        vtype = T.LongType() if isinstance(cfg.vocabulary_value, int) else T.StringType()
+        return concept_schema(cfg.vocabulary_column, cfg.class_column, vtype)
+    return SOURCE_SCHEMAS[name]
+
+
 def read_source(
     spark: SparkSession,
     name: str,
@@ -24,20 +35,20 @@ def read_source(
     path: str | None = None,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
+    cfg: EraConfig = EraConfig(),
 ) -> DataFrame:
     """One source table by logical name.
 
-    ``path`` reads files of ``fmt`` with ``schema`` (default: the canonical
-    schema of :mod:`spanpack.schemas`); without ``path`` the catalog table
+    ``path`` reads files of ``fmt`` with ``schema`` (default: the expected
+    schema, :func:`source_schema`); without ``path`` the catalog table
     ``tables.qualified(name)`` is used.
     """
-    if name not in SOURCE_SCHEMAS:
-        raise KeyError(f"unknown source {name!r}; expected one of {SOURCES}")
+    expected = source_schema(name, cfg)
     if path is None:
         df = spark.table(tables.qualified(name))
     else:
-        df = spark.read.schema(schema or SOURCE_SCHEMAS[name]).format(fmt).load(path)
-    return conform(df, SOURCE_SCHEMAS[name], name)
+        df = spark.read.schema(schema or expected).format(fmt).load(path)
+    return conform(df, expected, name)
 
 
 def read_era_table(spark: SparkSession, name: str, tables: TableNames = TableNames()) -> DataFrame:
@@ -50,7 +61,8 @@ def load_sources(
     tables: TableNames = TableNames(),
     paths: dict[str, str] | None = None,
     fmt: str = "parquet",
+    cfg: EraConfig = EraConfig(),
 ) -> dict[str, DataFrame]:
     """All four sources, from ``paths`` where given, else from the catalog."""
     paths = paths or {}
-    return {n: read_source(spark, n, tables, paths.get(n), fmt) for n in SOURCES}
+    return {n: read_source(spark, n, tables, paths.get(n), fmt, cfg=cfg) for n in SOURCES}

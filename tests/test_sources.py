@@ -88,3 +88,21 @@ def test_command_line_job(spark, tmp_out):
     assert set(spark.table(f"{db}.drug_era").columns) >= {"gap_days_stockpile", "gap_days_covered"}
     assert spark.table(f"{db}.dose_era").count() == 3
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_text_vocabulary_and_concept_class_id(spark, tmp_out):
+    """Vocabularies that use text ids and ``concept_class_id``: configure, don't edit code."""
+    from pyspark.sql import functions as F
+
+    paths, co, de, ca, c = _write_sources(spark, tmp_out)
+    c2 = c.select(
+        "concept_id",
+        F.when(F.col("vocabulary_id") == 8, "RxNorm").alias("vocabulary_id"),
+        F.col("concept_class").alias("concept_class_id"),
+    )
+    p = os.path.join(tmp_out, "concept_v5")
+    c2.write.mode("overwrite").parquet(p)
+    cfg = EraConfig(vocabulary_value="RxNorm", class_column="concept_class_id")
+    src = load_sources(spark, paths={**paths, "concept": p}, cfg=cfg)
+    got = drug_era(src["drug_exposure"], src["concept_ancestor"], src["concept"], cfg)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, drug_era(de, ca, c).collect()))
