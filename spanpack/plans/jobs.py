@@ -42,20 +42,24 @@ MATERIALIZE = ("auto", "never", "checkpoint")
 
 
 def _checkpoint_dir(df: DataFrame) -> str | None:
+    """The session's shared checkpoint folder, if any (never a local default)."""
     spark = df.sparkSession
-    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        folder = spark.sparkContext.getCheckpointDir()
+        if folder is None and spark.conf.get("spark.checkpoint.dir", None):
+            folder = spark.conf.get("spark.checkpoint.dir")
+            spark.sparkContext.setCheckpointDir(folder)
+        return folder
+    except Exception:  # no SparkContext in the client (Spark Connect): the conf is all there is
+        return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def _materialize(target: DataFrame, required: bool) -> DataFrame:
-    folder = _checkpoint_dir(target)
-    if folder is None:
+    if _checkpoint_dir(target) is None:
         if required:
             raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir (a shared folder)")
         log.warning("no spark.checkpoint.dir configured: the drug target is recomputed per output")
         return target
-    sc = target.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
     return target.checkpoint(eager=True)
 
 

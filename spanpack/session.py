@@ -44,8 +44,10 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The session's checkpoint folder; set one only where none is configured
-    (local runs). On a cluster ``spark.checkpoint.dir`` names a shared folder."""
+    """For local runs only (tests, bench): the session's checkpoint folder,
+    or a fresh temporary one when none is configured. Library code never
+    calls this; on a cluster ``spark.checkpoint.dir`` names a shared folder
+    and :mod:`spanpack.plans.jobs` uses only that."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:

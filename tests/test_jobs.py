@@ -50,3 +50,9 @@ def test_dedupe_rows_and_duplicate_report(spark):
     cfg = EraConfig(dedupe_rows=True)
     t = drug_target(doubled, srcs["concept_ancestor"], srcs["concept"], cfg)
     assert t.count() == 7122
+
+
+def test_materialize_checkpoint_uses_the_session_folder(spark):
+    srcs = _sources(spark)
+    eras = build_era_tables(srcs, outputs=["drug_era", "drug_era_by_type"], materialize="checkpoint")
+    assert eras["drug_era"].count() == 6033 and eras["drug_era_by_type"].count() == 6700
