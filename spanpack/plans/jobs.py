@@ -143,6 +143,9 @@ def publish_era_tables(
     """
     targets = {**DEFAULT_TARGETS, **(targets or {})}
     paths = paths or {}
+    dest = [paths.get(n) or tables.qualified(targets[n]) for n in eras]
+    if len(set(dest)) != len(dest):
+        raise ValueError(f"two outputs would overwrite the same table: {dict(zip(eras, dest))}")
     for name, df in eras.items():
         if name in paths:
             publish(df, path=paths[name], mode=mode, fmt=fmt)

@@ -56,3 +56,12 @@ def test_materialize_checkpoint_uses_the_session_folder(spark):
     srcs = _sources(spark)
     eras = build_era_tables(srcs, outputs=["drug_era", "drug_era_by_type"], materialize="checkpoint")
     assert eras["drug_era"].count() == 6033 and eras["drug_era_by_type"].count() == 6700
+
+
+def test_publish_refuses_two_outputs_for_one_table(spark):
+    import pytest
+
+    srcs = _sources(spark)
+    eras = build_era_tables(srcs, outputs=["condition_era", "condition_era_by_type"])
+    with pytest.raises(ValueError):
+        publish_era_tables(eras)
