@@ -28,13 +28,14 @@ from spanpack.schemas import as_date, require_columns
 
 
 def _invalid_reason(keys: list[str], start: str, end: str) -> Column:
-    reason = F.lit(None).cast("string")
-    # first failing check wins; listed from most to least fundamental
-    for k in reversed(keys):
-        reason = F.when(F.col(k).isNull(), F.lit(f"null_{k}")).otherwise(reason)
-    reason = F.when(F.col(end) < F.col(start), F.lit("end_before_start")).otherwise(reason)
-    reason = F.when(F.col(end).isNull(), F.lit("null_end_date")).otherwise(reason)
-    reason = F.when(F.col(start).isNull(), F.lit("null_start_date")).otherwise(reason)
+    """The first failing check, in this order: NULL start, NULL end, NULL key
+    (in key order), end before start."""
+    checks = [(F.col(start).isNull(), "null_start_date"), (F.col(end).isNull(), "null_end_date")]
+    checks += [(F.col(k).isNull(), f"null_{k}") for k in keys]
+    checks.append((F.col(end) < F.col(start), "end_before_start"))
+    reason = F.when(checks[0][0], F.lit(checks[0][1]))
+    for cond, name in checks[1:]:
+        reason = reason.when(cond, F.lit(name))
     return reason
 
 

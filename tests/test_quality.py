@@ -10,6 +10,7 @@ from spanpack import (
     drug_quality_report,
     drug_target,
     reconcile_counts,
+    quarantine,
     split_valid,
 )
 from spanpack.sources import fixtures as fx
@@ -51,3 +52,16 @@ def test_condition_quality_report_and_split(spark):
     valid, bad = split_valid(co, ["person_id", "condition_concept_id"], "condition_start_date", "condition_end_date")
     assert valid.count() == 1
     assert sorted(r.reason for r in bad.collect()) == ["end_before_start", "null_end_date", "null_start_date"]
+
+
+def test_quarantine_reason_precedence(spark):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("s", T.DateType()), T.StructField("e", T.DateType())])
+    import datetime as dt
+
+    d = dt.date(2020, 1, 10)
+    early = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([(None, d, early), (1, d, early), (1, None, early), (None, d, d)], schema)
+    got = sorted((r.k, r.reason) for r in quarantine(df, ["k"], "s", "e").collect())
+    assert got == sorted([(None, "null_k"), (1, "end_before_start"), (1, "null_start_date"), (None, "null_k")])
