@@ -63,5 +63,6 @@ def test_quarantine_reason_precedence(spark):
     d = dt.date(2020, 1, 10)
     early = dt.date(2020, 1, 1)
     df = spark.createDataFrame([(None, d, early), (1, d, early), (1, None, early), (None, d, d)], schema)
-    got = sorted((r.k, r.reason) for r in quarantine(df, ["k"], "s", "e").collect())
-    assert got == sorted([(None, "null_k"), (1, "end_before_start"), (1, "null_start_date"), (None, "null_k")])
+    got = sorted(((r.k, r.reason) for r in quarantine(df, ["k"], "s", "e").collect()), key=repr)
+    expected = [(None, "null_k"), (1, "end_before_start"), (1, "null_start_date"), (None, "null_k")]
+    assert got == sorted(expected, key=repr)
