@@ -28,6 +28,7 @@ from spanpack import (
     drug_era_by_type,
     drug_quality_report,
     drug_target,
+    duplicate_id_report,
     era_end_dates,
     filter_nonneg_supply,
     merge_overlaps,
@@ -174,6 +175,10 @@ def _condition_quality_report(spark: SparkSession, d: str) -> DataFrame:
     return condition_quality_report(fx.condition_occurrence(spark, d), cfg)
 
 
+def _drug_exposure_duplicate_ids(spark: SparkSession, d: str) -> DataFrame:
+    return duplicate_id_report(fx.drug_exposure(spark, d), ["drug_exposure_id"])
+
+
 def _event_era_grace2(spark: SparkSession, d: str) -> DataFrame:
     ev = fx.event_intervals(spark, d)
     e = summarize_eras(ev, ["user_id", "event_type"], "start_date", "end_date", EVENT_GRACE_DAYS)
@@ -213,6 +218,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_counts": _reconcile_counts,
     "drug_quality_report": _drug_quality_report,
     "condition_quality_report": _condition_quality_report,
+    "drug_exposure_duplicate_ids": _drug_exposure_duplicate_ids,
     # packing with a non-default grace over the events table
     "event_era_grace2": _event_era_grace2,
 }
@@ -456,6 +462,9 @@ SELECT reason, row_count FROM (
   UNION ALL SELECT 'unmapped_concept',
                    COUNT(*) FILTER (WHERE condition_concept_id = '{UNMAPPED_CONDITION}') FROM ct
   UNION ALL SELECT 'end_before_start', COUNT(*) FILTER (WHERE e < s) FROM ct)"""
+    q["drug_exposure_duplicate_ids"] = _with(_SOURCES) + """
+, per AS (SELECT drug_exposure_id, COUNT(*) AS n FROM de GROUP BY drug_exposure_id HAVING COUNT(*) > 1)
+SELECT COUNT(*) AS duplicate_ids, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows FROM per"""
     q["event_era_grace2"] = _with(
         """ev AS (SELECT user_id, event_type, CAST(ts AS DATE) AS s, CAST(ts AS DATE) + 1 AS e
                   FROM events)""",
