@@ -47,3 +47,28 @@ def test_drug_era_rollup_falls_back_to_shuffle_join_above_bound(spark):
         assert df.count() == 6033
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _tree_ops(df):
+    import re
+
+    from spanpack.plans.inspect import _tree, plan_text
+
+    ops = []
+    for line in _tree(plan_text(df)):
+        name = re.sub(r"^[\s:+\-|]*", "", line)
+        ops.append(re.sub(r"\s*\(\d+\)\s*$", "", name).strip())
+    return ops
+
+
+def test_window_reads_pre_aggregated_day_rows(spark):
+    """Skew guard: the exchange that feeds the window sits on top of the
+    final (keys, day) aggregate, whose own exchange sits on a partial one."""
+    for df in (
+        condition_era(fx.condition_occurrence(spark, SF0001)),
+        drug_era(*fx.drug_sources(spark, SF0001), gap="both"),
+    ):
+        ops = _tree_ops(df)
+        w = ops.index("Window")
+        below = [o for o in ops[w + 1:] if o not in ("Project", "Filter")]
+        assert below[:5] == ["Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate"], below
