@@ -69,6 +69,6 @@ def test_window_reads_pre_aggregated_day_rows(spark):
         drug_era(*fx.drug_sources(spark, SF0001), gap="both"),
     ):
         ops = _tree_ops(df)
-        w = ops.index("Window")
+        w = max(i for i, o in enumerate(ops) if o == "Window")  # the lowest window
         below = [o for o in ops[w + 1:] if o not in ("Project", "Filter")]
         assert below[:5] == ["Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate"], below
