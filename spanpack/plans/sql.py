@@ -52,7 +52,7 @@ imap AS (
   FROM IDENTIFIER(:concept_ancestor) a JOIN ing ON a.ancestor_concept_id = ing.concept_id),
 src AS (
   SELECT drug_exposure_id, person_id, drug_concept_id, drug_type_concept_id,
-         dose_unit_concept_id AS unit_concept_id, effective_drug_dose AS dose_value,
+         dose_unit_concept_id AS unit_concept_id, effective_drug_dose AS dose_value, days_supply,
          CAST(drug_exposure_start_date AS DATE) AS s,
          COALESCE(CAST(drug_exposure_end_date AS DATE),
                   CASE WHEN days_supply <> 0
@@ -62,7 +62,8 @@ src AS (
   {where}),
 target AS (
   SELECT {hint} {distinct}src.drug_exposure_id, src.person_id, src.drug_type_concept_id,
-         src.unit_concept_id, src.dose_value, src.s, {end} AS e, m.ingredient_concept_id
+         src.unit_concept_id, src.dose_value, src.days_supply, src.s, {end} AS e,
+         m.ingredient_concept_id
   FROM src JOIN imap m ON src.drug_concept_id = m.descendant_concept_id
   WHERE src.person_id IS NOT NULL AND src.s IS NOT NULL AND {end} >= src.s)"""
 
