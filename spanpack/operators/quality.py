@@ -20,6 +20,7 @@ from spanpack.operators.targets import (
     COND_START,
     DRUG_END,
     DRUG_START,
+    equals_value,
     ingredient_map,
     sized_broadcast,
     valid_interval,
@@ -78,7 +79,7 @@ def condition_quality_report(
         "null_person_id": F.col("person_id").isNull(),
         "null_start_date": start.isNull(),
         "null_concept_id": concept.isNull(),
-        "unmapped_concept": concept == F.lit(cfg.unmapped_id),
+        "unmapped_concept": equals_value(co, "condition_concept_id", cfg.unmapped_id),
         "end_before_start": end < start,
     })
 
@@ -108,7 +109,7 @@ def drug_quality_report(
         "null_person_id": F.col("person_id").isNull(),
         "null_start_date": start.isNull(),
         "null_concept_id": concept_id.isNull(),
-        "unmapped_concept": concept_id == F.lit(cfg.unmapped_id),
+        "unmapped_concept": equals_value(de, "drug_concept_id", cfg.unmapped_id),
         "no_ingredient": concept_id.isNotNull() & F.col("_mapped_id").isNull(),
         "negative_days_supply": supply < 0,
         "null_supply_with_end_date": supply.isNull() & given.isNotNull(),

@@ -58,11 +58,18 @@ def normalize_condition_end(df: DataFrame, default_days: int = 1) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T4, T5
+def equals_value(df: DataFrame, column: str, value) -> Column:
+    """``column == value`` with ``value`` taken in the column's own type, so an
+    integer id compared with a text column (or the reverse) never raises under
+    ANSI casting. A value the type cannot hold matches nothing; NULL is False."""
+    typed = F.lit(value).try_cast(df.schema[column].dataType)
+    return F.coalesce(F.col(column) == typed, F.lit(False))
+
+
 def filter_unmapped(df: DataFrame, column: str, unmapped_id=0) -> DataFrame:
     """Drop records whose concept is the unmapped id (T4). NULL concepts are
     kept here; they never form an era because NULL keys are dropped."""
-    c = F.col(column)
-    return df.filter(c.isNull() | (c != F.lit(unmapped_id)))
+    return df.filter(~equals_value(df, column, unmapped_id))
 
 
 def filter_nonneg_supply(df: DataFrame, keep_null: bool = False) -> DataFrame:
@@ -93,8 +100,8 @@ def sized_broadcast(df: DataFrame, max_rows: int, what: str) -> tuple[DataFrame,
 def ingredients(concept: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """Concept ids that are ingredients of the configured vocabulary."""
     require_columns(concept, ["concept_id", cfg.vocabulary_column, cfg.class_column], "concept")
-    sel = (F.col(cfg.vocabulary_column) == F.lit(cfg.vocabulary_value)) & (
-        F.col(cfg.class_column) == F.lit(cfg.class_value)
+    sel = equals_value(concept, cfg.vocabulary_column, cfg.vocabulary_value) & equals_value(
+        concept, cfg.class_column, cfg.class_value
     )
     return concept.filter(sel).select(F.col("concept_id").alias("ingredient_concept_id"))
 
@@ -136,6 +143,11 @@ def prepared_ingredient_map(
         _map_from(concept_ancestor, ing).agg(F.count(F.lit(1)).alias("n_map"))
     ).first()
     limit = cfg.broadcast_max_rows
+    if sizes.n_ing == 0:
+        log.warning(
+            "no concept has %s = %r and %s = %r: no drug can map to an ingredient",
+            cfg.vocabulary_column, cfg.vocabulary_value, cfg.class_column, cfg.class_value,
+        )
     if sizes.n_ing > limit:
         log.warning("ingredient set has %d rows > %d: using a shuffle join", sizes.n_ing, limit)
     mapping = _map_from(concept_ancestor, F.broadcast(ing) if sizes.n_ing <= limit else ing)

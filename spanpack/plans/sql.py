@@ -133,7 +133,8 @@ def _filters(kind: str, cfg: EraConfig) -> str:
     conds = []
     concept = "condition_concept_id" if kind == "condition" else "drug_concept_id"
     if cfg.exclude_unmapped:
-        conds.append(f"({concept} IS NULL OR {concept} <> :unmapped_id)")
+        # compared as text so an integer id never meets a text column in an ANSI cast
+        conds.append(f"({concept} IS NULL OR CAST({concept} AS STRING) <> CAST(:unmapped_id AS STRING))")
     if kind == "drug" and cfg.require_nonneg_supply:
         conds.append("(days_supply >= 0 OR days_supply IS NULL)" if cfg.nonneg_supply_keeps_null
                      else "days_supply >= 0")

@@ -9,6 +9,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanpack import (
@@ -246,3 +247,15 @@ def test_optional_filters(spark):
     assert t5n.count() == 2
     co = conditions(spark, [(1, 0, 0, 5), (1, 7, 0, 5)])
     assert condition_era(co, EraConfig(exclude_unmapped=True)).count() == 1
+
+
+def test_unmapped_id_of_another_type_never_raises(spark):
+    from spanpack import condition_quality_report
+
+    co = conditions(spark, [(1, 7, 0, 5), (1, 0, 0, 5)]).withColumn(
+        "condition_concept_id", F.concat(F.lit("c"), F.col("condition_concept_id").cast("string"))
+    )
+    assert condition_era(co, EraConfig(exclude_unmapped=True)).count() == 2      # 0 matches no text id
+    assert condition_era(co, EraConfig(exclude_unmapped=True, unmapped_id="c0")).count() == 1
+    rep = {r.reason: r.row_count for r in condition_quality_report(co).collect()}
+    assert rep["unmapped_concept"] == 0
