@@ -35,8 +35,9 @@ def drug_end_date(
     non-zero (NULL or 0 supply falls through); ``start + default_days``.
 
     A given end is trusted as is, even when it equals or precedes the start.
+    ``days_supply`` may be any numeric type; it counts whole days (INT).
     """
-    supply = _c(days_supply)
+    supply = _c(days_supply).cast("int")
     from_supply = F.when(supply != 0, F.date_add(_c(start), supply))
     return F.coalesce(_c(end), from_supply, F.date_add(_c(start), default_days))
 

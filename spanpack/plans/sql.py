@@ -56,7 +56,7 @@ src AS (
          CAST(drug_exposure_start_date AS DATE) AS s,
          COALESCE(CAST(drug_exposure_end_date AS DATE),
                   CASE WHEN days_supply <> 0
-                       THEN date_add(CAST(drug_exposure_start_date AS DATE), days_supply) END,
+                       THEN date_add(CAST(drug_exposure_start_date AS DATE), CAST(days_supply AS INT)) END,
                   date_add(CAST(drug_exposure_start_date AS DATE), :default_days)) AS e
   FROM IDENTIFIER(:drug_exposure)
   {where}),

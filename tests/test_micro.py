@@ -259,3 +259,12 @@ def test_unmapped_id_of_another_type_never_raises(spark):
     assert condition_era(co, EraConfig(exclude_unmapped=True, unmapped_id="c0")).count() == 1
     rep = {r.reason: r.row_count for r in condition_quality_report(co).collect()}
     assert rep["unmapped_concept"] == 0
+
+
+@pytest.mark.parametrize("supply_type", ["bigint", "double", "int"])
+def test_days_supply_of_any_numeric_type(spark, supply_type):
+    supply = 5.0 if supply_type == "double" else 5
+    df = spark.createDataFrame(
+        [(day(0), None, supply)], f"drug_exposure_start_date date, drug_exposure_end_date date, days_supply {supply_type}"
+    )
+    assert off(normalize_drug_end(df).first().drug_exposure_end_date) == 5
