@@ -190,12 +190,13 @@ def sql_args(tables: TableNames = TableNames(), cfg: EraConfig = EraConfig()) ->
 def run_era_sql(
     spark: SparkSession,
     output: str,
-    tables: TableNames = TableNames(),
+    tables: TableNames | None = None,
     cfg: EraConfig = EraConfig(),
 ) -> DataFrame:
-    """Run :func:`era_sql` against catalog tables; the ingredient map is
-    broadcast-hinted only after its size has been checked."""
-    args = sql_args(tables, cfg)
+    """Run :func:`era_sql` against catalog tables (``tables`` defaults to
+    ``cfg.tables``); the ingredient map is broadcast-hinted only after its
+    size has been checked."""
+    args = sql_args(tables or cfg.tables, cfg)
     broadcast = False
     if _SPECS[output][0] == "drug":
         from spanpack.operators.targets import prepared_ingredient_map

@@ -31,7 +31,7 @@ def source_schema(name: str, cfg: EraConfig = EraConfig()) -> T.StructType:
 def read_source(
     spark: SparkSession,
     name: str,
-    tables: TableNames = TableNames(),
+    tables: TableNames | None = None,
     path: str | None = None,
     fmt: str = "parquet",
     schema: T.StructType | None = None,
@@ -41,8 +41,9 @@ def read_source(
 
     ``path`` reads files of ``fmt`` with ``schema`` (default: the expected
     schema, :func:`source_schema`); without ``path`` the catalog table
-    ``tables.qualified(name)`` is used.
+    ``tables.qualified(name)`` is used (``tables`` defaults to ``cfg.tables``).
     """
+    tables = tables or cfg.tables
     expected = source_schema(name, cfg)
     if path is None:
         df = spark.table(tables.qualified(name))
@@ -58,7 +59,7 @@ def read_era_table(spark: SparkSession, name: str, tables: TableNames = TableNam
 
 def load_sources(
     spark: SparkSession,
-    tables: TableNames = TableNames(),
+    tables: TableNames | None = None,
     paths: dict[str, str] | None = None,
     fmt: str = "parquet",
     cfg: EraConfig = EraConfig(),
