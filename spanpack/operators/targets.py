@@ -16,6 +16,7 @@ import logging
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanpack.config import EraConfig
 from spanpack.functions.dates import condition_end_date, drug_end_date, drug_end_source
@@ -58,18 +59,37 @@ def normalize_condition_end(df: DataFrame, default_days: int = 1) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T4, T5
+_NO_VALUE = object()
+
+
+def _typed_value(dtype: T.DataType, value):
+    """``value`` in the Python form of ``dtype``, or ``_NO_VALUE`` when the
+    type cannot hold it (so an integer id never meets a text column in an
+    ANSI cast, and the predicate stays a plain literal comparison that
+    Parquet can take as a pushed filter)."""
+    if isinstance(dtype, T.StringType):
+        return str(value)
+    if isinstance(dtype, T.IntegralType):
+        if isinstance(value, int) and not isinstance(value, bool):
+            return value
+        text = str(value).strip()
+        return int(text) if text.lstrip("-").isdigit() else _NO_VALUE
+    return value
+
+
 def equals_value(df: DataFrame, column: str, value) -> Column:
-    """``column == value`` with ``value`` taken in the column's own type, so an
-    integer id compared with a text column (or the reverse) never raises under
-    ANSI casting. A value the type cannot hold matches nothing; NULL is False."""
-    typed = F.lit(value).try_cast(df.schema[column].dataType)
-    return F.coalesce(F.col(column) == typed, F.lit(False))
+    """``column == value`` with ``value`` taken in the column's own type; a
+    value the type cannot hold matches nothing. NULL compares as NULL."""
+    typed = _typed_value(df.schema[column].dataType, value)
+    if typed is _NO_VALUE:
+        return F.lit(False)
+    return F.col(column) == F.lit(typed).cast(df.schema[column].dataType)
 
 
 def filter_unmapped(df: DataFrame, column: str, unmapped_id=0) -> DataFrame:
     """Drop records whose concept is the unmapped id (T4). NULL concepts are
     kept here; they never form an era because NULL keys are dropped."""
-    return df.filter(~equals_value(df, column, unmapped_id))
+    return df.filter(F.col(column).isNull() | ~equals_value(df, column, unmapped_id))
 
 
 def filter_nonneg_supply(df: DataFrame, keep_null: bool = False) -> DataFrame:

@@ -72,3 +72,9 @@ def test_window_reads_pre_aggregated_day_rows(spark):
         w = max(i for i, o in enumerate(ops) if o == "Window")  # the lowest window
         below = [o for o in ops[w + 1:] if o not in ("Project", "Filter")]
         assert below[:5] == ["Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate"], below
+
+
+def test_unmapped_filter_reaches_the_scan(spark):
+    cfg = EraConfig(exclude_unmapped=True, unmapped_id="4-NOT SPECIFIED")
+    (scan,) = scan_details(condition_era(fx.condition_occurrence(spark, SF0001), cfg))
+    assert "Not(EqualTo(o_orderpriority,4-NOT SPECIFIED))" in scan["PushedFilters"]
