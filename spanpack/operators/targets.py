@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanpack.checkpoint import reliable_checkpoint
 from spanpack.config import EraConfig
 from spanpack.functions.dates import condition_end_date, drug_end_date, drug_end_source
 from spanpack.schemas import as_date, require_columns
@@ -147,13 +148,19 @@ def ingredient_map(
 
 
 def prepared_ingredient_map(
-    concept_ancestor: DataFrame, concept: DataFrame, cfg: EraConfig = EraConfig()
+    concept_ancestor: DataFrame,
+    concept: DataFrame,
+    cfg: EraConfig = EraConfig(),
+    materialize: bool = False,
 ) -> tuple[DataFrame, bool]:
     """The ingredient map, broadcast-hinted when its checked size allows;
     returns (map, is_broadcast).
 
     One small job counts both the ingredient set and the map; each is
-    broadcast only if its count is within ``cfg.broadcast_max_rows``.
+    broadcast only if its count is within ``cfg.broadcast_max_rows``. With
+    ``materialize=True`` (several jobs reuse the map) and a shared checkpoint
+    folder, a broadcastable map is written there once and later jobs read
+    that copy instead of the vocabulary.
     """
     require_columns(
         concept_ancestor, ["ancestor_concept_id", "descendant_concept_id"], "concept_ancestor"
@@ -172,6 +179,8 @@ def prepared_ingredient_map(
         log.warning("ingredient set has %d rows > %d: using a shuffle join", sizes.n_ing, limit)
     mapping = _map_from(concept_ancestor, F.broadcast(ing) if sizes.n_ing <= limit else ing)
     if sizes.n_map <= limit:
+        if materialize:
+            mapping = reliable_checkpoint(mapping) or mapping
         return F.broadcast(mapping), True
     log.warning("ingredient map has %d rows > %d: using a shuffle join", sizes.n_map, limit)
     return mapping, False

@@ -1,8 +1,9 @@
 """Whole-job plans: build (and publish) several era tables from one set of sources.
 
 All drug outputs share one drug target (exposure x ingredient with type,
-unit and dose carried along) and one size-checked ingredient map, so the
-vocabulary is read and checked once.
+unit and dose carried along) and one size-checked ingredient map. With more
+than one drug output the map is written once to the shared checkpoint
+folder (when the session has one), so the vocabulary is read once.
 
 Materialising the shared target
 -------------------------------
@@ -23,6 +24,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
+from spanpack.checkpoint import reliable_checkpoint
 from spanpack.config import EraConfig, TableNames
 from spanpack.operators.eras import (
     condition_eras_by_type_from_target,
@@ -41,26 +43,14 @@ DRUG_OUTPUTS = ("drug_era", "drug_era_by_type", "dose_era")
 MATERIALIZE = ("auto", "never", "checkpoint")
 
 
-def _checkpoint_dir(df: DataFrame) -> str | None:
-    """The session's shared checkpoint folder, if any (never a local default)."""
-    spark = df.sparkSession
-    try:
-        folder = spark.sparkContext.getCheckpointDir()
-        if folder is None and spark.conf.get("spark.checkpoint.dir", None):
-            folder = spark.conf.get("spark.checkpoint.dir")
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    except Exception:  # no SparkContext in the client (Spark Connect): the conf is all there is
-        return spark.conf.get("spark.checkpoint.dir", None)
-
-
 def _materialize(target: DataFrame, required: bool) -> DataFrame:
-    if _checkpoint_dir(target) is None:
+    written = reliable_checkpoint(target)
+    if written is None:
         if required:
             raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir (a shared folder)")
         log.warning("no spark.checkpoint.dir configured: the drug target is recomputed per output")
         return target
-    return target.checkpoint(eager=True)
+    return written
 
 
 def build_era_tables(
@@ -95,8 +85,9 @@ def build_era_tables(
 
     wanted = [o for o in DRUG_OUTPUTS if o in outputs]
     if wanted:
+        # several outputs: write the small map once instead of rebuilding it per job
         mapping, broadcast = prepared_ingredient_map(
-            sources["concept_ancestor"], sources["concept"], cfg
+            sources["concept_ancestor"], sources["concept"], cfg, materialize=len(wanted) > 1
         )
         extra = []
         if "drug_era_by_type" in wanted:

@@ -65,3 +65,14 @@ def test_publish_refuses_two_outputs_for_one_table(spark):
     eras = build_era_tables(srcs, outputs=["condition_era", "condition_era_by_type"])
     with pytest.raises(ValueError):
         publish_era_tables(eras)
+
+
+def test_shared_map_is_read_from_the_checkpoint(spark):
+    from spanpack.plans.inspect import scan_details
+
+    srcs = _sources(spark)
+    eras = build_era_tables(srcs, outputs=["drug_era", "dose_era"])
+    for name in ("drug_era", "dose_era"):
+        locations = " ".join(s["Location"] for s in scan_details(eras[name]))
+        assert "part.parquet" not in locations and "lineitem.parquet" in locations
+    assert eras["drug_era"].count() == 6033 and eras["dose_era"].count() == 6516
