@@ -14,6 +14,8 @@ from spanpack.operators.eras import (
 )
 from spanpack.operators.packing import (
     assign_era_end,
+    collapse_eras,
+    numbered_day_rows,
     era_end_dates,
     merge_overlaps,
     pack_intervals,
@@ -44,6 +46,8 @@ from spanpack.operators.targets import (
 
 __all__ = [
     "assign_era_end",
+    "collapse_eras",
+    "numbered_day_rows",
     "condition_era",
     "condition_era_by_type",
     "condition_eras_by_type_from_target",

@@ -31,7 +31,11 @@ GAP_METHODS = ("stockpile", "covered", "both")
 
 def condition_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """E1 over an already built :func:`condition_target`."""
-    e = summarize_eras(target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days)
+    return condition_era_columns(summarize_eras(target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days))
+
+
+def condition_era_columns(e: DataFrame) -> DataFrame:
+    """E1 columns from a :func:`summarize_eras` result."""
     return e.select(
         "person_id",
         "condition_concept_id",
@@ -46,6 +50,11 @@ def condition_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraCo
     e = summarize_eras(
         target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days, split="condition_type_concept_id"
     )
+    return condition_era_by_type_columns(e)
+
+
+def condition_era_by_type_columns(e: DataFrame) -> DataFrame:
+    """E2 columns from a :func:`summarize_eras` result split by condition type."""
     return e.select(
         "person_id",
         "condition_concept_id",
@@ -58,9 +67,13 @@ def condition_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraCo
 
 def drug_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig(), gap: str = "stockpile") -> DataFrame:
     """E3/E4 over an already built :func:`drug_target`."""
+    return drug_era_columns(summarize_eras(target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days), gap)
+
+
+def drug_era_columns(e: DataFrame, gap: str = "stockpile") -> DataFrame:
+    """E3/E4 columns from a :func:`summarize_eras` result."""
     if gap not in GAP_METHODS:
         raise ValueError(f"gap must be one of {GAP_METHODS}")
-    e = summarize_eras(target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days)
     stock = gap_days_stockpile("era_start", "era_end", "sum_days")
     cover = gap_days_covered("era_start", "era_end", "covered_days")
     gaps = {
@@ -83,6 +96,11 @@ def drug_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraConfig(
     e = summarize_eras(
         target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days, split="drug_type_concept_id"
     )
+    return drug_era_by_type_columns(e)
+
+
+def drug_era_by_type_columns(e: DataFrame) -> DataFrame:
+    """E5 columns from a :func:`summarize_eras` result split by drug type."""
     return e.select(
         "person_id",
         F.col("ingredient_concept_id").alias("drug_concept_id"),

@@ -102,7 +102,7 @@ def _numbered_days(
     return number_runs(day_summary(clean, keys, start, end, split), keys, start, grace_days)
 
 
-def summarize_eras(
+def numbered_day_rows(
     df: DataFrame,
     keys: str | Sequence[str],
     start: str,
@@ -110,19 +110,16 @@ def summarize_eras(
     grace_days: int = 30,
     split: str | None = None,
 ) -> DataFrame:
-    """Era table: one row per (keys, run[, split]).
+    """Day rows (per keys, start day[, split]) with their run number: the
+    shared input of :func:`collapse_eras`. Numbering at the split grain also
+    serves the unsplit eras, so one numbered table can feed both."""
+    return _numbered_days(df, _keys(keys), start, end, grace_days, split)
 
-    Columns: ``keys``, [``split``], ``era_seq``, ``era_start``, ``era_end``,
-    ``record_count``, and without ``split`` also ``sum_days`` (summed record
-    lengths) and ``covered_days`` (length of the union of the records).
 
-    With ``split`` the run boundaries ignore the split column; each run is
-    reported once per split value present in it, with the run's end and the
-    earliest start *of that split value* (rows of one run share the end and
-    may overlap in time).
-    """
+def collapse_eras(numbered: DataFrame, keys: str | Sequence[str], start: str, split: str | None = None) -> DataFrame:
+    """Eras from :func:`numbered_day_rows` (see :func:`summarize_eras` for the
+    columns). ``split`` must be None or the split the rows were numbered with."""
     keys = _keys(keys)
-    numbered = _numbered_days(df, keys, start, end, grace_days, split)
     if split is None:
         return numbered.groupBy(*keys, SEQ).agg(
             F.min(start).alias("era_start"),
@@ -140,6 +137,29 @@ def summarize_eras(
     return per_split.withColumn("era_end", F.max("_split_end").over(run)).drop("_split_end")
 
 
+def summarize_eras(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    start: str,
+    end: str,
+    grace_days: int = 30,
+    split: str | None = None,
+) -> DataFrame:
+    """Era table: one row per (keys, run[, split]).
+
+    Columns: ``keys``, [``split``], ``era_seq``, ``era_start``, ``era_end``,
+    ``record_count``, and without ``split`` also ``sum_days`` (summed record
+    lengths) and ``covered_days`` (length of the union of the records).
+
+    With ``split`` the run boundaries ignore the split column; each run is
+    reported once per split value present in it, with the run's end and the
+    earliest start *of that split value* (rows of one run share the end and
+    may overlap in time).
+    """
+    keys = _keys(keys)
+    return collapse_eras(_numbered_days(df, keys, start, end, grace_days, split), keys, start, split)
+
+
 def era_end_dates(
     df: DataFrame, keys: str | Sequence[str], start: str, end: str, grace_days: int = 30
 ) -> DataFrame:

@@ -5,6 +5,11 @@ unit and dose carried along) and one size-checked ingredient map. With more
 than one drug output the map is written once to the shared checkpoint
 folder (when the session has one), so the vocabulary is read once.
 
+Plain and by-type variants of one table (e.g. ``drug_era`` and
+``drug_era_by_type``) share one run numbering: the day rows are numbered at
+the (keys, day, type) grain, written once to the checkpoint folder, and both
+outputs aggregate that table (a run's boundaries never depend on the type).
+
 Materialising the shared target
 -------------------------------
 When the ingredient map is broadcast, the rollup is a map-side join: each
@@ -27,13 +32,28 @@ from pyspark.sql import DataFrame
 from spanpack.checkpoint import reliable_checkpoint
 from spanpack.config import EraConfig, TableNames
 from spanpack.operators.eras import (
+    condition_era_by_type_columns,
+    condition_era_columns,
     condition_eras_by_type_from_target,
     condition_eras_from_target,
     dose_eras_from_target,
+    drug_era_by_type_columns,
+    drug_era_columns,
     drug_eras_by_type_from_target,
     drug_eras_from_target,
 )
-from spanpack.operators.targets import condition_target, drug_target, prepared_ingredient_map
+from spanpack.operators.packing import collapse_eras, numbered_day_rows
+from spanpack.operators.targets import (
+    COND_END,
+    COND_START,
+    CONDITION_KEYS,
+    DRUG_END,
+    DRUG_KEYS,
+    DRUG_START,
+    condition_target,
+    drug_target,
+    prepared_ingredient_map,
+)
 from spanpack.sources.publish import publish
 
 log = logging.getLogger(__name__)
@@ -75,13 +95,25 @@ def build_era_tables(
         raise ValueError(f"materialize must be one of {MATERIALIZE}")
     out: dict[str, DataFrame] = {}
 
+    def shared_numbering(target, keys, start, end, split):
+        """Plain and by-type outputs from one numbered table, written once
+        to the shared checkpoint folder (recomputed per output without one)."""
+        numbered = numbered_day_rows(target, keys, start, end, cfg.grace_days, split)
+        if materialize != "never":
+            numbered = reliable_checkpoint(numbered) or numbered
+        return collapse_eras(numbered, keys, start), collapse_eras(numbered, keys, start, split)
+
     if {"condition_era", "condition_era_by_type"} & set(outputs):
         with_type = "condition_era_by_type" in outputs
         ct = condition_target(sources["condition_occurrence"], cfg, with_type=with_type)
-        if "condition_era" in outputs:
-            out["condition_era"] = condition_eras_from_target(ct, cfg)
-        if with_type:
+        if with_type and "condition_era" in outputs:
+            plain, typed = shared_numbering(ct, CONDITION_KEYS, COND_START, COND_END, "condition_type_concept_id")
+            out["condition_era"] = condition_era_columns(plain)
+            out["condition_era_by_type"] = condition_era_by_type_columns(typed)
+        elif with_type:
             out["condition_era_by_type"] = condition_eras_by_type_from_target(ct, cfg)
+        else:
+            out["condition_era"] = condition_eras_from_target(ct, cfg)
 
     wanted = [o for o in DRUG_OUTPUTS if o in outputs]
     if wanted:
@@ -97,9 +129,13 @@ def build_era_tables(
         dt = drug_target(sources["drug_exposure"], None, None, cfg, extra=extra, mapping=mapping)
         if materialize == "checkpoint" or (materialize == "auto" and not broadcast and len(wanted) > 1):
             dt = _materialize(dt, required=materialize == "checkpoint")
-        if "drug_era" in wanted:
+        if "drug_era" in wanted and "drug_era_by_type" in wanted:
+            plain, typed = shared_numbering(dt, DRUG_KEYS, DRUG_START, DRUG_END, "drug_type_concept_id")
+            out["drug_era"] = drug_era_columns(plain, gap)
+            out["drug_era_by_type"] = drug_era_by_type_columns(typed)
+        elif "drug_era" in wanted:
             out["drug_era"] = drug_eras_from_target(dt, cfg, gap)
-        if "drug_era_by_type" in wanted:
+        elif "drug_era_by_type" in wanted:
             out["drug_era_by_type"] = drug_eras_by_type_from_target(dt, cfg)
         if "dose_era" in wanted:
             dose = dt.withColumnRenamed("dose_unit_concept_id", "unit_concept_id").withColumnRenamed(

@@ -7,7 +7,8 @@ import os
 from conftest import SF0001
 from spanpack import EraConfig, condition_era, dose_era, drug_era, drug_era_by_type, drug_target
 from spanpack.operators.quality import duplicate_id_report
-from spanpack.plans import build_era_tables, publish_era_tables
+from spanpack.plans import ERA_OUTPUTS, build_era_tables, publish_era_tables
+from spanpack.plans.inspect import scan_details
 from spanpack.sources import fixtures as fx
 
 
@@ -76,3 +77,18 @@ def test_shared_map_is_read_from_the_checkpoint(spark):
         locations = " ".join(s["Location"] for s in scan_details(eras[name]))
         assert "part.parquet" not in locations and "lineitem.parquet" in locations
     assert eras["drug_era"].count() == 6033 and eras["dose_era"].count() == 6516
+
+
+def test_plain_and_typed_outputs_share_one_numbering(spark):
+    from spanpack import condition_era_by_type
+
+    srcs = _sources(spark)
+    drug = (srcs["drug_exposure"], srcs["concept_ancestor"], srcs["concept"])
+    eras = build_era_tables(srcs, outputs=list(ERA_OUTPUTS), gap="both")
+    assert rows(eras["condition_era"]) == rows(condition_era(srcs["condition_occurrence"]))
+    assert rows(eras["condition_era_by_type"]) == rows(condition_era_by_type(srcs["condition_occurrence"]))
+    assert rows(eras["drug_era"]) == rows(drug_era(*drug, gap="both"))
+    assert rows(eras["drug_era_by_type"]) == rows(drug_era_by_type(*drug))
+    for name in ("condition_era", "drug_era"):  # read from the written numbering, not from source files
+        assert all("orders.parquet" not in s["Location"] and "lineitem.parquet" not in s["Location"]
+                   for s in scan_details(eras[name]))

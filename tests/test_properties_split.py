@@ -65,3 +65,16 @@ def test_split_and_row_level_match_model(spark, rows, grace):
     ends = {r.rid: (r.era_end_date - BASE).days for r in assign_era_end(df, ["k"], "s", "e", grace).collect()}
     assert seqs == {rid: v[0] for rid, v in per_row.items()}
     assert ends == {rid: v[1] for rid, v in per_row.items()}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=datasets, grace=st.sampled_from([0, 30]))
+def test_unsplit_eras_from_split_numbering(spark, rows, grace):
+    """Numbering at the type grain gives the same plain eras and gap days."""
+    from spanpack import collapse_eras, numbered_day_rows
+
+    df = frame(spark, rows)
+    cols = ["k", "era_start", "era_end", "record_count", "sum_days", "covered_days"]
+    direct = summarize_eras(df, ["k"], "s", "e", grace).select(*cols).collect()
+    shared = collapse_eras(numbered_day_rows(df, ["k"], "s", "e", grace, split="typ"), ["k"], "s").select(*cols).collect()
+    assert sorted(map(tuple, shared)) == sorted(map(tuple, direct))
