@@ -1,0 +1,20 @@
+"""Failed task attempts are retried and give identical eras (deterministic plans)."""
+
+from __future__ import annotations
+
+import json
+import os
+import subprocess
+import sys
+
+from conftest import SF0001
+
+
+def test_task_retries_give_identical_eras():
+    script = os.path.join(os.path.dirname(os.path.abspath(__file__)), "retry_job.py")
+    out = subprocess.run([sys.executable, script, SF0001], capture_output=True, text=True, timeout=600)
+    lines = [line for line in out.stdout.splitlines() if line.startswith("{")]
+    assert lines, out.stderr[-2000:]
+    result = json.loads(lines[-1])
+    assert result == {"rows": 1446, "scan_retry_equal": True, "shuffle_retry_equal": True}
+    assert out.stderr.count("injected failure (first attempt)") >= 2  # both failures really happened
