@@ -24,6 +24,7 @@ from spanpack import (
     condition_quality_report,
     condition_target,
     dose_era,
+    dose_quality_report,
     drug_era,
     drug_era_by_type,
     drug_quality_report,
@@ -175,6 +176,10 @@ def _condition_quality_report(spark: SparkSession, d: str) -> DataFrame:
     return condition_quality_report(fx.condition_occurrence(spark, d), cfg)
 
 
+def _dose_quality_report(spark: SparkSession, d: str) -> DataFrame:
+    return dose_quality_report(*fx.drug_sources(spark, d))
+
+
 def _drug_exposure_duplicate_ids(spark: SparkSession, d: str) -> DataFrame:
     return duplicate_id_report(fx.drug_exposure(spark, d), ["drug_exposure_id"])
 
@@ -218,6 +223,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_counts": _reconcile_counts,
     "drug_quality_report": _drug_quality_report,
     "condition_quality_report": _condition_quality_report,
+    "dose_quality_report": _dose_quality_report,
     "drug_exposure_duplicate_ids": _drug_exposure_duplicate_ids,
     # packing with a non-default grace over the events table
     "event_era_grace2": _event_era_grace2,
@@ -462,6 +468,13 @@ SELECT reason, row_count FROM (
   UNION ALL SELECT 'unmapped_concept',
                    COUNT(*) FILTER (WHERE condition_concept_id = '{UNMAPPED_CONDITION}') FROM ct
   UNION ALL SELECT 'end_before_start', COUNT(*) FILTER (WHERE e < s) FROM ct)"""
+    q["dose_quality_report"] = _with(_SOURCES) + """
+SELECT reason, row_count FROM (
+  SELECT 'target_rows' AS reason, COUNT(*) AS row_count FROM dt
+  UNION ALL SELECT 'null_dose_value', COUNT(*) FILTER (WHERE dose_value IS NULL) FROM dt
+  UNION ALL SELECT 'null_unit', COUNT(*) FILTER (WHERE unit_concept_id IS NULL) FROM dt
+  UNION ALL SELECT 'dropped_null_unit_or_dose',
+                   COUNT(*) FILTER (WHERE unit_concept_id IS NULL OR dose_value IS NULL) FROM dt)"""
     q["drug_exposure_duplicate_ids"] = _with(_SOURCES) + """
 , per AS (SELECT drug_exposure_id, COUNT(*) AS n FROM de GROUP BY drug_exposure_id HAVING COUNT(*) > 1)
 SELECT COUNT(*) AS duplicate_ids, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS surplus_rows FROM per"""

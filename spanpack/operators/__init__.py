@@ -24,6 +24,7 @@ from spanpack.operators.packing import (
 )
 from spanpack.operators.quality import (
     condition_quality_report,
+    dose_quality_report,
     drug_quality_report,
     duplicate_id_report,
     quality_report,
@@ -60,6 +61,7 @@ __all__ = [
     "condition_quality_report",
     "condition_target",
     "dose_era",
+    "dose_quality_report",
     "dose_target",
     "drug_era",
     "drug_era_by_type",

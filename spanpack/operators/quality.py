@@ -20,6 +20,7 @@ from spanpack.operators.targets import (
     COND_START,
     DRUG_END,
     DRUG_START,
+    dose_target,
     equals_value,
     ingredient_map,
     sized_broadcast,
@@ -122,6 +123,25 @@ def drug_quality_report(
     return quality_report(flagged, checks)
 
 
+def dose_quality_report(
+    drug_exposure: DataFrame,
+    concept_ancestor: DataFrame,
+    concept: DataFrame,
+    cfg: EraConfig = EraConfig(),
+) -> DataFrame:
+    """Q2 at the dose target grain (exposure x ingredient): the rows a dose
+    era drops because the unit or the dose is NULL (SURVEY N4), and the rows
+    it keeps."""
+    t = dose_target(drug_exposure, concept_ancestor, concept, cfg)
+    unit, dose = F.col("unit_concept_id"), F.col("dose_value")
+    return quality_report(t, {
+        "target_rows": F.lit(True),
+        "null_dose_value": dose.isNull(),
+        "null_unit": unit.isNull(),
+        "dropped_null_unit_or_dose": unit.isNull() | dose.isNull(),
+    })
+
+
 def reconcile_counts(target: DataFrame, era: DataFrame, count_col: str) -> DataFrame:
     """Q1: ``target_rows`` (rows that entered packing) vs ``era_count_sum``
     (sum of ``count_col`` over the eras), and whether they match. Use the

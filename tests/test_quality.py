@@ -66,3 +66,13 @@ def test_quarantine_reason_precedence(spark):
     got = sorted(((r.k, r.reason) for r in quarantine(df, ["k"], "s", "e").collect()), key=repr)
     expected = [(None, "null_k"), (1, "end_before_start"), (1, "null_start_date"), (None, "null_k")]
     assert got == sorted(expected, key=repr)
+
+
+def test_dose_quality_report_counts_dropped_target_rows(spark):
+    from spanpack import dose_quality_report
+    from conftest import SF001
+
+    rep = {r.reason: r.row_count for r in dose_quality_report(*fx.drug_sources(spark, SF001)).collect()}
+    # FIXTURES.md: 71,902 target rows, 3,497 with a NULL dose, 68,405 in dose eras
+    assert rep["target_rows"] == 71902 and rep["null_dose_value"] == 3497
+    assert rep["target_rows"] - rep["dropped_null_unit_or_dose"] == 68405
