@@ -146,7 +146,7 @@ def _sub_exposure_days(spark: SparkSession, d: str) -> DataFrame:
 def _condition_gap(which: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
         t = _condition_target(spark, d)
-        e = summarize_eras(t, COND_KEYS, "condition_start_date", "condition_end_date", 30)
+        e = summarize_eras(t, COND_KEYS, "condition_start_date", "condition_end_date", EraConfig().grace_days)
         gap = (
             gap_days_stockpile("era_start", "era_end", "sum_days")
             if which == "stockpile"
