@@ -30,8 +30,8 @@ from spanpack.session import local_session  # noqa: E402
 ROWS = 3_000_000
 
 
-def rows(spark, hot_same_day: bool):
-    base = spark.range(ROWS, numPartitions=16)
+def rows(spark, hot_same_day: bool, n: int = ROWS):
+    base = spark.range(n, numPartitions=16)
     hot = F.col("id") % 3 == 0
     spread = F.date_add(F.lit("2000-01-01").cast("date"), ((F.col("id") * 7919) % 3650).cast("int"))
     start = F.when(hot, F.lit("2005-05-05").cast("date")).otherwise(spread) if hot_same_day else spread
@@ -61,7 +61,7 @@ def stage_stats(logdir: str) -> list[dict]:
     ]
 
 
-def main(scratch: str) -> None:
+def main(scratch: str, n: int = ROWS) -> None:
     logdir = os.path.join(scratch, "eventlog")
     os.makedirs(logdir, exist_ok=True)
     spark = local_session(cores=8, shuffle_partitions=16, extra={
@@ -75,7 +75,7 @@ def main(scratch: str) -> None:
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
     })
     sc = spark.sparkContext
-    df = rows(spark, hot_same_day=False)
+    df = rows(spark, hot_same_day=False, n=n)
     sc.setJobGroup("day_level_eras", "summarize_eras")
     summarize_eras(df, ["k"], "s", "e", 30).write.format("noop").mode("overwrite").save()
     sc.setJobGroup("row_level_window", "single window over rows")
@@ -85,7 +85,7 @@ def main(scratch: str) -> None:
     x = x.withColumn("q", F.sum("o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     x.groupBy("k", "q").agg(F.count("*")).write.format("noop").mode("overwrite").save()
     sc.setJobGroup("pack_intervals_hot_day", "row-level join-back, hot (key, day)")
-    pack_intervals(rows(spark, hot_same_day=True), ["k"], "s", "e", 30).write.format("noop").mode(
+    pack_intervals(rows(spark, hot_same_day=True, n=n), ["k"], "s", "e", 30).write.format("noop").mode(
         "overwrite"
     ).save()
     spark.stop()
@@ -94,4 +94,4 @@ def main(scratch: str) -> None:
 
 
 if __name__ == "__main__":
-    main(sys.argv[1])
+    main(sys.argv[1], int(sys.argv[2]) if len(sys.argv) > 2 else ROWS)
