@@ -12,6 +12,7 @@ side uses the day-level gaps-and-islands window of ``spanpack``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,6 +231,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The training-data operators and their pipeline are one optional part: they
+# are registered if they are there. What they fail to import is an error.
+_LLM = find_spec("spanpack.llm") is not None and find_spec("corpus_pipeline") is not None
+if _LLM:
+    import corpus_pipeline
+    from spanpack.llm import queries as llm_queries
+
+    _QUERIES |= llm_queries.queries()
+    _QUERIES["pipeline"] = corpus_pipeline.run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: drug eras with both gap-day definitions from one pass."""
     return _drug_era_both_gaps(spark, SMOKE_DIR)
@@ -490,4 +502,9 @@ FROM v_rows GROUP BY user_id, event_type, era_end"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    sql = _oracles()
+    if _LLM:
+        sql |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
