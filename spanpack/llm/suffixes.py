@@ -448,7 +448,7 @@ def cut_texts(docs: DataFrame, length: int = 400) -> DataFrame:
     """``docs`` with its columns, the repeated text cut out at whole characters
     and ``n_chars`` counted anew. A null text stays null."""
     joined, name = _with_spans(docs, repeated_spans(docs, length=length), "doc_id", "text")
-    at = docs.columns.index("text")
+    columns, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -459,9 +459,9 @@ def cut_texts(docs: DataFrame, length: int = 400) -> DataFrame:
                         raw = t.encode()
                         t = without(raw, whole_characters(raw, merged(s, length))).decode()
                     texts.append(t)
-                cols = [part.column(c) for c in docs.columns]
+                cols = [part.column(c) for c in columns]
                 cols[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(cols, names=columns)
 
     cut = joined.mapInArrow(run, docs.schema)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut

@@ -1,0 +1,314 @@
+"""The document operators against plain versions, on edge cases and given rows."""
+
+from __future__ import annotations
+
+import collections
+
+import brute
+import numpy as np
+import pytest
+from tests_paths import SF0001
+from pyspark.sql import functions as F
+
+from spanpack.llm import decontam, licenses, lyndon, pieces, queries, sharding, simhash, sketches, suffixes, toxicity
+from spanpack.llm.components import connected_components
+
+
+def rows_of(df, *cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+def texts_of(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def bag(rows):
+    return collections.Counter(rows)
+
+
+# ---------------------------------------------------------------- simhash
+@pytest.mark.parametrize("which", ["edge_docs", "wide_docs", "no_docs"])
+def test_simhash_edges(request, which):
+    docs = request.getfixturevalue(which)
+    rows = texts_of(docs)
+    fps = [brute.simhash(t) for _, t in rows]
+    want = bag(zip([i for i, _ in rows], fps, brute.components([i for i, _ in rows], fps)))
+    got = bag((i, f % 2**64, c) for i, f, c in rows_of(simhash.near_duplicates(docs), "doc_id", "fp", "component_id"))
+    assert got == want
+
+
+def test_simhash_drop_keeps_one(wide_docs):
+    kept = simhash.drop_near_duplicates(wide_docs)
+    assert kept.columns == wide_docs.columns
+    ids = sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.select("doc_id").collect())
+    assert len(ids) == len(set(ids)) or all(x[0] for x in ids if ids.count(x) > 1)
+    assert (False, 1) in ids and (False, 2) not in ids and (False, 3) in ids and (False, 4) not in ids
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_bit_sliced_links(spark, radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2**63, 6)
+    near = [int(b) ^ sum(1 << int(x) for x in set(rng.integers(0, 63, rng.integers(0, 5)))) for b in base for _ in range(60)]
+    nodes = sorted(set(near))
+    found = connected_components(simhash.fingerprint_links(spark.createDataFrame([(n,) for n in nodes], "fp long"), radius))
+    root = dict(rows_of(found, "node", "root"))
+    want = brute.components(nodes, nodes, radius)
+    assert [root.get(n, n) for n in nodes] == want
+
+
+def test_dense_bucket_of_many_words():
+    values = np.arange(300, dtype=np.uint64)
+    a, b = simhash.within_radius(values, 16, np.array([0, 300]), 2)
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if (i ^ j).bit_count() <= 2}
+    assert set(zip(a.tolist(), b.tolist())) == want and len(a) == len(want)
+
+
+def test_components_of_a_path(spark):
+    links = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(101, 100)], "u long, v long")
+    assert dict(rows_of(connected_components(links), "node", "root")) == {**{i: 0 for i in range(1, 61)}, 101: 100}
+    assert connected_components(links.where("u < 0")).count() == 0
+
+
+# ----------------------------------------------------------------- suffix
+def test_suffix_array_matches_sorting():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        t = np.concatenate([rng.integers(1, rng.integers(2, 6), rng.integers(0, 60)), [0]])
+        s = t.tolist()
+        assert lyndon.suffix_array(t).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+    with pytest.raises(ValueError):
+        lyndon.suffix_array(np.array([1, 0, 0]))
+
+
+@pytest.mark.parametrize("which", ["edge_docs", "wide_docs", "no_docs"])
+@pytest.mark.parametrize("length", [40, 400])
+def test_cut_edges(request, which, length):
+    rows = texts_of(request.getfixturevalue(which))
+    want = bag((i, *w) for (i, _), w in zip(rows, brute.cut([t for _, t in rows], length)))
+    out = suffixes.cut_documents(request.getfixturevalue(which), length=length)
+    out = out.select("doc_id", "n_bytes", "n_removed", F.size("spans").alias("n"), F.sha2("kept", 256).alias("h"))
+    assert bag(rows_of(out, "doc_id", "n_bytes", "n_removed", "n", "h")) == want
+
+
+def test_cut_with_hashed_windows(spark):
+    """Anchors with more stretches than a block takes give the same spans."""
+    rng = np.random.default_rng(5)
+    core = "".join(chr(97 + c) for c in rng.integers(0, 26, 60))
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 26, 20)) + core + "".join(chr(97 + c) for c in rng.integers(0, 2, 14)) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {i: suffixes.merged(s, 64) for i, s in rows_of(suffixes.repeated_spans(docs, length=64, anchor=40, block_stretches=3), "doc_id", "spans")}
+    want = brute.cut(texts, 64)
+    assert [sum(b - a for a, b in spans.get(i, [])) for i in range(len(texts))] == [w[1] for w in want] and any(w[1] for w in want)
+
+
+def test_cut_texts_stays_text(edge_docs):
+    out = suffixes.cut_texts(edge_docs, length=40)
+    assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
+    assert all((r["text"] is None and r["n_chars"] is None) or len(r["text"]) == r["n_chars"] for r in out.collect())
+
+
+# ------------------------------------------------------------ fingerprints
+def test_sketches_on_edges(edge_docs):
+    got = rows_of(edge_docs.select("text", sketches.sketch(F.col("text")).alias("s")), "text", "s")
+    assert all(s == brute.sketch(t or "") for t, s in got)
+
+
+def test_next_by_descending_id(spark):
+    rows = [(i, f"t{i}", i % 5) for i in range(0, 900, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, tie long").repartition(5)
+    got = {i: n for i, n in rows_of(sketches.with_next(df, ["text"], "doc_id", "tie", per_part=9), "doc_id", "next_text")}
+    order = sorted((r[0] for r in rows), reverse=True)
+    assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
+
+
+def test_fingerprint_query_edges(spark, tmp_path, edge_docs):
+    edge_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = queries.op3_fingerprints(spark, str(tmp_path)).collect()
+    assert len(out) == edge_docs.count() and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in out)
+    assert {r["n_chars"] for r in out if r["doc_id"] in (3, 4)} == {0}
+
+
+def test_sketches_merge_and_estimate(spark):
+    a, b = [f"x{i} y{i} z{i} p{i} q{i}" for i in range(400)], [f"x{i} y{i} z{i} p{i} q{i}" for i in range(200, 700)]
+    df = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "g long, text string").withColumn("s", sketches.sketch(F.col("text"), 512))
+    pair = df.alias("l").join(df.alias("r"), F.expr("l.g = 1 and r.g = 2")).select(
+        sketches.resemblance(F.col("l.s"), F.col("r.s"), 512).alias("r"), sketches.containment(F.col("l.s"), F.col("r.s"), 512).alias("c"), sketches.distinct_shingles(F.col("l.s"), 512).alias("n")).first()
+    x, y = set(brute.sketch(" ".join(a), 10**6)), set(brute.sketch(" ".join(b), 10**6))
+    assert abs(pair["r"] - len(x & y) / len(x | y)) < 0.07 and abs(pair["c"] - len(x & y) / len(x)) < 0.1 and abs(pair["n"] / len(x) - 1) < 0.15
+    merged = sketches.merge_all(df.withColumn("k", F.lit(0)), ["k"], "s", 512).first()["s"]
+    assert merged == sorted(x | y)[:512]
+
+
+# ---------------------------------------------------------------- sharding
+@pytest.mark.parametrize("which", ["edge_docs", "wide_docs", "no_docs"])
+def test_shards_edges(request, which):
+    docs = request.getfixturevalue(which)
+    out = rows_of(sharding.shard(docs, 4), "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    rows = texts_of(docs)
+    assert bag((r[0], r[1], r[2]) for r in out) == bag((i, len((t or "").encode()) + 1, brute.crc(t)) for i, t in rows)
+    for k in {r[4] for r in out}:
+        assert sorted(r[5] for r in out if r[4] == k) == list(range(sum(r[4] == k for r in out)))
+    assert all(0 <= r[4] < 4 and r[3] == "bytes" and r[6] is None for r in out)
+    by_text = collections.defaultdict(set)
+    for r in out:
+        by_text[r[1], r[2]].add(r[4])
+    assert all(len(s) == 1 for s in by_text.values())
+    if rows:
+        groups = collections.Counter()
+        for _, t in rows:
+            groups[brute.sha((t or "").encode())] += len((t or "").encode()) + 1
+        order = [groups[h] for h in sorted(groups, key=lambda h: (int(h[:3], 16) % sharding.BUCKETS, h))]
+        held = collections.Counter()
+        for r in out:
+            held[r[4]] += r[1]
+        assert max(held.values()) == brute.least_capacity(order, 4)
+
+
+# ---------------------------------------------------------- decontamination
+def test_leaks_with_edits(spark, wide_docs):
+    item = "The quick brown fox jumps over the lazy dog while seven wizards quietly boxed the liquor jugs away."
+    edits = item.replace("lazy", "lzy").replace("seven", "s3ven").replace("quietly", "quiettly").upper()
+    far = item.replace("quick brown", "slow red").replace("lazy dog", "tired cat").replace("wizards", "witches")
+    texts = [(101, "lead in. " + item + " tail"), (102, "x " + edits + " y"), (103, far), (104, item[:50]), (105, None), (106, ""), (107, item.replace(" ", "\n") + " " + item)]
+    docs = wide_docs.unionByName(spark.createDataFrame(texts, "doc_id long, text string"), allowMissingColumns=True)
+    items = spark.createDataFrame([(1, item), (2, None), (3, "short"), (4, ""), (5, "unrelated words that never occur in any of these texts at all")], "item_id long, text string")
+    got = rows_of(decontam.benchmark_leaks(docs, items), "doc_id", "item_id", "start", "end", "edits")
+    assert {g[:2] for g in got} == {(101, 1), (102, 1), (107, 1)} and sum(g[0] == 107 for g in got) == 2
+    assert (101, 1, 9, 9 + len(item), 0) in got
+    for i, t in texts:
+        plain = lambda s: s.lower().replace("\n", " ")
+        leaks = bool(t) and brute.edit_distance_inside(plain(item), plain(t)) <= decontam.edit_budget(len(item))
+        assert leaks == any(g[0] == i for g in got)
+    assert bag(got) == bag(rows_of(decontam.benchmark_leaks(docs, items, block_chars=50), "doc_id", "item_id", "start", "end", "edits"))
+    kept = decontam.drop_leaks(docs, items)
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 3
+    assert decontam.drop_leaks(docs, items.where("item_id < 0")).count() == docs.count()
+    assert decontam.benchmark_leaks(docs.where("false"), items).count() == 0 == decontam.benchmark_leaks(docs, items.where("false")).count()
+
+
+def test_alignment_against_plain_distance():
+    rng = np.random.default_rng(9)
+    for _ in range(25):
+        item = "".join(rng.choice(list("abcdef "), 70))
+        spoilt = list(item)
+        for _ in range(rng.integers(0, 7)):
+            k, at = rng.integers(0, 3), int(rng.integers(0, len(spoilt)))
+            spoilt[at : at + (k != 1)] = "" if k == 0 else "z"
+        text = "".join(rng.choice(list("ghijkl "), 40)) + "".join(spoilt) + "".join(rng.choice(list("ghijkl "), 30))
+        best = brute.edit_distance_inside(item, text)
+        got = decontam.Items([(1, item)]).leaks([text])[0]
+        assert bool(got) == (best <= decontam.edit_budget(70)) and (not got or min(g[3] for g in got) == best)
+
+
+# ------------------------------------------------------------------ pieces
+@pytest.fixture(scope="session")
+def proto():
+    return pieces.model_bytes(queries.tokenizer_path())
+
+
+@pytest.mark.parametrize("which", ["edge_docs", "wide_docs", "no_docs"])
+def test_pieces_match_the_library(request, which, proto):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    docs = request.getfixturevalue(which)
+    got = bag((i, tuple(ids), d) for i, ids, d in rows_of(pieces.encode(docs, proto, decoded=True), "doc_id", "ids", "decoded"))
+    assert got == bag((i, tuple(sp.encode(t or "")), sp.decode(sp.encode(t or ""))) for i, t in texts_of(docs))
+
+
+def test_piece_spans_tile_the_source(proto):
+    model = pieces.PieceModel(proto)
+    for t in ["Hello  world", " lead", "trail  ", "çé😀 ▁ x", "a\nb\t", "\x00"]:
+        ids, begins, ends, firsts = model.encode([t, "", t])
+        a, b = begins[: firsts[1]].tolist(), ends[: firsts[1]].tolist()
+        assert a[0] == 0 and b[-1] == len(t.encode()) and a[1:] == b[:-1] and firsts[1] == firsts[2] and ids[: firsts[1]].tolist() == ids[firsts[2] :].tolist()
+        for i, x, y in zip(ids.tolist(), a, b):
+            piece = model.words.id_to_piece(i)
+            if not model.words.is_byte(i):
+                assert t.encode()[x:y].decode().replace(" ", "▁") in piece
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+@pytest.mark.parametrize("squeeze", [False, True])
+def test_compiled_character_maps(proto, rule, squeeze):
+    """The library's own compiled rules, put into the model."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule, add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=squeeze)
+    fields = [v for f, v in pieces._fields(library.serialized_model_proto()) if f == 3]
+    blob = next(v for f, v in pieces._fields(fields[0]) if f == 2)
+
+    def sized(n):
+        out = b""
+        while n >= 128:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    spec = b"\x12" + sized(len(blob)) + blob + b"\x18\x01\x20" + bytes([squeeze]) + b"\x28\x01"
+    model = pieces.PieceModel(proto + b"\x1a" + sized(len(spec)) + spec)
+    rng = np.random.default_rng(4)
+    letters = list("aé ﬁＡ　Å ½\u200b\tZß㌔e\u0301")
+    for _ in range(300):
+        t = "".join(rng.choice(letters, rng.integers(0, 20)))
+        plain, at = model.normalize(t)
+        assert plain == library.normalize(t) and len(at) == len(plain.encode()) + 1
+        assert model.encode([t])[0].tolist() == model.whole.encode(t)
+
+
+def test_decode_round_trip(edge_docs, proto):
+    out = pieces.decode(pieces.encode(edge_docs.where("doc_id in (1, 9, 13, 16)"), proto), proto)
+    texts = dict(texts_of(edge_docs))
+    assert all(d == texts[i] for i, d in rows_of(out, "doc_id", "decoded"))
+
+
+# ---------------------------------------------------------------- toxicity
+def test_grammar_outcomes():
+    r = toxicity.Grammar(insults={"idiot": 2.0, "moro*": 3.0}).reader()
+    one = lambda t: {toxicity.OUTCOMES[k]: v for k, v in enumerate(r.outcomes(t)) if v}
+    assert one("what an IDIOT this was") == {"insult": 2.0}
+    assert one("you are an idiot. fine") == {"insult aimed": 2.0}
+    assert one("he is not an idiot") == {"insult negated": 2.0}
+    assert one("she said idiot once; moronic") == {"insult reported": 2.0, "insult": 3.0}
+    assert one('a "big idiot" it read') == {"insult reported": 2.0}
+    assert one("i will kill you") == {"threat aimed": 1.0} and one("i never kill time") == {"threat weakened": 1.0}
+    assert one("idiotic semimoron idio") == {} and one("") == {}
+    assert r.score("you idiot, you idiot") > r.score("you idiot") > r.score("not an idiot") >= r.score("")
+
+
+def test_learned_toxicity_holds_out(spark):
+    got = queries.op4_toxicity(spark, SF0001.replace("0.001", "0.01"))
+    labels = spark.read.parquet(f"{SF0001.replace('0.001', '0.01')}/labels.parquet")
+    both = got.join(labels, "doc_id").where("held_out").select("predicted", "toxic").collect()
+    assert sum(r["predicted"] == r["toxic"] for r in both) >= 0.95 * len(both)
+
+
+def test_toxicity_edges(spark, wide_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (None, 1), (9, None), (10, 5)], "doc_id long, toxic int")
+    for docs in (wide_docs, no_docs):
+        for lab in (labels, labels.where("false")):
+            g = toxicity.learn(docs, lab, lambda i: F.lit(True))
+            assert toxicity.score_documents(docs, g).where("score between 0 and 1").count() == docs.count()
+            assert toxicity.drop_toxic(docs, g).columns == docs.columns
+
+
+# ---------------------------------------------------------------- licences
+def test_licences(spark, wide_docs):
+    t = licenses.TEMPLATES
+    texts = [(201, "x\n" + t["MIT"] + "\ny"), (202, t["GPL-3.0"].replace("version 3", "version 2")), (203, t["GPL-3.0 header"].replace(" modify it under ", " modify it under\n")),
+             (204, "Permission was never granted by the public"), (205, t["CC-BY-4.0"] + " " + t["Apache-2.0"]), (206, None), (207, "Released under the MPL License.")]
+    docs = wide_docs.unionByName(spark.createDataFrame(texts, "doc_id long, text string"), allowMissingColumns=True)
+    got = rows_of(licenses.licence_notices(docs), "doc_id", "license", "start", "end", "cover")
+    assert {g[:2] for g in got} == {(201, "MIT"), (202, "GPL-2.0"), (203, "GPL-3.0 header"), (205, "CC-BY-4.0"), (205, "Apache-2.0")}
+    assert next(g for g in got if g[0] == 201)[2:] == (2, 2 + len(t["MIT"]) - 1, 1.0)
+    assert licenses.licence_notices(docs.where("false")).count() == 0
+
+
+def test_given_licences_are_found(spark):
+    docs = spark.read.parquet(f"{SF0001.replace('0.001', '0.01')}/documents.parquet")
+    got = collections.Counter(r[0] for r in rows_of(licenses.licence_notices(docs), "license"))
+    want = collections.Counter()
+    for (text,) in rows_of(docs, "text"):
+        for name in ("MIT", "Apache-2.0", "GPL-3.0", "CC-BY-NC-4.0"):
+            want[name] += text.count(licenses.TEMPLATES[name])
+    assert got == want and sum(want.values())
