@@ -196,6 +196,22 @@ def _event_era_grace2(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _repeated_drugs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return fx.repeated_exposures(spark, d), *fx.drug_sources(spark, d)[1:]
+
+
+def _drug_era_filtered(spark: SparkSession, d: str) -> DataFrame:
+    """T4 and T5 within a drug build: one drug counts as unmapped, and rows
+    without a supply of 0 or more go."""
+    cfg = EraConfig(exclude_unmapped=True, unmapped_id=1, require_nonneg_supply=True)
+    return drug_era(*fx.drug_sources(spark, d), cfg, gap="covered")
+
+
+def _dose_era_fine_doses(spark: SparkSession, d: str) -> DataFrame:
+    eras = dose_era(fx.fine_doses(spark, d), *fx.drug_sources(spark, d)[1:])
+    return eras.withColumn("dose_value", F.col("dose_value").cast("double"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # E1-E6
     "condition_era": _condition_era,
@@ -205,6 +221,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drug_era_both_gaps": _drug_era_both_gaps,
     "drug_era_by_type": _drug_era_by_type,
     "dose_era": _dose_era,
+    "dose_era_fine_doses": _dose_era_fine_doses,
+    "drug_era_filtered": _drug_era_filtered,
+    # A6: ids that repeat
+    "condition_era_repeated_ids": lambda s, d: condition_era(fx.repeated_conditions(s, d)),
+    "condition_era_by_type_repeated_ids": lambda s, d: condition_era_by_type(fx.repeated_conditions(s, d)),
+    "drug_era_stockpile_repeated_ids": lambda s, d: drug_era(*_repeated_drugs(s, d), gap="stockpile"),
+    "drug_era_covered_repeated_ids": lambda s, d: drug_era(*_repeated_drugs(s, d), gap="covered"),
+    "drug_era_by_type_repeated_ids": lambda s, d: drug_era_by_type(*_repeated_drugs(s, d)),
     # T1-T5
     "drug_end_normalized": _drug_end_normalized,
     "condition_end_normalized": _condition_end_normalized,
@@ -362,8 +386,85 @@ _DRUG_SWEEP = _sweep("dt", DRUG_KEYS, 30, "g")
 _DOSE_KEYS = ["person_id", "ingredient_concept_id", "unit_concept_id", "dose_value"]
 
 
-def _oracles() -> dict[str, str]:
+# The same sources with ids that repeat (see spanpack.sources.fixtures).
+_REPEATED = _SOURCES.replace("\nco AS (", "\nco_once AS (").replace("\nde AS (", "\nde_once AS (").replace("\nct AS (", """
+co AS (
+  SELECT * FROM co_once
+  UNION ALL SELECT * FROM co_once WHERE condition_occurrence_id % 4 = 0
+  UNION ALL SELECT * REPLACE (COALESCE(condition_end_date, condition_start_date) + 9 AS condition_end_date)
+            FROM co_once WHERE condition_occurrence_id % 4 = 1
+  UNION ALL SELECT * REPLACE ('Z' AS condition_type_concept_id) FROM co_once WHERE condition_occurrence_id % 4 = 2),
+ct AS (""").replace("\nca AS (", """
+de AS (
+  SELECT * FROM de_once
+  UNION ALL SELECT * FROM de_once WHERE CAST(split_part(drug_exposure_id, '|', 2) AS INTEGER) % 3 = 1
+  UNION ALL SELECT * REPLACE (days_supply + 7 AS days_supply, drug_exposure_end_date + 7 AS drug_exposure_end_date)
+            FROM de_once WHERE CAST(split_part(drug_exposure_id, '|', 2) AS INTEGER) % 3 = 2
+  UNION ALL SELECT * REPLACE ('Z' AS drug_type_concept_id)
+            FROM de_once WHERE CAST(split_part(drug_exposure_id, '|', 2) AS INTEGER) % 3 = 0),
+ca AS (""")
+
+
+def _repeated_oracles() -> dict[str, str]:
+    """Counts by id, as the scripts group: an id counts once for its keys and
+    start, stockpile eras once more for each different length."""
     q: dict[str, str] = {}
+    one = "COUNT(DISTINCT concat_ws('|', {0}, CAST(s AS VARCHAR)))"
+    q["condition_era_repeated_ids"] = _with(_REPEATED, _COND_SWEEP) + f"""
+SELECT person_id, condition_concept_id,
+       MIN(s) AS condition_era_start_date, era_end AS condition_era_end_date,
+       {one.format("condition_occurrence_id")} AS condition_occurrence_count
+FROM c_rows GROUP BY person_id, condition_concept_id, era_end"""
+    q["condition_era_by_type_repeated_ids"] = _with(_REPEATED, _COND_SWEEP) + f"""
+SELECT person_id, condition_concept_id,
+       MIN(s) AS condition_era_start_date, era_end AS condition_era_end_date,
+       condition_type_concept_id, {one.format("condition_occurrence_id")} AS condition_occurrence_count
+FROM c_rows GROUP BY person_id, condition_concept_id, condition_type_concept_id, era_end"""
+    q["drug_era_stockpile_repeated_ids"] = _with(_REPEATED, _DRUG_SWEEP) + """
+, g_once AS (SELECT DISTINCT person_id, ingredient_concept_id, era_end, drug_exposure_id, s, e FROM g_rows)
+SELECT person_id, ingredient_concept_id AS drug_concept_id,
+       MIN(s) AS drug_era_start_date, era_end AS drug_era_end_date,
+       COUNT(*) AS drug_exposure_count, CAST((era_end - MIN(s)) - SUM(e - s) AS BIGINT) AS gap_days
+FROM g_once GROUP BY person_id, ingredient_concept_id, era_end"""
+    q["drug_era_covered_repeated_ids"] = _with(_REPEATED, _DRUG_SWEEP, _covered("g_rows", DRUG_KEYS, "g")) + f"""
+, g_era AS (
+  SELECT person_id, ingredient_concept_id, era_end, MIN(s) AS era_start, {one.format("drug_exposure_id")} AS n
+  FROM g_rows GROUP BY person_id, ingredient_concept_id, era_end)
+SELECT a.person_id, a.ingredient_concept_id AS drug_concept_id,
+       a.era_start AS drug_era_start_date, a.era_end AS drug_era_end_date, a.n AS drug_exposure_count,
+       CAST((a.era_end - a.era_start) - COALESCE(c.covered, 0) AS BIGINT) AS gap_days
+FROM g_era a LEFT JOIN g_cov c
+  ON a.person_id = c.person_id AND a.ingredient_concept_id = c.ingredient_concept_id
+ AND a.era_end = c.era_end"""
+    q["drug_era_by_type_repeated_ids"] = _with(_REPEATED, _DRUG_SWEEP) + f"""
+SELECT person_id, ingredient_concept_id AS drug_concept_id,
+       MIN(s) AS drug_era_start_date, era_end AS drug_era_end_date,
+       drug_type_concept_id, {one.format("drug_exposure_id")} AS drug_exposure_count
+FROM g_rows GROUP BY person_id, ingredient_concept_id, drug_type_concept_id, era_end"""
+    filtered = _SOURCES.replace("FROM de),", "FROM de WHERE drug_concept_id <> 1 AND days_supply >= 0),")
+    q["drug_era_filtered"] = _with(filtered, _DRUG_SWEEP, _covered("g_rows", DRUG_KEYS, "g")) + """
+, g_era AS (
+  SELECT person_id, ingredient_concept_id, era_end, MIN(s) AS era_start, COUNT(*) AS n
+  FROM g_rows GROUP BY person_id, ingredient_concept_id, era_end)
+SELECT a.person_id, a.ingredient_concept_id AS drug_concept_id,
+       a.era_start AS drug_era_start_date, a.era_end AS drug_era_end_date, a.n AS drug_exposure_count,
+       CAST((a.era_end - a.era_start) - COALESCE(c.covered, 0) AS BIGINT) AS gap_days
+FROM g_era a LEFT JOIN g_cov c
+  ON a.person_id = c.person_id AND a.ingredient_concept_id = c.ingredient_concept_id
+ AND a.era_end = c.era_end"""
+    fine = _SOURCES.replace(
+        "CASE WHEN l_discount = 0 THEN NULL\n              ELSE CAST(ceil(l_quantity / 25) AS DECIMAL(18,2)) END AS effective_drug_dose",
+        "CAST(0.0125 + (l_linenumber % 3) * 0.0003 AS DECIMAL(18,4)) AS effective_drug_dose",
+    )
+    q["dose_era_fine_doses"] = _with(fine, _sweep("dt", _DOSE_KEYS, 30, "x")) + """
+SELECT person_id, ingredient_concept_id AS drug_concept_id, unit_concept_id, CAST(dose_value AS DOUBLE) AS dose_value,
+       MIN(s) AS dose_era_start_date, era_end AS dose_era_end_date
+FROM x_rows GROUP BY person_id, ingredient_concept_id, unit_concept_id, dose_value, era_end"""
+    return q
+
+
+def _oracles() -> dict[str, str]:
+    q = _repeated_oracles()
     q["condition_era"] = _with(_SOURCES, _COND_SWEEP) + """
 SELECT person_id, condition_concept_id,
        MIN(s) AS condition_era_start_date, era_end AS condition_era_end_date,
@@ -390,7 +491,7 @@ FROM g_era a LEFT JOIN g_cov c
     q["drug_era_stockpile"] = drug_eras.format(gaps=f"{stock} AS gap_days")
     q["drug_era_covered"] = drug_eras.format(gaps=f"{cover} AS gap_days")
     q["drug_era_both_gaps"] = drug_eras.format(
-        gaps=f"{stock} AS gap_days_stockpile, {cover} AS gap_days_covered"
+        gaps=f"a.n AS drug_exposure_count_stockpile, {stock} AS gap_days_stockpile, {cover} AS gap_days_covered"
     )
     q["drug_era_by_type"] = _with(_SOURCES, _DRUG_SWEEP) + """
 SELECT person_id, ingredient_concept_id AS drug_concept_id,

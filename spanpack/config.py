@@ -54,17 +54,14 @@ class EraConfig:
     nonneg_supply_keeps_null: bool = False
     # what to do with intervals whose end precedes their start
     invalid: str = "quarantine"
-    # drop exact duplicate target rows (same id, key and interval) before
-    # packing; record ids are unique by contract, so this is off by default
-    dedupe_rows: bool = False
+    # a record id that repeats with one key and start counts once; True trusts
+    # ids to be unique and counts rows, which saves two local aggregates
+    assume_unique_ids: bool = False
     # ingredient selection in the concept table
     vocabulary_column: str = "vocabulary_id"
     vocabulary_value: Any = DEFAULT_VOCABULARY_VALUE
     class_column: str = "concept_class"
     class_value: Any = DEFAULT_CLASS_VALUE
-    # largest descendant->ingredient map (rows) that is broadcast to executors;
-    # above it the rollup join is a shuffle join (AQE may still downgrade it)
-    broadcast_max_rows: int = 2_000_000
     tables: TableNames = field(default_factory=TableNames)
 
     def __post_init__(self) -> None:
@@ -73,5 +70,9 @@ class EraConfig:
         if self.grace_days < 0 or self.default_days < 0:
             raise ValueError("grace_days and default_days must be >= 0")
 
+    def id_column(self, name: str) -> str | None:
+        """The id to count by, or None where rows are trusted to be unique."""
+        return None if self.assume_unique_ids else name
+
     def with_(self, **changes: Any) -> "EraConfig":
         return replace(self, **changes)

@@ -46,7 +46,7 @@ def drug_end_source(end: str | Column, days_supply: str | Column) -> Column:
     """Which branch of :func:`drug_end_date` produced the end date."""
     return (
         F.when(_c(end).isNotNull(), F.lit("given"))
-        .when(_c(days_supply) != 0, F.lit("supply"))
+        .when(_c(days_supply).cast("int") != 0, F.lit("supply"))
         .otherwise(F.lit("default"))
     )
 

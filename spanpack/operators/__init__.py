@@ -41,7 +41,6 @@ from spanpack.operators.targets import (
     ingredient_map,
     normalize_condition_end,
     normalize_drug_end,
-    prepared_ingredient_map,
     rollup_to_ingredient,
 )
 
@@ -57,7 +56,6 @@ __all__ = [
     "drug_eras_by_type_from_target",
     "drug_eras_from_target",
     "duplicate_id_report",
-    "prepared_ingredient_map",
     "condition_quality_report",
     "condition_target",
     "dose_era",

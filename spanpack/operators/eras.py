@@ -31,7 +31,10 @@ GAP_METHODS = ("stockpile", "covered", "both")
 
 def condition_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """E1 over an already built :func:`condition_target`."""
-    return condition_era_columns(summarize_eras(target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days))
+    e = summarize_eras(
+        target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days, id_col=cfg.id_column("condition_occurrence_id")
+    )
+    return condition_era_columns(e)
 
 
 def condition_era_columns(e: DataFrame) -> DataFrame:
@@ -48,7 +51,8 @@ def condition_era_columns(e: DataFrame) -> DataFrame:
 def condition_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """E2 over a :func:`condition_target` built with ``with_type=True``."""
     e = summarize_eras(
-        target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days, split="condition_type_concept_id"
+        target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days,
+        split="condition_type_concept_id", id_col=cfg.id_column("condition_occurrence_id"),
     )
     return condition_era_by_type_columns(e)
 
@@ -67,11 +71,16 @@ def condition_era_by_type_columns(e: DataFrame) -> DataFrame:
 
 def drug_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig(), gap: str = "stockpile") -> DataFrame:
     """E3/E4 over an already built :func:`drug_target`."""
-    return drug_era_columns(summarize_eras(target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days), gap)
+    e = summarize_eras(
+        target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days, id_col=cfg.id_column("drug_exposure_id")
+    )
+    return drug_era_columns(e, gap)
 
 
 def drug_era_columns(e: DataFrame, gap: str = "stockpile") -> DataFrame:
-    """E3/E4 columns from a :func:`summarize_eras` result."""
+    """E3/E4 columns from a :func:`summarize_eras` result. Stockpile eras count
+    an exposure once per different length, covered eras once per id; ``both``
+    carries the stockpile count as well."""
     if gap not in GAP_METHODS:
         raise ValueError(f"gap must be one of {GAP_METHODS}")
     stock = gap_days_stockpile("era_start", "era_end", "sum_days")
@@ -79,14 +88,19 @@ def drug_era_columns(e: DataFrame, gap: str = "stockpile") -> DataFrame:
     gaps = {
         "stockpile": [stock.alias("gap_days")],
         "covered": [cover.alias("gap_days")],
-        "both": [stock.alias("gap_days_stockpile"), cover.alias("gap_days_covered")],
+        "both": [
+            F.col("interval_count").alias("drug_exposure_count_stockpile"),
+            stock.alias("gap_days_stockpile"),
+            cover.alias("gap_days_covered"),
+        ],
     }[gap]
+    count = "interval_count" if gap == "stockpile" else "record_count"
     return e.select(
         "person_id",
         F.col("ingredient_concept_id").alias("drug_concept_id"),
         F.col("era_start").alias("drug_era_start_date"),
         F.col("era_end").alias("drug_era_end_date"),
-        F.col("record_count").alias("drug_exposure_count"),
+        F.col(count).alias("drug_exposure_count"),
         *gaps,
     )
 
@@ -94,7 +108,8 @@ def drug_era_columns(e: DataFrame, gap: str = "stockpile") -> DataFrame:
 def drug_eras_by_type_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """E5 over a :func:`drug_target` that carries ``drug_type_concept_id``."""
     e = summarize_eras(
-        target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days, split="drug_type_concept_id"
+        target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days,
+        split="drug_type_concept_id", id_col=cfg.id_column("drug_exposure_id"),
     )
     return drug_era_by_type_columns(e)
 

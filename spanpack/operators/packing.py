@@ -15,8 +15,9 @@ Plan shape (skew-safe by construction)
 2. A window ``partitionBy(keys).orderBy(start)`` over those day rows numbers
    the runs. Its per-key input is bounded by the number of distinct start
    days of that key (a calendar bound: ~36,500 rows for a century of daily
-   records), never by the number of records, so no task holds an unbounded
-   group.
+   records), times the number of split values where the rows are numbered at
+   a split grain, never by the number of records, so no task holds an
+   unbounded group.
 3. ``groupBy(keys, era_seq)`` reuses the window's hash partitioning on
    ``keys``: no further exchange.
 
@@ -40,6 +41,7 @@ from spanpack.functions.dates import covered_days, days_between, opens_new_run
 
 # internal column names
 N = "_n"
+N_INTERVALS = "_n_intervals"
 DAY_END = "_day_end"
 LEN = "_len"
 PREV = "_prev_end"
@@ -64,16 +66,41 @@ def drop_null_keys(df: DataFrame, keys: Sequence[str], start: str, end: str) ->
 
 
 def day_summary(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, split: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    start: str,
+    end: str,
+    split: str | None = None,
+    id_col: str | None = None,
 ) -> DataFrame:
-    """One row per (keys, start day[, split]): record count, latest end and
-    summed record length. Partial aggregation runs before the shuffle."""
+    """One row per (keys, start day[, split]): record count, latest end, number
+    and summed length of the record intervals. Partial aggregation runs before
+    the shuffle.
+
+    With ``id_col`` a record id counts once per (keys, start[, split]), with
+    its latest end; intervals count once per id and end. The rows are then
+    dealt by ``(keys, start)`` first, which serves both aggregates: the
+    shuffles stay as many."""
     group = [*keys, start, *([split] if split else [])]
-    return df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias(N),
+    if id_col is None:
+        return df.groupBy(*group).agg(
+            F.count(F.lit(1)).alias(N),
+            F.max(end).alias(DAY_END),
+            F.count(F.lit(1)).alias(N_INTERVALS),
+            F.sum(days_between(start, end)).alias(LEN),
+        )
+    ends = df.repartition(*keys, start).select(*group, id_col, end).distinct()
+    per_id = ends.groupBy(*group, id_col).agg(
         F.max(end).alias(DAY_END),
+        F.count(F.lit(1)).alias(N_INTERVALS),
         F.sum(days_between(start, end)).alias(LEN),
     )
+    return per_id.groupBy(*group).agg(
+        F.count(F.lit(1)).alias(N),
+        F.max(DAY_END).alias(DAY_END),
+        F.sum(N_INTERVALS).alias(N_INTERVALS),
+        F.sum(LEN).alias(LEN),
+    )
 
 
 def number_runs(days: DataFrame, keys: Sequence[str], start: str, grace_days: int) -> DataFrame:
@@ -97,9 +124,10 @@ def _numbered_days(
     end: str,
     grace_days: int,
     split: str | None = None,
+    id_col: str | None = None,
 ) -> DataFrame:
     clean = drop_null_keys(df, keys, start, end)
-    return number_runs(day_summary(clean, keys, start, end, split), keys, start, grace_days)
+    return number_runs(day_summary(clean, keys, start, end, split, id_col), keys, start, grace_days)
 
 
 def numbered_day_rows(
@@ -109,11 +137,12 @@ def numbered_day_rows(
     end: str,
     grace_days: int = 30,
     split: str | None = None,
+    id_col: str | None = None,
 ) -> DataFrame:
     """Day rows (per keys, start day[, split]) with their run number: the
     shared input of :func:`collapse_eras`. Numbering at the split grain also
     serves the unsplit eras, so one numbered table can feed both."""
-    return _numbered_days(df, _keys(keys), start, end, grace_days, split)
+    return _numbered_days(df, _keys(keys), start, end, grace_days, split, id_col)
 
 
 def collapse_eras(numbered: DataFrame, keys: str | Sequence[str], start: str, split: str | None = None) -> DataFrame:
@@ -125,6 +154,7 @@ def collapse_eras(numbered: DataFrame, keys: str | Sequence[str], start: str, sp
             F.min(start).alias("era_start"),
             F.max(DAY_END).alias("era_end"),
             F.sum(N).alias("record_count"),
+            F.sum(N_INTERVALS).alias("interval_count"),
             F.sum(LEN).alias("sum_days"),
             F.sum(COVERED).alias("covered_days"),
         )
@@ -144,12 +174,18 @@ def summarize_eras(
     end: str,
     grace_days: int = 30,
     split: str | None = None,
+    id_col: str | None = None,
 ) -> DataFrame:
     """Era table: one row per (keys, run[, split]).
 
     Columns: ``keys``, [``split``], ``era_seq``, ``era_start``, ``era_end``,
-    ``record_count``, and without ``split`` also ``sum_days`` (summed record
-    lengths) and ``covered_days`` (length of the union of the records).
+    ``record_count``, and without ``split`` also ``interval_count``,
+    ``sum_days`` (summed interval lengths) and ``covered_days`` (length of the
+    union of the records).
+
+    Without ``id_col`` every row is a record and an interval. With it, rows
+    that repeat an id, key and start are one record that lasts to its latest
+    end; each different end is an interval of its own.
 
     With ``split`` the run boundaries ignore the split column; each run is
     reported once per split value present in it, with the run's end and the
@@ -157,7 +193,7 @@ def summarize_eras(
     may overlap in time).
     """
     keys = _keys(keys)
-    return collapse_eras(_numbered_days(df, keys, start, end, grace_days, split), keys, start, split)
+    return collapse_eras(_numbered_days(df, keys, start, end, grace_days, split, id_col), keys, start, split)
 
 
 def era_end_dates(

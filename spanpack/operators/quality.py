@@ -23,7 +23,6 @@ from spanpack.operators.targets import (
     dose_target,
     equals_value,
     ingredient_map,
-    sized_broadcast,
     valid_interval,
 )
 from spanpack.schemas import as_date, require_columns
@@ -96,10 +95,9 @@ def drug_quality_report(
     require_columns(
         de, ["person_id", "drug_concept_id", DRUG_START, DRUG_END, "days_supply"], "drug_exposure"
     )
-    mapped = ingredient_map(concept_ancestor, concept, cfg).select(
+    mapped = ingredient_map(concept_ancestor, concept, cfg).groupBy(
         F.col("descendant_concept_id").alias("_mapped_id")
-    ).distinct()
-    mapped, _ = sized_broadcast(mapped, cfg.broadcast_max_rows, "mapped drug ids")
+    ).agg(F.count(F.lit(1)).alias("_ingredients"))
     flagged = de.join(mapped, F.col("drug_concept_id") == F.col("_mapped_id"), "left")
     start = as_date(de, DRUG_START)
     given = as_date(de, DRUG_END)
@@ -156,7 +154,7 @@ def reconcile_counts(target: DataFrame, era: DataFrame, count_col: str) -> DataF
 def duplicate_id_report(df: DataFrame, id_cols: list[str] | tuple[str, ...]) -> DataFrame:
     """One row: how many ids occur more than once and how many surplus rows
     they bring. Record ids must be unique for era counts to be exact (see
-    ``EraConfig.dedupe_rows``). Partial aggregation collapses a repeated id
+    ``EraConfig.assume_unique_ids``). Partial aggregation collapses a repeated id
     on the map side, so a hot id does not overload one task."""
     per_id = df.groupBy(*id_cols).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     return per_id.agg(

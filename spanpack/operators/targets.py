@@ -12,19 +12,14 @@ them and enforce the interval contract of :mod:`spanpack.operators.packing`.
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanpack.checkpoint import reliable_checkpoint
 from spanpack.config import EraConfig
 from spanpack.functions.dates import condition_end_date, drug_end_date, drug_end_source
 from spanpack.schemas import as_date, require_columns
 
-log = logging.getLogger(__name__)
-
 DRUG_KEYS = ["person_id", "ingredient_concept_id"]
 DOSE_KEYS = ["person_id", "ingredient_concept_id", "unit_concept_id", "dose_value"]
 CONDITION_KEYS = ["person_id", "condition_concept_id"]
@@ -104,20 +99,6 @@ def filter_nonneg_supply(df: DataFrame, keep_null: bool = False) -> DataFrame:
 
 
 # ---------------------------------------------------------------- T3
-def sized_broadcast(df: DataFrame, max_rows: int, what: str) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The count is one small job over the (small) vocabulary tables. Above the
-    bound the caller's join stays a shuffle join; AQE may still turn it into
-    a broadcast at run time if the real size allows.
-    """
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    log.warning("%s has %d rows > %d: using a shuffle join", what, n, max_rows)
-    return df, False
-
-
 def ingredients(concept: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """Concept ids that are ingredients of the configured vocabulary."""
     require_columns(concept, ["concept_id", cfg.vocabulary_column, cfg.class_column], "concept")
@@ -127,63 +108,20 @@ def ingredients(concept: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     return concept.filter(sel).select(F.col("concept_id").alias("ingredient_concept_id"))
 
 
-def _map_from(concept_ancestor: DataFrame, ingredient_ids: DataFrame) -> DataFrame:
-    pairs = concept_ancestor.join(
-        ingredient_ids, F.col("ancestor_concept_id") == F.col("ingredient_concept_id")
-    )
-    return pairs.select("descendant_concept_id", "ingredient_concept_id").distinct()
-
-
 def ingredient_map(
     concept_ancestor: DataFrame, concept: DataFrame, cfg: EraConfig = EraConfig()
 ) -> DataFrame:
     """(descendant_concept_id, ingredient_concept_id): each drug concept with
     every ingredient among its ancestors. De-duplicated, so a repeated
-    ancestor row cannot double-count an exposure."""
+    ancestor row cannot double-count an exposure. Spark decides by its own
+    size threshold and at run time whether the map is broadcast."""
     require_columns(
         concept_ancestor, ["ancestor_concept_id", "descendant_concept_id"], "concept_ancestor"
     )
-    ing, _ = sized_broadcast(ingredients(concept, cfg), cfg.broadcast_max_rows, "ingredient set")
-    return _map_from(concept_ancestor, ing)
-
-
-def prepared_ingredient_map(
-    concept_ancestor: DataFrame,
-    concept: DataFrame,
-    cfg: EraConfig = EraConfig(),
-    materialize: bool = False,
-) -> tuple[DataFrame, bool]:
-    """The ingredient map, broadcast-hinted when its checked size allows;
-    returns (map, is_broadcast).
-
-    One small job counts both the ingredient set and the map; each is
-    broadcast only if its count is within ``cfg.broadcast_max_rows``. With
-    ``materialize=True`` (several jobs reuse the map) and a shared checkpoint
-    folder, a broadcastable map is written there once and later jobs read
-    that copy instead of the vocabulary.
-    """
-    require_columns(
-        concept_ancestor, ["ancestor_concept_id", "descendant_concept_id"], "concept_ancestor"
+    pairs = concept_ancestor.join(
+        ingredients(concept, cfg), F.col("ancestor_concept_id") == F.col("ingredient_concept_id")
     )
-    ing = ingredients(concept, cfg)
-    sizes = ing.agg(F.count(F.lit(1)).alias("n_ing")).crossJoin(
-        _map_from(concept_ancestor, ing).agg(F.count(F.lit(1)).alias("n_map"))
-    ).first()
-    limit = cfg.broadcast_max_rows
-    if sizes.n_ing == 0:
-        log.warning(
-            "no concept has %s = %r and %s = %r: no drug can map to an ingredient",
-            cfg.vocabulary_column, cfg.vocabulary_value, cfg.class_column, cfg.class_value,
-        )
-    if sizes.n_ing > limit:
-        log.warning("ingredient set has %d rows > %d: using a shuffle join", sizes.n_ing, limit)
-    mapping = _map_from(concept_ancestor, F.broadcast(ing) if sizes.n_ing <= limit else ing)
-    if sizes.n_map <= limit:
-        if materialize:
-            mapping = reliable_checkpoint(mapping) or mapping
-        return F.broadcast(mapping), True
-    log.warning("ingredient map has %d rows > %d: using a shuffle join", sizes.n_map, limit)
-    return mapping, False
+    return pairs.select("descendant_concept_id", "ingredient_concept_id").distinct()
 
 
 def rollup_to_ingredient(
@@ -197,11 +135,11 @@ def rollup_to_ingredient(
     ``ingredient_concept_id``; a combination drug fans out to one row per
     ingredient and a drug without an ingredient ancestor disappears.
 
-    ``mapping`` (from :func:`prepared_ingredient_map`) skips rebuilding and
-    re-checking the map when several targets share it."""
+    ``mapping`` (from :func:`ingredient_map`) skips rebuilding the map when
+    several targets share it."""
     require_columns(exposure, ["drug_concept_id"], "drug_exposure")
     if mapping is None:
-        mapping, _ = prepared_ingredient_map(concept_ancestor, concept, cfg)
+        mapping = ingredient_map(concept_ancestor, concept, cfg)
     joined = exposure.join(mapping, F.col("drug_concept_id") == F.col("descendant_concept_id"))
     return joined.drop("descendant_concept_id")
 
@@ -235,8 +173,7 @@ def condition_target(
     if cfg.exclude_unmapped:
         df = filter_unmapped(df, "condition_concept_id", cfg.unmapped_id)
     df = normalize_condition_end(df, cfg.default_days)
-    df = enforce_valid(df, CONDITION_KEYS, COND_START, COND_END, cfg.invalid)
-    return df.distinct() if cfg.dedupe_rows else df
+    return enforce_valid(df, CONDITION_KEYS, COND_START, COND_END, cfg.invalid)
 
 
 def _drug_source(drug_exposure: DataFrame, cfg: EraConfig, extra: list[str]) -> DataFrame:
@@ -263,11 +200,10 @@ def drug_target(
     df = _drug_source(drug_exposure, cfg, list(extra))
     df = enforce_valid(df, ["person_id"], DRUG_START, DRUG_END, cfg.invalid)
     df = rollup_to_ingredient(df, concept_ancestor, concept, cfg, mapping=mapping)
-    df = df.select(
+    return df.select(
         "drug_exposure_id", "person_id", "ingredient_concept_id", *extra,
         DRUG_START, DRUG_END, "days_supply",
     )
-    return df.distinct() if cfg.dedupe_rows else df
 
 
 def dose_target(

@@ -1,30 +1,22 @@
 """Whole-job plans: build (and publish) several era tables from one set of sources.
 
 All drug outputs share one drug target (exposure x ingredient with type,
-unit and dose carried along) and one size-checked ingredient map. With more
+unit and dose carried along) and one ingredient map. With more
 than one drug output the map is written once to the shared checkpoint
 folder (when the session has one), so the vocabulary is read once.
 
-Plain and by-type variants of one table (e.g. ``drug_era`` and
-``drug_era_by_type``) share one run numbering: the day rows are numbered at
-the (keys, day, type) grain, written once to the checkpoint folder, and both
-outputs aggregate that table (a run's boundaries never depend on the type).
-
-Materialising the shared target
--------------------------------
-When the ingredient map is broadcast, the rollup is a map-side join: each
-output re-derives the target from a pruned Parquet scan more cheaply than
-writing and re-reading it, so nothing is materialised. When the map is too
-large to broadcast the rollup shuffles every exposure; then, with more than
-one drug output, the target is written once with ``DataFrame.checkpoint`` to
-the cluster's shared ``spark.checkpoint.dir`` (reliable storage that
-survives executor loss and cuts the lineage). Without a configured
-checkpoint folder the target is recomputed instead.
+Where record ids are trusted to be unique (``EraConfig.assume_unique_ids``),
+plain and by-type variants of one table share one run numbering: the day rows
+are numbered at the (keys, day, type) grain, written once to the checkpoint
+folder, and both outputs aggregate that table. Otherwise an id may stand under
+two types, counts differ, and each output is packed for itself.
+
+``materialize``: ``auto`` writes the ingredient map and a shared numbering,
+``checkpoint`` the drug target as well, ``never`` nothing.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -52,24 +44,19 @@ from spanpack.operators.targets import (
     DRUG_START,
     condition_target,
     drug_target,
-    prepared_ingredient_map,
+    ingredient_map,
 )
-from spanpack.sources.publish import publish
-
-log = logging.getLogger(__name__)
+from spanpack.sources.publish import publish, publish_swap
 
 ERA_OUTPUTS = ("condition_era", "condition_era_by_type", "drug_era", "drug_era_by_type", "dose_era")
 DRUG_OUTPUTS = ("drug_era", "drug_era_by_type", "dose_era")
 MATERIALIZE = ("auto", "never", "checkpoint")
 
 
-def _materialize(target: DataFrame, required: bool) -> DataFrame:
+def _materialize(target: DataFrame) -> DataFrame:
     written = reliable_checkpoint(target)
     if written is None:
-        if required:
-            raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir (a shared folder)")
-        log.warning("no spark.checkpoint.dir configured: the drug target is recomputed per output")
-        return target
+        raise RuntimeError("materialize='checkpoint' needs spark.checkpoint.dir (a shared folder)")
     return written
 
 
@@ -106,37 +93,39 @@ def build_era_tables(
     if {"condition_era", "condition_era_by_type"} & set(outputs):
         with_type = "condition_era_by_type" in outputs
         ct = condition_target(sources["condition_occurrence"], cfg, with_type=with_type)
-        if with_type and "condition_era" in outputs:
+        if with_type and "condition_era" in outputs and cfg.assume_unique_ids:
             plain, typed = shared_numbering(ct, CONDITION_KEYS, COND_START, COND_END, "condition_type_concept_id")
             out["condition_era"] = condition_era_columns(plain)
             out["condition_era_by_type"] = condition_era_by_type_columns(typed)
-        elif with_type:
-            out["condition_era_by_type"] = condition_eras_by_type_from_target(ct, cfg)
         else:
-            out["condition_era"] = condition_eras_from_target(ct, cfg)
+            if with_type:
+                out["condition_era_by_type"] = condition_eras_by_type_from_target(ct, cfg)
+            if "condition_era" in outputs:
+                out["condition_era"] = condition_eras_from_target(ct, cfg)
 
     wanted = [o for o in DRUG_OUTPUTS if o in outputs]
     if wanted:
         # several outputs: write the small map once instead of rebuilding it per job
-        mapping, broadcast = prepared_ingredient_map(
-            sources["concept_ancestor"], sources["concept"], cfg, materialize=len(wanted) > 1
-        )
+        mapping = ingredient_map(sources["concept_ancestor"], sources["concept"], cfg)
+        if materialize != "never" and len(wanted) > 1:
+            mapping = reliable_checkpoint(mapping) or mapping
         extra = []
         if "drug_era_by_type" in wanted:
             extra.append("drug_type_concept_id")
         if "dose_era" in wanted:
             extra += ["dose_unit_concept_id", "effective_drug_dose"]
         dt = drug_target(sources["drug_exposure"], None, None, cfg, extra=extra, mapping=mapping)
-        if materialize == "checkpoint" or (materialize == "auto" and not broadcast and len(wanted) > 1):
-            dt = _materialize(dt, required=materialize == "checkpoint")
-        if "drug_era" in wanted and "drug_era_by_type" in wanted:
+        if materialize == "checkpoint":
+            dt = _materialize(dt)
+        if "drug_era" in wanted and "drug_era_by_type" in wanted and cfg.assume_unique_ids:
             plain, typed = shared_numbering(dt, DRUG_KEYS, DRUG_START, DRUG_END, "drug_type_concept_id")
             out["drug_era"] = drug_era_columns(plain, gap)
             out["drug_era_by_type"] = drug_era_by_type_columns(typed)
-        elif "drug_era" in wanted:
-            out["drug_era"] = drug_eras_from_target(dt, cfg, gap)
-        elif "drug_era_by_type" in wanted:
-            out["drug_era_by_type"] = drug_eras_by_type_from_target(dt, cfg)
+        else:
+            if "drug_era" in wanted:
+                out["drug_era"] = drug_eras_from_target(dt, cfg, gap)
+            if "drug_era_by_type" in wanted:
+                out["drug_era_by_type"] = drug_eras_by_type_from_target(dt, cfg)
         if "dose_era" in wanted:
             dose = dt.withColumnRenamed("dose_unit_concept_id", "unit_concept_id").withColumnRenamed(
                 "effective_drug_dose", "dose_value"
@@ -161,9 +150,14 @@ def publish_era_tables(
     paths: dict[str, str] | None = None,
     mode: str = "overwrite",
     fmt: str = "parquet",
+    staged: bool = True,
 ) -> None:
     """Write each era DataFrame to its catalog table (or to ``paths[name]``).
 
+    An overwritten table is staged and swapped in (:func:`publish_swap`), so a
+    failing write leaves the previous eras readable; ``staged=False`` replaces
+    an ordinary table in place.
+
     ``targets`` maps output name -> logical table name of ``tables``; the
     by-type outputs go to the same logical tables as the plain ones by
     default, so build either the plain or the by-type variant per table.
@@ -176,5 +170,7 @@ def publish_era_tables(
     for name, df in eras.items():
         if name in paths:
             publish(df, path=paths[name], mode=mode, fmt=fmt)
+        elif staged and mode == "overwrite":
+            publish_swap(df, tables.qualified(targets[name]), fmt=fmt)
         else:
             publish(df, table=tables.qualified(targets[name]), mode=mode, fmt=fmt)

@@ -18,7 +18,8 @@ _I = T.IntegerType()
 _D = T.DateType()
 _S = T.StringType()
 
-DOSE_TYPE = T.DecimalType(18, 2)
+# doses are packing keys, compared exactly: wide enough for any given scale
+DOSE_TYPE = T.DecimalType(38, 18)
 
 
 def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:

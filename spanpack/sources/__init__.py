@@ -1,6 +1,6 @@
 """Sources (catalog / file scans, fixture mapping) and sinks (publishing)."""
 
-from spanpack.sources.publish import publish, publish_append, publish_overwrite, publish_swap
+from spanpack.sources.publish import drop_old_versions, publish, publish_append, publish_overwrite, publish_swap
 from spanpack.sources.tables import load_sources, read_era_table, read_source
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "publish_append",
     "publish_overwrite",
     "publish_swap",
+    "drop_old_versions",
     "read_era_table",
     "read_source",
 ]

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanpack.schemas import DOSE_TYPE
+from spanpack.schemas import DRUG_EXPOSURE, conform
 
+DOSE_TYPE = T.DecimalType(18, 2)
 _TS = T.TimestampNTZType()
 
 TESTDATA_SCHEMAS: dict[str, T.StructType] = {
@@ -120,6 +121,39 @@ def drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`condition_occurrence` with ids that repeat: as they are, with a
+    later end, or under another type."""
+    co = condition_occurrence(spark, sf_dir)
+    kind = F.col("condition_occurrence_id") % 4
+    start, end = F.col("condition_start_date"), F.col("condition_end_date")
+    later = co.filter(kind == 1).withColumn("condition_end_date", F.date_add(F.coalesce(end, start), 9))
+    other = co.filter(kind == 2).withColumn("condition_type_concept_id", F.lit("Z"))
+    return co.unionByName(co.filter(kind == 0)).unionByName(later).unionByName(other)
+
+
+def repeated_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`drug_exposure` with ids that repeat: as they are, with a longer
+    supply and a later end, or under another type."""
+    de = drug_exposure(spark, sf_dir)
+    kind = F.split("drug_exposure_id", r"\|")[1].cast("int") % 3
+    later = de.filter(kind == 2).withColumns({
+        "days_supply": F.col("days_supply") + 7,
+        "drug_exposure_end_date": F.date_add("drug_exposure_end_date", 7),
+    })
+    other = de.filter(kind == 0).withColumn("drug_type_concept_id", F.lit("Z"))
+    return de.unionByName(de.filter(kind == 1)).unionByName(later).unionByName(other)
+
+
+def fine_doses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`drug_exposure` through :func:`spanpack.schemas.conform`, with
+    double doses that differ in the fourth decimal."""
+    part = F.split("drug_exposure_id", r"\|")
+    dose = F.lit(0.0125) + (part[1].cast("int") % 3) * F.lit(0.0003)
+    de = drug_exposure(spark, sf_dir).withColumn("effective_drug_dose", F.round(dose, 4))
+    return conform(de, DRUG_EXPOSURE, "drug_exposure")
+
+
 def concept_ancestor(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
     pk = F.col("p_partkey").alias("descendant_concept_id")

@@ -16,7 +16,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 MODES = ("overwrite", "append")
 VERSION_SEP = "__v"
@@ -85,24 +85,29 @@ def publish_swap(
     table: str,
     fmt: str = "parquet",
     sort_within: Sequence[str] | None = ("person_id",),
-    keep_versions: int = 2,
 ) -> str:
     """Overwrite without an empty window: stage, then swap.
 
     Each call writes a new versioned table ``<table>__v<time>_<id>`` and then
     repoints the view ``<table>`` at it with ``CREATE OR REPLACE VIEW`` (one
     catalog operation), so readers see either the old or the new eras, never
-    an empty or half-written table. Versions beyond the newest
-    ``keep_versions`` are dropped afterwards (the default keeps the previous
-    one for readers still scanning it). ``table`` must be free or already
-    such a view.
-    Returns the name of the new version table.
+    an empty or half-written table; if the write fails, the old ones stay.
+    ``table`` must be free or already such a view. Older versions are kept
+    until :func:`drop_old_versions` is called. Returns the new version's name.
     """
     spark = df.sparkSession
     version = f"{table}{VERSION_SEP}{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
     _prepare(df, sort_within).write.mode("errorifexists").format(fmt).saveAsTable(version)
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
-    older = [v for v in _versions(spark, table) if v != version]
-    for old in older[: max(0, len(older) - (keep_versions - 1))]:
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
     return version
+
+
+def drop_old_versions(spark: SparkSession, table: str, keep: int) -> list[str]:
+    """Drop all but the newest ``keep`` versions that :func:`publish_swap` wrote
+    (1 at least: the one the view reads). Returns the names dropped."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    old = _versions(spark, table)[:-keep]
+    for name in old:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return old

@@ -17,6 +17,9 @@ from spanpack.schemas import SOURCE_SCHEMAS, concept_schema, conform
 SOURCES = ("drug_exposure", "condition_occurrence", "concept_ancestor", "concept")
 
 
+SELF_DESCRIBING = ("parquet", "orc", "avro", "delta")
+
+
 def source_schema(name: str, cfg: EraConfig = EraConfig()) -> T.StructType:
     """The expected schema of a source; ``concept`` follows the configured
     vocabulary and class columns."""
@@ -39,8 +42,9 @@ def read_source(
 ) -> DataFrame:
     """One source table by logical name.
 
-    ``path`` reads files of ``fmt`` with ``schema`` (default: the expected
-    schema, :func:`source_schema`); without ``path`` the catalog table
+    ``path`` reads files of ``fmt`` with ``schema``. By default files that
+    carry their schema are read with it, others with the expected one
+    (:func:`source_schema`); without ``path`` the catalog table
     ``tables.qualified(name)`` is used (``tables`` defaults to ``cfg.tables``).
     """
     tables = tables or cfg.tables
@@ -48,7 +52,10 @@ def read_source(
     if path is None:
         df = spark.table(tables.qualified(name))
     else:
-        df = spark.read.schema(schema or expected).format(fmt).load(path)
+        reader = spark.read.format(fmt)
+        if schema is not None or fmt not in SELF_DESCRIBING:
+            reader = reader.schema(schema or expected)
+        df = reader.load(path)
     return conform(df, expected, name)
 
 

@@ -35,22 +35,51 @@ def test_job_outputs_equal_single_builders(spark):
 
 def test_shuffle_rollup_materializes_target_once(spark, tmp_out):
     srcs = _sources(spark)
-    cfg = EraConfig(broadcast_max_rows=0)
-    eras = build_era_tables(srcs, cfg, outputs=["drug_era", "dose_era"])
+    eras = build_era_tables(srcs, outputs=["drug_era", "dose_era"], materialize="checkpoint")
     assert eras["drug_era"].count() == 6033 and eras["dose_era"].count() == 6516
     publish_era_tables(eras, paths={k: os.path.join(tmp_out, k) for k in eras})
     assert spark.read.parquet(os.path.join(tmp_out, "dose_era")).count() == 6516
 
 
-def test_dedupe_rows_and_duplicate_report(spark):
+def test_repeated_ids_and_duplicate_report(spark):
     srcs = _sources(spark)
     de = srcs["drug_exposure"]
     doubled = de.unionByName(de.limit(100))
     rep = duplicate_id_report(doubled, ["drug_exposure_id"]).first()
     assert (rep.duplicate_ids, rep.surplus_rows) == (100, 100)
-    cfg = EraConfig(dedupe_rows=True)
-    t = drug_target(doubled, srcs["concept_ancestor"], srcs["concept"], cfg)
-    assert t.count() == 7122
+    vocabulary = srcs["concept_ancestor"], srcs["concept"]
+    assert drug_target(doubled, *vocabulary).count() > drug_target(de, *vocabulary).count() == 7122
+    assert rows(drug_era(doubled, *vocabulary, gap="both")) == rows(drug_era(de, *vocabulary, gap="both"))
+
+
+def test_never_writes_nothing(spark):
+    import os
+
+    def files():
+        return sum(len(f) for _, _, f in os.walk(spark.sparkContext.getCheckpointDir().removeprefix("file:")))
+
+    before = files()
+    eras = build_era_tables(_sources(spark), outputs=list(ERA_OUTPUTS), materialize="never")
+    assert sum(df.count() for df in eras.values()) and files() == before
+
+
+def test_a_failed_write_leaves_the_previous_eras(spark, tmp_out):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from spanpack.config import TableNames
+
+    db = "spanpack_staged_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_out, 'staged')}'")
+    tables = TableNames(cdm_schema=db)
+    eras = {"condition_era": condition_era(_sources(spark)["condition_occurrence"])}
+    publish_era_tables(eras, tables)
+    kept = spark.table(f"{db}.condition_era").count()
+    broken = {"condition_era": eras["condition_era"].withColumn("x", F.raise_error(F.lit("no")).cast("string"))}
+    with pytest.raises(Exception):
+        publish_era_tables(broken, tables)
+    assert spark.table(f"{db}.condition_era").count() == kept > 0
+    spark.sql(f"DROP DATABASE {db} CASCADE")
 
 
 def test_materialize_checkpoint_uses_the_session_folder(spark):
@@ -84,7 +113,7 @@ def test_plain_and_typed_outputs_share_one_numbering(spark):
 
     srcs = _sources(spark)
     drug = (srcs["drug_exposure"], srcs["concept_ancestor"], srcs["concept"])
-    eras = build_era_tables(srcs, outputs=list(ERA_OUTPUTS), gap="both")
+    eras = build_era_tables(srcs, EraConfig(assume_unique_ids=True), outputs=list(ERA_OUTPUTS), gap="both")
     assert rows(eras["condition_era"]) == rows(condition_era(srcs["condition_occurrence"]))
     assert rows(eras["condition_era_by_type"]) == rows(condition_era_by_type(srcs["condition_occurrence"]))
     assert rows(eras["drug_era"]) == rows(drug_era(*drug, gap="both"))

@@ -206,10 +206,32 @@ def test_duplicate_ancestor_rows_do_not_double_count(spark):
 def test_shuffle_join_path_gives_same_eras(spark):
     de = drugs(spark, [(1, 500, 0, 10, None), (1, 100, 5, 9, None), (2, 100, 0, 3, 4)])
     a = sorted(map(tuple, drug_era(de, *vocab(spark)).collect()))
-    b = sorted(map(tuple, drug_era(de, *vocab(spark), cfg=EraConfig(broadcast_max_rows=0)).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted(map(tuple, drug_era(de, *vocab(spark)).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b and len(a) == 4
 
 
+def _gaps(rows):
+    return [(r.drug_exposure_count, r.drug_exposure_count_stockpile, r.gap_days_stockpile, r.gap_days_covered) for r in rows]
+
+
+def test_a_repeated_id_counts_once(spark):
+    """The same id and start: an identical row, another supply with the same
+    end, and another end (an interval of its own for stockpile eras only)."""
+    def eras(rows, **cfg):
+        de = drugs(spark, rows).withColumn("drug_exposure_id", F.lit(7).cast("long"))
+        return drug_era(de, *vocab(spark), EraConfig(**cfg), gap="both").collect()
+
+    assert _gaps(eras([(1, 100, 0, 10, None), (1, 100, 0, 10, None)])) == [(1, 1, 0, 0)]
+    assert _gaps(eras([(1, 100, 0, 10, 10), (1, 100, 0, 10, 11)])) == [(1, 1, 0, 0)]
+    assert _gaps(eras([(1, 100, 0, 10, None), (1, 100, 0, 20, None)])) == [(1, 2, -10, 0)]
+    assert _gaps(eras([(1, 100, 0, 10, None), (1, 100, 5, 9, None)])) == [(2, 2, -4, 0)]
+    assert _gaps(eras([(1, 100, 0, 10, None), (1, 100, 0, 10, None)], assume_unique_ids=True)) == [(2, 2, -10, 0)]
+
+
 # ------------------------------------------------------------- NULLs and invalid rows
 def test_null_person_or_concept_gives_no_era(spark):
     schema = T.StructType([f if f.name not in ("person_id",) else T.StructField("person_id", T.LongType(), True)

@@ -3,7 +3,14 @@
 from __future__ import annotations
 
 from conftest import SF0001
-from spanpack import EraConfig, condition_era, condition_era_by_type, drug_era
+from spanpack import (
+    EraConfig,
+    condition_era,
+    condition_era_by_type,
+    dose_quality_report,
+    drug_era,
+    drug_quality_report,
+)
 from spanpack.plans.inspect import join_count, operator_counts, scan_details, shuffle_count
 from spanpack.sources import fixtures as fx
 
@@ -35,9 +42,8 @@ def test_drug_era_rollup_is_broadcast(spark):
         assert "l_extendedprice" not in scan["ReadSchema"]
 
 
-def test_drug_era_rollup_falls_back_to_shuffle_join_above_bound(spark):
-    cfg = EraConfig(broadcast_max_rows=1)
-    # without the hint only Spark's own size estimate could still broadcast
+def test_drug_era_rollup_is_a_shuffle_join_where_spark_does_not_broadcast(spark):
+    cfg = EraConfig()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = drug_era(*fx.drug_sources(spark, SF0001), cfg=cfg)
@@ -71,7 +77,27 @@ def test_window_reads_pre_aggregated_day_rows(spark):
         ops = _tree_ops(df)
         w = max(i for i, o in enumerate(ops) if o == "Window")  # the lowest window
         below = [o for o in ops[w + 1:] if o not in ("Project", "Filter")]
-        assert below[:5] == ["Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate"], below
+        second = below.index("Exchange", 2)
+        assert below[:3] == ["Sort", "Exchange", "HashAggregate"] and set(below[2:second]) == {"HashAggregate"}, below
+
+
+def test_unique_ids_aggregate_before_the_shuffle(spark):
+    df = condition_era(fx.condition_occurrence(spark, SF0001), EraConfig(assume_unique_ids=True))
+    ops = _tree_ops(df)
+    below = [o for o in ops[max(i for i, o in enumerate(ops) if o == "Window") + 1:] if o not in ("Project", "Filter")]
+    assert below[:5] == ["Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate"], below
+
+
+def test_building_a_dataframe_starts_no_job(spark):
+    sources = fx.drug_sources(spark, SF0001)
+    spark.sparkContext.setJobGroup("building", "plans only")
+    try:
+        drug_era(*sources, gap="both")
+        dose_quality_report(*sources)
+        drug_quality_report(*sources)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_unmapped_filter_reaches_the_scan(spark):

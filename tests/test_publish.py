@@ -35,7 +35,7 @@ def test_publish_arguments(spark):
 
 
 def test_publish_swap_never_shows_an_empty_table(spark, tmp_out):
-    from spanpack.sources import publish_swap
+    from spanpack.sources import drop_old_versions, publish_swap
 
     db = "spanpack_swap_test"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(tmp_out, 'wh')}'")
@@ -48,6 +48,7 @@ def test_publish_swap_never_shows_an_empty_table(spark, tmp_out):
     names = {t.name for t in spark.catalog.listTables(db)}
     assert v2.split(".")[1] in names and v1.split(".")[1] in names  # previous kept
     v3 = publish_swap(eras, f"{db}.condition_era")
+    assert drop_old_versions(spark, f"{db}.condition_era", keep=2) == [v1]
     names = {t.name for t in spark.catalog.listTables(db)}
     assert v1.split(".")[1] not in names and {v2.split(".")[1], v3.split(".")[1]} <= names
     assert spark.table(f"{db}.condition_era").count() == 1446
