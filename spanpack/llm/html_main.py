@@ -8,8 +8,8 @@ with the best total under the rule that everything in a dropped element is
 dropped and an article holds no containers, so no kept element lies in a
 dropped one.
 
-The model is learned from at most ``SAMPLE_PAGES`` pages (least hashes of the
-id) of up to ``SAMPLE_CHARS`` characters whose markup says where the article
+The model is learned from at most ``SAMPLE_PAGES`` pages (least hashes of id
+and page) of up to ``SAMPLE_CHARS`` characters whose markup says where the article
 is (``article`` or ``main``). Each is also rebuilt in other layouts: the
 article in plain containers with usual names, and side bars, notices, forms,
 adverts and comments made of other pages' sentences around and inside it, so
@@ -253,8 +253,10 @@ def _labels(page: Page) -> list[int]:
 
 def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES) -> Boosted | None:
     """The node model, or None if no sampled page marks its article."""
-    rows = pages.select(F.col(page_id).alias("i"), F.col(html).alias("h")).where(F.col("h").isNotNull() & (F.length("h") <= SAMPLE_CHARS))
-    got = rows.orderBy(F.xxhash64("i"), "i", F.xxhash64("h")).limit(sample).collect()
+    rows = pages.select(F.xxhash64(F.col(page_id), F.col(html)).alias("k"), F.col(html).alias("h")).where(F.col("h").isNotNull() & (F.length("h") <= SAMPLE_CHARS))
+    # the sample is picked by keys alone; only the pages picked reach the driver
+    picked = rows.select("k").distinct().orderBy("k").limit(sample)
+    got = sorted(rows.join(F.broadcast(picked), "k").dropDuplicates(["k"]).collect())
     marked = [(r["h"], m[1] or m[2]) for r in got if (m := _ARTICLE.search(r["h"])) and (m[1] or m[2])]
     rng = random.Random(11)
     sentences = [s.strip() for _, body in marked for s in _TEXT_BIT.findall(body)[:40]] or ["."]

@@ -25,6 +25,17 @@ def plain_judge(url, rules):
     return host, path, best.text if best else None, best.verdict if best else "allow"
 
 
+def test_rules_match_the_sql(spark):
+    import duckdb
+
+    sf = SF0001.replace("0.001", "0.01")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet'")
+    want = con.sql(queries.oracle_sql()["op1_url_rules"])
+    got = queries.op1_url_rules(spark, sf)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
 URLS = [
     None, "", "no scheme", "http://", "http://com/", "https://www.example.com/en/1?x#y", "https://EXAMPLE.com/en", "http://a.net/es/x", "http://net/es/",
     "ftp://notnet/es/", "http://x.com?q=/en/", "http://a.b.example.com/en/#://", "x://y://z.com/", "http://example.com:80/en/", "http://com", "http://ünï.net/fr/é",
