@@ -9,6 +9,11 @@ outcomes' weights.
 
 Learned from labelled rows: the insult lexicon (words and word beginnings, by
 sequential covering) and the weights. The others are short fixed word lists.
+A document counts for a word only where the word stands plain or aimed: a text
+that quotes or negates an insult is no sign against it. A word is tried if its
+smoothed rate among toxic documents is ``RATE`` times that among clean ones and
+the log odds are above 0 with ``SURE`` standard errors, so a few clean documents
+with it, or with a wrong label, do not remove it.
 Learning uses a bounded sample (``SAMPLE_ROWS`` rows of each label, least
 hashes of the id first); only different texts count, so copies add nothing.
 
@@ -35,6 +40,11 @@ from .common import keep_rows, slices, texts_of
 SAMPLE_ROWS = 3_000
 #: Lexicon entries at most, and the length of word beginnings that are tried.
 LEXICON = 200
+#: Toxic documents that an entry is seen in, and adds to the covering, at least.
+LEAST = 3
+#: How much more frequent an entry is among toxic documents, and with how many
+#: standard errors of the log odds it is more frequent at all.
+RATE, SURE = 10, 1.28
 BEGINNINGS = range(3, 9)
 
 # Words that mark threats, targets, negation and reported speech.
@@ -50,7 +60,26 @@ _CLAUSE = re.compile(r"[.!?;\n]+")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 
 
+_NEGATIONS, _REPORTS = frozenset(NEGATIONS), frozenset(REPORTS)
+
+
 # --------------------------------------------------------------- grammar
+def _quoted(clause: str) -> bool:
+    return clause.count('"') >= 2 or "“" in clause or "«" in clause
+
+
+def _states(words: list[str], quoted: bool) -> Iterator[tuple[str, int, bool]]:
+    """Each word of a clause, whether a negation reaches it, whether it is reported."""
+    reported, reach = quoted, 0
+    for w in words:
+        if w in _NEGATIONS:
+            reach = REACH + 1
+        elif w in _REPORTS:
+            reported = True
+        reach = max(0, reach - 1)
+        yield w, reach, reported
+
+
 @dataclass
 class Grammar:
     """``insults``: words, or beginnings with a final ``*``, to their weights."""
@@ -70,7 +99,7 @@ class Reader:
         self.grammar = grammar
         self.whole = {w: v for w, v in grammar.insults.items() if not w.endswith("*")}
         self.starts = {w[:-1]: v for w, v in grammar.insults.items() if w.endswith("*")}
-        self.threats, self.targets, self.negations, self.reports = map(frozenset, (THREATS, TARGETS, NEGATIONS, REPORTS))
+        self.threats, self.targets = map(frozenset, (THREATS, TARGETS))
         self.spot = ahocorasick.Automaton()
         for w in {*self.whole, *self.starts, *self.threats}:
             self.spot.add_word(w, len(w))
@@ -86,14 +115,8 @@ class Reader:
 
     def clause(self, words: list[str], quoted: bool) -> list[tuple[int, float]]:
         """The outcomes of one clause and their strengths."""
-        aimed = any(w in self.targets for w in words)
-        reported, reach, out = quoted, 0, []
-        for w in words:
-            if w in self.negations:
-                reach = REACH + 1
-            elif w in self.reports:
-                reported = True
-            reach = max(0, reach - 1)
+        aimed, out = any(w in self.targets for w in words), []
+        for w, reach, reported in _states(words, quoted):
             strength = self.insult(w)
             if strength:
                 out.append((2 if reach else 3 if reported else 1 if aimed else 0, strength))
@@ -120,8 +143,7 @@ class Reader:
             ends = _CLAUSE.search(low, at)
             done = ends.start() if ends else len(low)
             clause = low[before + 1 : done]
-            quoted = clause.count('"') >= 2 or "“" in clause or "«" in clause
-            for k, v in self.clause(_WORD.findall(clause), quoted):
+            for k, v in self.clause(_WORD.findall(clause), _quoted(clause)):
                 total[k] += v
         return total
 
@@ -132,7 +154,8 @@ class Reader:
 
 # -------------------------------------------------------------- learning
 def _features(text: str) -> set[str]:
-    words = set(_WORD.findall(text.lower()))
+    """The words, and their beginnings, that stand plain or aimed in some clause."""
+    words = {w for clause in _CLAUSE.split(text.lower()) for w, reach, reported in _states(_WORD.findall(clause), _quoted(clause)) if not (reach or reported)}
     return words | {w[:n] + "*" for w in words for n in BEGINNINGS if n <= len(w)}
 
 
@@ -168,7 +191,9 @@ def learn(docs: DataFrame, labels: DataFrame, training, label: str = "toxic", sa
         return Grammar()
     counted = rows.mapInArrow(count, "f string, n1 long, n0 long").groupBy("f").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     rate = F.col("n1") / F.lit(n1) / ((F.col("n0") + 0.5) / F.lit(n0))
-    good = counted.where((F.col("n1") >= max(3, round(0.005 * n1))) & (F.col("n0") <= 0.02 * F.col("n1")) & (rate >= 10))
+    odds = [F.col("n1") + 0.5, n1 - F.col("n1") + 0.5, F.col("n0") + 0.5, n0 - F.col("n0") + 0.5]
+    surely = F.log(odds[0] / odds[1] * odds[3] / odds[2]) - SURE * F.sqrt(1 / odds[0] + 1 / odds[1] + 1 / odds[2] + 1 / odds[3])
+    good = counted.where((F.col("n1") >= LEAST) & (rate >= RATE) & (surely > 0))
     tried = {r["f"]: (r["n1"], r["n0"]) for r in good.orderBy(F.desc("n1"), "f").limit(20 * LEXICON).collect()}
     known = docs.sparkSession.sparkContext.broadcast(frozenset(tried))
 
@@ -183,7 +208,7 @@ def learn(docs: DataFrame, labels: DataFrame, training, label: str = "toxic", sa
     return _weigh(rows, Grammar(insults=lexicon), n1, n0)
 
 
-def cover(has: list[set[str]], tried: dict[str, tuple[int, int]], times: int = 3, least: int = 3) -> list[str]:
+def cover(has: list[set[str]], tried: dict[str, tuple[int, int]], times: int = 3, least: int = LEAST) -> list[str]:
     """Sequential covering: takes the entry that most documents still lack,
     until each is covered ``times`` times or no entry helps ``least`` of them.
     Among equals the longer, then the whole word, wins; what a chosen beginning
@@ -196,7 +221,7 @@ def cover(has: list[set[str]], tried: dict[str, tuple[int, int]], times: int = 3
     while holders and len(chosen) < LEXICON:
         gains = {f: sum(need[i] > 0 for i in docs) for f, docs in holders.items()}
         best = max(gains, key=lambda f: (gains[f], -tried[f][1], len(f.rstrip("*")), not f.endswith("*"), f))
-        if gains[best] < max(least, round(0.01 * len(has))):
+        if gains[best] < least:
             break
         chosen.append(best)
         for i in holders.pop(best):
