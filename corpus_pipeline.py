@@ -23,8 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays, the one with
-    the smallest id (three-word shingles, at most two bits apart)."""
-    return simhash.drop_near_duplicates(docs, words=3, radius=2)
+    the smallest id (three-word shingles, at most two bits apart). Rows that
+    repeat an id with an unrelated text stay."""
+    return simhash.drop_near_duplicates(docs, words=3, radius=2, ids_once=False)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

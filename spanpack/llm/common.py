@@ -82,5 +82,6 @@ def keep_rows(df: DataFrame, text: str, verdict: Callable[[], Callable[[list[str
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text"):
-    """A string that names a row: its id, or its text's hash if it has no id."""
-    return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("#"), F.hex(F.xxhash64(F.coalesce(F.col(text), F.lit(""))))))
+    """A string that names a row: its text's SHA-256 and its id, if it has one.
+    Only rows that repeat both have one name."""
+    return F.concat(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), F.coalesce(F.concat(F.lit(":"), F.col(doc_id).cast("string")), F.lit("")))

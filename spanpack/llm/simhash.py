@@ -218,12 +218,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.join(named, "fp").select("doc_id", "row_key", "fp", "component_id", "keeper")
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, ids_once: bool = True) -> DataFrame:
     """``docs`` with one row of each component (the smallest doc_id; rows
-    without an id come last, rows that repeat an id count once)."""
+    without an id come last). ``ids_once``: of rows left that repeat an id one
+    stays, even if their texts are unrelated; turn it off where ids repeat
+    across sources."""
     kept = near_duplicates(docs, words=words, radius=radius).select("keeper").distinct()
     name = "_row_key"
     while name in docs.columns:
         name = "_" + name
     keyed = docs.withColumn(name, row_key())
-    return keyed.join(kept, keyed[name] == kept["keeper"], "left_semi").dropDuplicates([name]).select(*[keyed[c] for c in docs.columns])
+    out = keyed.join(kept, keyed[name] == kept["keeper"], "left_semi").dropDuplicates([name])
+    if ids_once:
+        out = out.withColumn(name, F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.col(name)))).dropDuplicates([name])
+    return out.select(*docs.columns)
