@@ -46,7 +46,9 @@ class Page:
     runs: list[tuple[int, str, int]] = field(default_factory=list)
 
 
-def parse(html: str) -> Page:
+def parse(html: str, labelled: bool = True) -> Page:
+    """``labelled``: ``data-y`` is a label, as in layouts made for learning;
+    otherwise an attribute like any other."""
     page, block, silent = Page(), 0, 0
     stack: list[int] = []
     tags, ends = page.tag, page.end
@@ -57,7 +59,7 @@ def parse(html: str) -> Page:
             for m in _NAMES.finditer(attributes):
                 value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4]
                 if m[1].lower() == "data-y":
-                    label = value
+                    label = value if labelled else None
                 else:
                     names += [t.lower() for t in _TOKEN.findall(value)]
         tags.append(name)

@@ -9,8 +9,8 @@ dropped and an article holds no containers, so no kept element lies in a
 dropped one.
 
 The model is learned from at most ``SAMPLE_PAGES`` pages (least hashes of id
-and page) of up to ``SAMPLE_CHARS`` characters whose markup says where the article
-is (``article`` or ``main``). Each is also rebuilt in other layouts: the
+and page) of those with up to ``SAMPLE_CHARS`` characters whose markup says where
+the article is (``article`` or ``main``), however few they are. Each is also rebuilt in other layouts: the
 article in plain containers with usual names, and side bars, notices, forms,
 adverts and comments made of other pages' sentences around and inside it, so
 that text alone tells nothing. Without such a page, a fixed rule over the
@@ -175,7 +175,8 @@ def decode(page: Page, odds: list[float], own: list[float]) -> list[bool]:
 
 
 # ---------------------------------------------------------------- learning
-_ARTICLE = re.compile(r"<article[^>]*>(.*?)</article>|<main[^>]*>(.*?)</main>", re.S | re.I)
+_ARTICLE = re.compile(r"<article[^>]*>(?!</article>)(.*?)</article>|<main[^>]*>(?!</main>)(.*?)</main>", re.S | re.I)
+_LABEL = re.compile("data-y", re.I)
 _TEXT_BIT = re.compile(r"[^.<>&]{12,160}\.")
 # Names that sites give to containers of an article, and to what surrounds one.
 _MAIN_NAMES = ["content", "post-content", "entry-content", "article-body", "main-content", "story", "post", "text", "blog-post", "page-content", "articleBody", "prose"]
@@ -252,16 +253,17 @@ def _labels(page: Page) -> list[int]:
 
 
 def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE_PAGES) -> Boosted | None:
-    """The node model, or None if no sampled page marks its article."""
+    """The node model, or None if no page of a length to be sampled marks its article."""
     rows = pages.select(F.xxhash64(F.col(page_id), F.col(html)).alias("k"), F.col(html).alias("h")).where(F.col("h").isNotNull() & (F.length("h") <= SAMPLE_CHARS))
     # the sample is picked by keys alone; only the pages picked reach the driver
-    picked = rows.select("k").distinct().orderBy("k").limit(sample)
+    picked = rows.where(F.col("h").rlike("(?is)" + _ARTICLE.pattern)).select("k").distinct().orderBy("k").limit(sample)
     got = sorted(rows.join(F.broadcast(picked), "k").dropDuplicates(["k"]).collect())
-    marked = [(r["h"], m[1] or m[2]) for r in got if (m := _ARTICLE.search(r["h"])) and (m[1] or m[2])]
+    # a label that given pages write themselves is none
+    marked = [(r["h"], _LABEL.sub("data-x", m[1] or m[2])) for r in got if (m := _ARTICLE.search(r["h"]))]
     rng = random.Random(11)
     sentences = [s.strip() for _, body in marked for s in _TEXT_BIT.findall(body)[:40]] or ["."]
     say = lambda: rng.choice(sentences)
-    made = [parse(h) for h, _ in marked] + [parse(_layout(body, rng, say)) for _, body in marked for _ in range(LAYOUTS)]
+    made = [parse(h, labelled=False) for h, _ in marked] + [parse(_layout(body, rng, say)) for _, body in marked for _ in range(LAYOUTS)]
     if not made:
         return None
     x, own, _ = features(made)
@@ -285,7 +287,7 @@ def _rule(x: np.ndarray) -> np.ndarray:
 
 # -------------------------------------------------------------- extraction
 def extract_texts(htmls: list[str], model: Boosted | None) -> list[str]:
-    pages = [parse(h) for h in htmls]
+    pages = [parse(h, labelled=False) for h in htmls]
     x, own, first = features(pages)
     odds = (model.margin(x) if model else _rule(x)).tolist()
     own = own.tolist()
