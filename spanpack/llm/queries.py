@@ -6,13 +6,14 @@ columns from what the operator returns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_main, licenses, pieces, sharding, simhash, sketches, suffixes, toxicity, url_rules
-from .common import table
+from . import collocations, decontam, html_main, licenses, pieces, sharding, simhash, sketches, suffixes, toxicity, url_rules, vector_codes, warc
+from .common import durable, shared_folder, table
 
 URL_RULES = [
     url_rules.rule("allow", "com/"),
@@ -99,8 +100,33 @@ def op10_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"), least=100, most=5, top=2000)
+
+
+def op12_warc(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages")
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(pages, f"{folder}/whole")
+    found = warc.resolved(warc.read_records(warc.normalise(spark, f"{folder}/whole", f"{folder}/records")))
+    kind = pages.schema["page_id"].dataType
+    return found.select(F.col("source_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_source_id").cast(kind).alias("refers_to"))
+
+
+def op13_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    kept, length = vector_codes.kept_vectors(table(spark, d, "embeddings"), parts=16)
+    if not length:
+        empty = kept.select("vec_id").schema.add("code", "string").add("error", "long").add("label_error", "long").add("codebooks_sha256", "string")
+        return spark.createDataFrame([], empty)
+    books = vector_codes.learn(kept, length, parts=16, entries=64, rounds=2)
+    coded = durable(vector_codes.encode(kept, books))
+    by_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    out = coded.join(by_label, F.col("label").eqNullSafe(F.col("_label")))
+    return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_url_rules, op2_main_text, op3_fingerprints, op4_toxicity, op5_shards, op6_decontamination, op7_simhash, op8_licenses, op9_pieces, op10_suffix_dedup)
+    ops = (op1_url_rules, op2_main_text, op3_fingerprints, op4_toxicity, op5_shards, op6_decontamination, op7_simhash, op8_licenses, op9_pieces, op10_suffix_dedup, op11_collocations, op12_warc, op13_vector_codes)
     return {f.__name__: f for f in ops}
 
 
@@ -122,6 +148,59 @@ QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS
 """
 
 
+# 160 bits of the digest as 32 characters of five bits each
+_OP12 = """
+WITH p AS (
+  SELECT page_id, COALESCE(html, '') AS body, sha1(COALESCE(html, '')) AS hex FROM pages),
+b AS (
+  SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+         array_to_string(list_transform(range(160), lambda i: ((strpos('0123456789abcdef', hex[i // 4 + 1]) - 1) >> (3 - i % 4)) & 1), '') AS bits
+  FROM p),
+d AS (
+  SELECT page_id, payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(5), lambda j: substr(bits, i * 5 + j + 1, 1)::BIGINT << (4 - j)))::BIGINT, 1)), '') AS payload_digest
+  FROM b),
+f AS (SELECT *, MIN(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+_OP11 = """
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(SUM(len(w)) AS HUGEINT) AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM split, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, COUNT(*) AS f FROM grams GROUP BY ALL HAVING COUNT(*) >= 100),
+spread AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f),
+grown AS (
+  SELECT lang, part, MAX(f) AS f
+  FROM (SELECT lang, f, unnest([array_to_string(w[1:k - 1], ' '), array_to_string(w[2:k], ' ')]) AS part FROM spread WHERE k > 1)
+  GROUP BY lang, part),
+cand AS (
+  SELECT s.* FROM spread s LEFT JOIN grown g ON s.lang = g.lang AND s.phrase = g.part WHERE s.k > 1 AND COALESCE(g.f, 0) < s.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, i, array_to_string(w[1:i], ' ') AS p1, array_to_string(w[i + 1:k], ' ') AS p2
+  FROM cand, (SELECT unnest(range(1, 5)) AS i) WHERE i < k),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.i, x.f AS l, y.f AS r, t.n,
+         (1000 * CAST(c.a AS HUGEINT) * t.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN f x ON c.lang = x.lang AND c.p1 = x.phrase JOIN f y ON c.lang = y.lang AND c.p2 = y.phrase JOIN totals t ON c.lang = t.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Only the URL rules can be said in SQL that runs on whole tables."""
-    return {"op1_url_rules": _OP1}
+    """What can be said in SQL that runs on whole tables."""
+    return {"op1_url_rules": _OP1, "op11_collocations": _OP11, "op12_warc": _OP12}
