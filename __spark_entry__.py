@@ -11,6 +11,8 @@ side uses the day-level gaps-and-islands window of ``spanpack``.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from importlib.util import find_spec
 
@@ -20,10 +22,13 @@ from pyspark.sql import functions as F
 from spanpack import (
     EraConfig,
     assign_era_end,
+    attach_run_ends,
+    audit_summary,
     condition_era,
     condition_era_by_type,
     condition_quality_report,
     condition_target,
+    differing_keys,
     dose_era,
     dose_quality_report,
     drug_era,
@@ -38,11 +43,21 @@ from spanpack import (
     normalize_drug_end,
     pack_intervals,
     reconcile_counts,
+    record_counts,
+    stored_counts,
     sub_exposure_days,
     summarize_eras,
 )
+from spanpack.checkpoint import checkpoint_dir
 from spanpack.functions import gap_days_covered, gap_days_stockpile
-from spanpack.sources import fixtures as fx
+from spanpack.sources import (
+    fixtures as fx,
+    load_sources,
+    publish_split,
+    publish_version,
+    read_era_table,
+    read_split,
+)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 UNMAPPED_CONDITION = "4-NOT SPECIFIED"   # fixture value treated as "unmapped"
@@ -50,6 +65,11 @@ EVENT_GRACE_DAYS = 2
 
 COND_KEYS = ["person_id", "condition_concept_id"]
 DRUG_KEYS = ["person_id", "ingredient_concept_id"]
+# what makes one record of a stockpile drug era, and of a condition era
+DRUG_RECORD = [*DRUG_KEYS, "drug_exposure_start_date", "drug_exposure_end_date", "drug_exposure_id"]
+COND_RECORD = [*COND_KEYS, "condition_start_date", "condition_occurrence_id"]
+STORED_DRUG = {"drug_concept_id": "ingredient_concept_id"}
+LOST_MOD = 97                    # persons whose stored eras count one too few, in the audit's test
 
 
 # ----------------------------------------------------------------- queries
@@ -165,7 +185,7 @@ def _condition_gap(which: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
     srcs = fx.drug_sources(spark, d)
-    return reconcile_counts(drug_target(*srcs), drug_era(*srcs), "drug_exposure_count")
+    return reconcile_counts(drug_target(*srcs), drug_era(*srcs), "drug_exposure_count", DRUG_RECORD)
 
 
 def _drug_quality_report(spark: SparkSession, d: str) -> DataFrame:
@@ -212,6 +232,100 @@ def _dose_era_fine_doses(spark: SparkSession, d: str) -> DataFrame:
     return eras.withColumn("dose_value", F.col("dose_value").cast("double"))
 
 
+# ------------------------------------------- stored tables, dirty sources
+def _new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder; a local session without
+    one gets a temporary folder."""
+    shared = checkpoint_dir(spark)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="spanpack-")
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
+def _stored(spark: SparkSession, eras: DataFrame, name: str) -> DataFrame:
+    path = _new_folder(spark, name)
+    publish_version(eras, path)
+    return read_era_table(spark, name, path=path)
+
+
+def _attach_stored_eras(spark: SparkSession, d: str) -> DataFrame:
+    """P3 against stored eras: their ends are read, not computed again."""
+    srcs = fx.drug_sources(spark, d)
+    eras = _stored(spark, drug_era(*srcs), "drug_era")
+    ends = eras.select("person_id", F.col("drug_concept_id").alias("ingredient_concept_id"), F.col("drug_era_end_date").alias("era_end_date"))
+    out = attach_run_ends(drug_target(*srcs), ends, DRUG_KEYS, "drug_exposure_start_date", "era_end_date")
+    return out.select("drug_exposure_id", "person_id", "ingredient_concept_id", "drug_exposure_start_date", "era_end_date")
+
+
+def _drug_audit(spark: SparkSession, d: str, eras: DataFrame) -> tuple[DataFrame, DataFrame]:
+    srcs = _repeated_drugs(spark, d)
+    expected = record_counts(drug_target(*srcs), DRUG_KEYS, DRUG_RECORD)
+    return expected, stored_counts(_stored(spark, eras, "drug_era"), DRUG_KEYS, "drug_exposure_count", STORED_DRUG)
+
+
+def _stored_drug_era_audit(spark: SparkSession, d: str) -> DataFrame:
+    return audit_summary(*_drug_audit(spark, d, drug_era(*_repeated_drugs(spark, d))), DRUG_KEYS)
+
+
+def _stored_condition_era_audit(spark: SparkSession, d: str) -> DataFrame:
+    co = fx.repeated_conditions(spark, d)
+    stored = _stored(spark, condition_era(co), "condition_era")
+    return audit_summary(
+        record_counts(condition_target(co), COND_KEYS, COND_RECORD),
+        stored_counts(stored, COND_KEYS, "condition_occurrence_count"), COND_KEYS)
+
+
+def _stored_drug_era_faults(spark: SparkSession, d: str) -> DataFrame:
+    """A stored table that counts one too few for some persons: the audit finds which."""
+    short = (F.col("person_id") % LOST_MOD == 0).cast("int")
+    eras = drug_era(*_repeated_drugs(spark, d)).withColumn("drug_exposure_count", F.col("drug_exposure_count") - short)
+    return differing_keys(*_drug_audit(spark, d, eras), DRUG_KEYS)
+
+
+def _condition_era_appended_twice(spark: SparkSession, d: str) -> DataFrame:
+    """K2: the same batches appended twice leave one copy of the eras."""
+    path = _new_folder(spark, "condition_era")
+    eras = condition_era(fx.condition_occurrence(spark, d))
+    for batch in ("0", "1", "0", "1"):
+        publish_version(eras.where(F.col("person_id") % 2 == int(batch)), path, mode="append", batch=batch)
+    return read_era_table(spark, "condition_era", path=path)
+
+
+def _drug_era_from_files(spark: SparkSession, d: str) -> DataFrame:
+    """S1-S4: the sources written as files and read back by path."""
+    folder = _new_folder(spark, "sources")
+    tables = dict(zip(("drug_exposure", "concept_ancestor", "concept"), fx.drug_sources(spark, d)), condition_occurrence=fx.condition_occurrence(spark, d))
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    src = load_sources(spark, paths={n: f"{folder}/{n}" for n in tables})
+    return drug_era(src["drug_exposure"], src["concept_ancestor"], src["concept"], gap="covered")
+
+
+def _dirty_drugs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return fx.dirty_exposures(spark, d), *fx.drug_sources(spark, d)[1:]
+
+
+def _drug_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """Clean and quarantined exposures written in one pass; the latter read back."""
+    path = _new_folder(spark, "exposures")
+    rows = normalize_drug_end(fx.dirty_exposures(spark, d))
+    publish_split(rows, ["person_id", "drug_concept_id"], "drug_exposure_start_date", "drug_exposure_end_date", path)
+    return read_split(spark, path)[1].select("drug_exposure_id", "person_id", "drug_concept_id", "drug_exposure_start_date", "drug_exposure_end_date", "reason")
+
+
+def _condition_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    path = _new_folder(spark, "conditions")
+    rows = normalize_condition_end(fx.dirty_conditions(spark, d))
+    publish_split(rows, COND_KEYS, "condition_start_date", "condition_end_date", path)
+    return read_split(spark, path)[1].select("condition_occurrence_id", *COND_KEYS, "condition_start_date", "condition_end_date", "reason")
+
+
+def _dirty_nonneg_supply(spark: SparkSession, d: str) -> DataFrame:
+    return filter_nonneg_supply(fx.dirty_exposures(spark, d)).select("drug_exposure_id", "person_id", "days_supply")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # E1-E6
     "condition_era": _condition_era,
@@ -250,6 +364,25 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "condition_quality_report": _condition_quality_report,
     "dose_quality_report": _dose_quality_report,
     "drug_exposure_duplicate_ids": _drug_exposure_duplicate_ids,
+    # P3 against stored run ends; Q1 on stored tables; K2; S1-S4
+    "attach_stored_eras": _attach_stored_eras,
+    "stored_drug_era_audit": _stored_drug_era_audit,
+    "stored_condition_era_audit": _stored_condition_era_audit,
+    "stored_drug_era_faults": _stored_drug_era_faults,
+    "condition_era_appended_twice": _condition_era_appended_twice,
+    "drug_era_from_files": _drug_era_from_files,
+    # sources with faults of every kind
+    "drug_quarantine": _drug_quarantine,
+    "condition_quarantine": _condition_quarantine,
+    "dirty_drug_era_by_type": lambda s, d: drug_era_by_type(*_dirty_drugs(s, d)),
+    "dirty_drug_era_clamped": lambda s, d: drug_era(*_dirty_drugs(s, d), EraConfig(invalid="clamp"), gap="covered"),
+    "dirty_condition_era_by_type": lambda s, d: condition_era_by_type(fx.dirty_conditions(s, d)),
+    "dirty_condition_era_clamped": lambda s, d: condition_era(fx.dirty_conditions(s, d), EraConfig(invalid="clamp")),
+    "dirty_dose_era": lambda s, d: dose_era(*_dirty_drugs(s, d)),
+    "dirty_nonneg_supply": _dirty_nonneg_supply,
+    "dirty_drug_quality_report": lambda s, d: drug_quality_report(*_dirty_drugs(s, d)),
+    "dirty_condition_quality_report": lambda s, d: condition_quality_report(fx.dirty_conditions(s, d)),
+    "dirty_dose_quality_report": lambda s, d: dose_quality_report(*_dirty_drugs(s, d)),
     # packing with a non-default grace over the events table
     "event_era_grace2": _event_era_grace2,
 }
@@ -405,6 +538,81 @@ de AS (
 ca AS (""")
 
 
+# The same sources with faults (see spanpack.sources.fixtures). ``ct`` keeps all rows.
+_DIRTY = _SOURCES.replace("\nco AS (", "\nco_once AS (").replace("\nde AS (", "\nde_once AS (").replace("\nct AS (", """
+co AS (
+  SELECT * REPLACE (
+    CASE WHEN condition_occurrence_id % 13 = 0 THEN NULL ELSE person_id END AS person_id,
+    CASE WHEN condition_occurrence_id % 13 = 1 THEN NULL ELSE condition_start_date END AS condition_start_date,
+    CASE condition_occurrence_id % 13 WHEN 2 THEN NULL WHEN 3 THEN '0' ELSE condition_concept_id END AS condition_concept_id,
+    CASE WHEN condition_occurrence_id % 13 = 4 THEN NULL ELSE condition_type_concept_id END AS condition_type_concept_id,
+    CASE WHEN condition_occurrence_id % 13 = 5 THEN condition_start_date - 4 ELSE condition_end_date END AS condition_end_date)
+  FROM co_once),
+ct AS (""").replace("\nca AS (", """
+de AS (
+  SELECT * REPLACE (
+    CASE WHEN drug_concept_id % 13 = 0 THEN NULL ELSE person_id END AS person_id,
+    CASE WHEN drug_concept_id % 13 = 1 THEN NULL ELSE drug_exposure_start_date END AS drug_exposure_start_date,
+    CASE drug_concept_id % 13 WHEN 2 THEN NULL WHEN 3 THEN 0 WHEN 4 THEN -5 ELSE drug_concept_id END AS drug_concept_id,
+    CASE WHEN drug_concept_id % 13 = 5 THEN -days_supply - 3 ELSE days_supply END AS days_supply,
+    CASE WHEN drug_concept_id % 13 = 6 THEN NULL ELSE drug_type_concept_id END AS drug_type_concept_id,
+    CASE WHEN drug_concept_id % 13 = 7 THEN drug_exposure_start_date - 4 ELSE drug_exposure_end_date END AS drug_exposure_end_date,
+    CASE WHEN drug_concept_id % 13 = 8 THEN NULL ELSE dose_unit_concept_id END AS dose_unit_concept_id)
+  FROM de_once),
+ca AS (""")
+_CLAMPED = _DIRTY.replace("norm_end,\n         CASE WHEN drug_exposure_end_date IS NOT NULL", "raw_end,\n         CASE WHEN drug_exposure_end_date IS NOT NULL").replace(
+    "\nden AS (", "\nden_raw AS (").replace("\ndt AS (", "\nden AS (SELECT *, GREATEST(raw_end, drug_exposure_start_date) AS norm_end FROM den_raw),\ndt AS (")
+_VALID = "ctv AS (SELECT * FROM ct WHERE s IS NOT NULL AND e >= s)"
+_VALID_CLAMPED = "ctv AS (SELECT * REPLACE (GREATEST(e, s) AS e) FROM ct WHERE s IS NOT NULL)"
+
+
+def _reason(keys: list[str], start: str, end: str) -> str:
+    nulls = "".join(f" WHEN {c} IS NULL THEN '{name}'" for c, name in [(start, "null_start_date"), (end, "null_end_date"), *[(k, f"null_{k}") for k in keys]])
+    return f"CASE{nulls} WHEN {end} < {start} THEN 'end_before_start' END"
+
+
+def _stored_and_dirty_oracles(q: dict[str, str]) -> dict[str, str]:
+    """Queries on stored tables and on dirty sources, from the plain ones in ``q``."""
+    out = {
+        "attach_stored_eras": q["assign_era_end"],
+        "condition_era_appended_twice": q["condition_era"],
+        "drug_era_from_files": q["drug_era_covered"],
+    }
+    audit = """
+, x AS (SELECT {keys}, COUNT(*) AS n FROM (SELECT DISTINCT {keys}, {record} FROM {src}) GROUP BY ALL),
+  r AS (SELECT {keys}, SUM(n) AS n FROM (SELECT {keys}, era_end, COUNT(*) AS n FROM (SELECT DISTINCT {keys}, era_end, {record} FROM {rows}) GROUP BY ALL) GROUP BY {keys})
+SELECT (SELECT COUNT(*) FROM x) AS expected_n_keys, (SELECT COUNT(*) FROM r) AS stored_n_keys,
+       (SELECT CAST(SUM(n) AS BIGINT) FROM x) AS expected_records, (SELECT CAST(SUM(n) AS BIGINT) FROM r) AS stored_records,
+       NOT EXISTS (SELECT 1 FROM x FULL JOIN r USING ({keys}) WHERE x.n IS DISTINCT FROM r.n) AS matches"""
+    drug, cond = ", ".join(DRUG_KEYS), ", ".join(COND_KEYS)
+    out["stored_drug_era_audit"] = _with(_REPEATED, _DRUG_SWEEP) + audit.format(keys=drug, record="drug_exposure_id, s, e", src="dt", rows="g_rows")
+    out["stored_condition_era_audit"] = _with(_REPEATED, _COND_SWEEP) + audit.format(keys=cond, record="condition_occurrence_id, s", src="ct", rows="c_rows")
+    out["stored_drug_era_faults"] = _with(_REPEATED, _DRUG_SWEEP) + f"""
+SELECT {drug}, COUNT(*) AS expected_count, COUNT(*) - COUNT(DISTINCT era_end) AS stored_count
+FROM (SELECT DISTINCT {drug}, era_end, drug_exposure_id, s, e FROM g_rows)
+WHERE person_id % {LOST_MOD} = 0 GROUP BY {drug}"""
+    drug_reason = _reason(["person_id", "drug_concept_id"], "drug_exposure_start_date", "norm_end")
+    out["drug_quarantine"] = _with(_DIRTY) + f"""
+SELECT drug_exposure_id, person_id, drug_concept_id, drug_exposure_start_date, norm_end AS drug_exposure_end_date, {drug_reason} AS reason
+FROM den WHERE {drug_reason} IS NOT NULL"""
+    cond_reason = _reason(COND_KEYS, "s", "e")
+    out["condition_quarantine"] = _with(_DIRTY) + f"""
+SELECT condition_occurrence_id, {cond}, s AS condition_start_date, e AS condition_end_date, {cond_reason} AS reason
+FROM ct WHERE {cond_reason} IS NOT NULL"""
+    for name in ("drug_era_by_type", "dose_era"):
+        out[f"dirty_{name}"] = q[name].replace(_SOURCES.strip("\n"), _DIRTY.strip("\n"))
+    out["dirty_drug_era_clamped"] = q["drug_era_covered"].replace(_SOURCES.strip("\n"), _CLAMPED.strip("\n"))
+    for name in ("drug_quality_report", "dose_quality_report"):
+        out[f"dirty_{name}"] = q[name].replace(_SOURCES.strip("\n"), _DIRTY.strip("\n"))
+    out["dirty_condition_quality_report"] = q["condition_quality_report"].replace(_SOURCES.strip("\n"), _DIRTY.strip("\n")).replace(UNMAPPED_CONDITION, "0")
+    out["dirty_nonneg_supply"] = q["drug_exposure_nonneg_supply"].replace(_SOURCES.strip("\n"), _DIRTY.strip("\n"))
+    sweep = _sweep("ctv", COND_KEYS, 30, "c")
+    by_type, plain = (q[n][q[n].rindex("SELECT person_id, condition_concept_id"):] for n in ("condition_era_by_type", "condition_era"))
+    out["dirty_condition_era_by_type"] = _with(_DIRTY, _VALID, sweep) + by_type
+    out["dirty_condition_era_clamped"] = _with(_DIRTY, _VALID_CLAMPED, sweep) + plain
+    return out
+
+
 def _repeated_oracles() -> dict[str, str]:
     """Counts by id, as the scripts group: an id counts once for its keys and
     start, stockpile eras once more for each different length."""
@@ -599,7 +807,7 @@ SELECT COUNT(*) AS duplicate_ids, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS sur
 SELECT user_id, event_type, MIN(s) AS era_start_date, era_end AS era_end_date,
        COUNT(*) AS event_count
 FROM v_rows GROUP BY user_id, event_type, era_end"""
-    return q
+    return q | _stored_and_dirty_oracles(q)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -14,6 +14,7 @@ from spanpack.operators.eras import (
 )
 from spanpack.operators.packing import (
     assign_era_end,
+    attach_run_ends,
     collapse_eras,
     numbered_day_rows,
     era_end_dates,
@@ -23,6 +24,11 @@ from spanpack.operators.packing import (
     summarize_eras,
 )
 from spanpack.operators.quality import (
+    audit_buckets,
+    audit_summary,
+    differing_keys,
+    record_counts,
+    stored_counts,
     condition_quality_report,
     dose_quality_report,
     drug_quality_report,
@@ -45,6 +51,12 @@ from spanpack.operators.targets import (
 )
 
 __all__ = [
+    "attach_run_ends",
+    "audit_buckets",
+    "audit_summary",
+    "differing_keys",
+    "record_counts",
+    "stored_counts",
     "assign_era_end",
     "collapse_eras",
     "numbered_day_rows",

@@ -29,10 +29,17 @@ from spanpack.operators.targets import (
 GAP_METHODS = ("stockpile", "covered", "both")
 
 
+def gap_measures(gap: str) -> tuple[str, ...]:
+    """What :func:`drug_era_columns` reads from the eras: stockpile eras count
+    intervals, covered eras ids."""
+    return {"stockpile": ("intervals",), "covered": ("ids",)}.get(gap, ("ids", "intervals"))
+
+
 def condition_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig()) -> DataFrame:
     """E1 over an already built :func:`condition_target`."""
     e = summarize_eras(
-        target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days, id_col=cfg.id_column("condition_occurrence_id")
+        target, CONDITION_KEYS, COND_START, COND_END, cfg.grace_days,
+        id_col=cfg.id_column("condition_occurrence_id"), measures=("ids",),
     )
     return condition_era_columns(e)
 
@@ -72,7 +79,8 @@ def condition_era_by_type_columns(e: DataFrame) -> DataFrame:
 def drug_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig(), gap: str = "stockpile") -> DataFrame:
     """E3/E4 over an already built :func:`drug_target`."""
     e = summarize_eras(
-        target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days, id_col=cfg.id_column("drug_exposure_id")
+        target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days,
+        id_col=cfg.id_column("drug_exposure_id"), measures=gap_measures(gap),
     )
     return drug_era_columns(e, gap)
 

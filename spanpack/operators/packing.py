@@ -6,12 +6,13 @@ not the previous row's end). A run's end is the latest raw end in it.
 
 Plan shape (skew-safe by construction)
 --------------------------------------
-1. ``groupBy(keys, start)`` with map-side partial aggregation collapses all
-   records of a key that start on the same day into one row (count, latest
-   end, summed length). Records with one start day always share a run, so this
-   loses nothing. The shuffle is hashed on ``(keys, start)``, which spreads a
-   hot key over many tasks, and a hot ``(key, day)`` arrives as at most one
-   partial row per map task.
+1. Records become day rows: one row per (keys, start day), with counts, latest
+   end and summed length. Records with one start day always share a run, so
+   this loses nothing. Every exchange on the way follows a map-side partial
+   aggregate, so a hot ``(key, day)`` arrives as at most one row per map task.
+   Where ids are counted, a first aggregate by ``(keys, start, id)`` leaves one
+   row for each id; its exchange hashes on the id as well, which spreads a hot
+   ``(key, day)`` over all tasks and collapses copies before they travel.
 2. A window ``partitionBy(keys).orderBy(start)`` over those day rows numbers
    the runs. Its per-key input is bounded by the number of distinct start
    days of that key (a calendar bound: ~36,500 rows for a century of daily
@@ -21,9 +22,11 @@ Plan shape (skew-safe by construction)
 3. ``groupBy(keys, era_seq)`` reuses the window's hash partitioning on
    ``keys``: no further exchange.
 
-Row-level outputs (:func:`pack_intervals`, :func:`assign_era_end`) join the
-numbered day rows back to the records on ``(keys, start)``; that equi-join is
-skew-split by AQE when one ``(key, day)`` is hot.
+Row-level outputs (:func:`pack_intervals`, :func:`assign_era_end`,
+:func:`attach_run_ends`) deal the records once, by ``(keys, start, salt)``. The
+numbered rows are made from that exchange, and come back to it by an equi-join
+on the same columns, so the source is read once and its rows move once. The
+salt (a hash of the record) cuts a hot ``(key, day)`` into ``ROW_SALTS`` parts.
 
 Preconditions: ``start`` and ``end`` are DATE columns and ``end >= start``
 (the target builders quarantine or clamp other rows). Rows with a NULL key,
@@ -36,6 +39,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanpack.functions.dates import covered_days, days_between, opens_new_run
 
@@ -48,6 +52,15 @@ PREV = "_prev_end"
 OPEN = "_open"
 COVERED = "_covered"
 SEQ = "era_seq"
+TYPED = "_typed"
+SALT = "_salt"
+
+#: What day rows count by id: records (``ids``), record intervals (``intervals``).
+MEASURES = ("ids", "intervals")
+#: Parts into which the records of one (key, day) are dealt at row level.
+ROW_SALTS = 1024
+# grains that an id is counted at
+_IDS, _INTERVALS, _SPLIT_IDS = 0, 1, 2
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -72,15 +85,19 @@ def day_summary(
     end: str,
     split: str | None = None,
     id_col: str | None = None,
+    measures: Sequence[str] = MEASURES,
+    plain: bool | None = None,
 ) -> DataFrame:
     """One row per (keys, start day[, split]): record count, latest end, number
     and summed length of the record intervals. Partial aggregation runs before
-    the shuffle.
+    each shuffle.
 
     With ``id_col`` a record id counts once per (keys, start[, split]), with
-    its latest end; intervals count once per id and end. The rows are then
-    dealt by ``(keys, start)`` first, which serves both aggregates: the
-    shuffles stay as many."""
+    its latest end; intervals count once per id and end. ``measures`` names
+    what is asked for (counts not asked for are 0). ``plain`` and ``split``
+    together give rows at both grains, marked by ``TYPED``: an id under two
+    split values counts once in the plain rows and once for each value in the
+    others. By default ``plain`` is the grain without ``split``."""
     group = [*keys, start, *([split] if split else [])]
     if id_col is None:
         return df.groupBy(*group).agg(
@@ -89,17 +106,44 @@ def day_summary(
             F.count(F.lit(1)).alias(N_INTERVALS),
             F.sum(days_between(start, end)).alias(LEN),
         )
-    ends = df.repartition(*keys, start).select(*group, id_col, end).distinct()
-    per_id = ends.groupBy(*group, id_col).agg(
-        F.max(end).alias(DAY_END),
-        F.count(F.lit(1)).alias(N_INTERVALS),
-        F.sum(days_between(start, end)).alias(LEN),
-    )
-    return per_id.groupBy(*group).agg(
-        F.count(F.lit(1)).alias(N),
+    plain = split is None if plain is None else plain
+    grains = [_SPLIT_IDS] if split else []
+    if plain:
+        grains += [g for g, name in ((_IDS, "ids"), (_INTERVALS, "intervals")) if name in measures]
+    if not grains:
+        raise ValueError(f"measures must name some of {MEASURES}")
+    return _counted_by_id(df, keys, start, end, split, id_col, grains)
+
+
+def _counted_by_id(
+    df: DataFrame, keys: Sequence[str], start: str, end: str, split: str | None, id_col: str, grains: list[int]
+) -> DataFrame:
+    """Each record stands once for each grain; one aggregate leaves an id (and,
+    for intervals, an end) once, a second one makes the day rows."""
+    no_end = F.lit(None).cast(df.schema[end].dataType)
+    no_split = F.lit(None).cast(df.schema[split].dataType) if split else None
+
+    def row(grain: int) -> list:
+        cols = [F.lit(grain).alias("_grain"), (F.col(end) if grain == _INTERVALS else no_end).alias("_of_end")]
+        return cols + ([(F.col(split) if grain == _SPLIT_IDS else no_split).alias("_split")] if split else [])
+
+    base = [*keys, start, end, id_col]
+    if len(grains) == 1:
+        rows = df.select(*base, *row(grains[0]))
+    else:
+        rows = df.select(*base, F.inline(F.array(*[F.struct(*row(g)) for g in grains])))
+    once = ["_grain", "_of_end", *(["_split"] if split else [])]
+    per_id = rows.groupBy(*keys, start, id_col, *once).agg(F.max(end).alias(DAY_END))
+    interval = F.col("_grain") == _INTERVALS
+    marks = []
+    if split:
+        marks = [F.col("_split").alias(split)]
+        marks += [(F.col("_grain") == _SPLIT_IDS).alias(TYPED)] if len(grains) > 1 else []
+    return per_id.groupBy(*keys, start, *marks).agg(
+        F.sum(F.when(interval, 0).otherwise(1)).alias(N),
         F.max(DAY_END).alias(DAY_END),
-        F.sum(N_INTERVALS).alias(N_INTERVALS),
-        F.sum(LEN).alias(LEN),
+        F.sum(F.when(interval, 1).otherwise(0)).alias(N_INTERVALS),
+        F.sum(F.when(interval, days_between(start, DAY_END)).otherwise(0)).alias(LEN),
     )
 
 
@@ -117,19 +161,6 @@ def number_runs(days: DataFrame, keys: Sequence[str], start: str, grace_days: in
     )
 
 
-def _numbered_days(
-    df: DataFrame,
-    keys: Sequence[str],
-    start: str,
-    end: str,
-    grace_days: int,
-    split: str | None = None,
-    id_col: str | None = None,
-) -> DataFrame:
-    clean = drop_null_keys(df, keys, start, end)
-    return number_runs(day_summary(clean, keys, start, end, split, id_col), keys, start, grace_days)
-
-
 def numbered_day_rows(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -138,27 +169,36 @@ def numbered_day_rows(
     grace_days: int = 30,
     split: str | None = None,
     id_col: str | None = None,
+    measures: Sequence[str] = MEASURES,
+    plain: bool | None = None,
 ) -> DataFrame:
-    """Day rows (per keys, start day[, split]) with their run number: the
-    shared input of :func:`collapse_eras`. Numbering at the split grain also
-    serves the unsplit eras, so one numbered table can feed both."""
-    return _numbered_days(df, _keys(keys), start, end, grace_days, split, id_col)
+    """Day rows (see :func:`day_summary`) with their run number: the shared
+    input of :func:`collapse_eras`. Rows numbered with ``split`` also serve the
+    unsplit eras: without ``id_col`` their counts add up, with it ``plain=True``
+    carries the unsplit counts as rows of their own."""
+    keys = _keys(keys)
+    clean = drop_null_keys(df, keys, start, end)
+    days = day_summary(clean, keys, start, end, split, id_col, measures, plain)
+    return number_runs(days, keys, start, grace_days)
 
 
 def collapse_eras(numbered: DataFrame, keys: str | Sequence[str], start: str, split: str | None = None) -> DataFrame:
     """Eras from :func:`numbered_day_rows` (see :func:`summarize_eras` for the
     columns). ``split`` must be None or the split the rows were numbered with."""
     keys = _keys(keys)
+    both = TYPED in numbered.columns
     if split is None:
+        count = F.when(F.col(TYPED), 0).otherwise(F.col(N)) if both else F.col(N)
         return numbered.groupBy(*keys, SEQ).agg(
             F.min(start).alias("era_start"),
             F.max(DAY_END).alias("era_end"),
-            F.sum(N).alias("record_count"),
+            F.sum(count).alias("record_count"),
             F.sum(N_INTERVALS).alias("interval_count"),
             F.sum(LEN).alias("sum_days"),
             F.sum(COVERED).alias("covered_days"),
         )
-    per_split = numbered.groupBy(*keys, SEQ, split).agg(
+    rows = numbered.where(TYPED) if both else numbered
+    per_split = rows.groupBy(*keys, SEQ, split).agg(
         F.min(start).alias("era_start"),
         F.max(DAY_END).alias("_split_end"),
         F.sum(N).alias("record_count"),
@@ -175,6 +215,7 @@ def summarize_eras(
     grace_days: int = 30,
     split: str | None = None,
     id_col: str | None = None,
+    measures: Sequence[str] = MEASURES,
 ) -> DataFrame:
     """Era table: one row per (keys, run[, split]).
 
@@ -185,15 +226,18 @@ def summarize_eras(
 
     Without ``id_col`` every row is a record and an interval. With it, rows
     that repeat an id, key and start are one record that lasts to its latest
-    end; each different end is an interval of its own.
+    end; each different end is an interval of its own. ``measures`` then says
+    which of ``record_count`` (``ids``) and ``interval_count`` with
+    ``sum_days`` (``intervals``) are wanted; asking for one saves work, and the
+    other is 0.
 
     With ``split`` the run boundaries ignore the split column; each run is
     reported once per split value present in it, with the run's end and the
     earliest start *of that split value* (rows of one run share the end and
     may overlap in time).
     """
-    keys = _keys(keys)
-    return collapse_eras(_numbered_days(df, keys, start, end, grace_days, split, id_col), keys, start, split)
+    numbered = numbered_day_rows(df, keys, start, end, grace_days, split, id_col, measures)
+    return collapse_eras(numbered, keys, start, split)
 
 
 def era_end_dates(
@@ -201,27 +245,44 @@ def era_end_dates(
 ) -> DataFrame:
     """The distinct end dates of the runs of each key: (keys, era_end_date)."""
     keys = _keys(keys)
-    numbered = _numbered_days(df, keys, start, end, grace_days)
+    numbered = numbered_day_rows(df, keys, start, end, grace_days)
     return numbered.groupBy(*keys, SEQ).agg(F.max(DAY_END).alias("era_end_date")).drop(SEQ)
 
 
-def _day_runs(df: DataFrame, keys: list[str], start: str, end: str, grace_days: int) -> DataFrame:
-    """(keys, start day) -> run number, run start and run end."""
-    numbered = _numbered_days(df, keys, start, end, grace_days)
-    run = Window.partitionBy(*keys, SEQ)
-    return numbered.select(
-        *keys,
-        start,
-        SEQ,
-        F.min(start).over(run).alias("era_start_date"),
-        F.max(DAY_END).over(run).alias("era_end_date"),
-    )
+def _salted(df: DataFrame, keys: list[str], start: str) -> DataFrame:
+    """Records dealt by (keys, start, salt), with the salt. The hash takes in
+    every column that can be hashed, so an exchange of the same records is the
+    same exchange whatever is read from it, and Spark runs it once."""
+    plain = [f.name for f in df.schema if not _unhashable(f.dataType)]
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(ROW_SALTS))
+    # never NULL; said here so that no branch infers it for itself and differs from the other
+    return df.repartition(*keys, start, salt).withColumn(SALT, salt).where(F.col(SALT).isNotNull())
 
 
-def _attach(df: DataFrame, runs: DataFrame, keys: list[str], start: str, end: str, cols: list[str]) -> DataFrame:
-    clean = drop_null_keys(df, keys, start, end)
-    joined = clean.join(runs.select(*keys, start, *cols), on=[*keys, start], how="inner")
-    return joined.select(*clean.columns, *cols)
+def _unhashable(dtype: T.DataType) -> bool:
+    text = dtype.simpleString()
+    return "map<" in text or "variant" in text
+
+
+def _attach(dealt: DataFrame, found: DataFrame, keys: list[str], start: str, columns: list[str], how: str = "inner") -> DataFrame:
+    """``columns`` of ``found`` (a row per keys, start and salt) at the records."""
+    mine = [c for c in dealt.columns if c != SALT]
+    on = [*keys, start, SALT]
+    right = found.select(*[F.col(c).alias(f"_at_{i}") for i, c in enumerate(on)], *[F.col(c).alias(f"_new_{c}") for c in columns])
+    match = F.lit(True)
+    for i, c in enumerate(on):
+        match = match & (dealt[c] == right[f"_at_{i}"])
+    joined = dealt.join(right, match, how)
+    return joined.select(*[dealt[c] for c in mine], *[F.col(f"_new_{c}").alias(c) for c in columns])
+
+
+def _runs_of_records(df: DataFrame, keys: list[str], start: str, end: str, grace_days: int) -> tuple[DataFrame, DataFrame]:
+    """The records, dealt, and (keys, start, salt) -> run number and run end."""
+    dealt = _salted(drop_null_keys(df, keys, start, end), keys, start)
+    days = dealt.groupBy(*keys, start, SALT).agg(F.max(end).alias(DAY_END))
+    run = Window.partitionBy(*keys, SEQ)
+    numbered = number_runs(days, keys, start, grace_days)
+    return dealt, numbered.withColumn("era_end_date", F.max(DAY_END).over(run))
 
 
 def pack_intervals(
@@ -234,8 +295,8 @@ def pack_intervals(
 ) -> DataFrame:
     """Every record with the number of its run (``seq_col``, 1-based per key)."""
     keys = _keys(keys)
-    runs = _day_runs(df, keys, start, end, grace_days).withColumnRenamed(SEQ, seq_col)
-    return _attach(df, runs, keys, start, end, [seq_col])
+    dealt, runs = _runs_of_records(df, keys, start, end, grace_days)
+    return _attach(dealt, runs.withColumnRenamed(SEQ, seq_col), keys, start, [seq_col])
 
 
 def assign_era_end(
@@ -249,8 +310,43 @@ def assign_era_end(
     """Every record with the end date of its run (the earliest run end on or
     after its start)."""
     keys = _keys(keys)
-    runs = _day_runs(df, keys, start, end, grace_days).withColumnRenamed("era_end_date", end_col)
-    return _attach(df, runs, keys, start, end, [end_col])
+    dealt, runs = _runs_of_records(df, keys, start, end, grace_days)
+    return _attach(dealt, runs.withColumnRenamed("era_end_date", end_col), keys, start, [end_col])
+
+
+def attach_run_ends(
+    df: DataFrame,
+    ends: DataFrame,
+    keys: str | Sequence[str],
+    start: str,
+    run_end: str = "era_end_date",
+    how: str = "inner",
+) -> DataFrame:
+    """Every record with the earliest of the *given* run ends of its key that
+    lies on or after its start, as ``run_end`` (P3 where runs were built, or
+    stored, before). ``ends`` holds ``keys`` and ``run_end``; repeated and NULL
+    ends do no harm. Records without such an end are dropped, or with
+    ``how="left"`` kept with NULL, as are then records with a NULL key or start.
+
+    A forward as-of join without a range predicate: the start days of the
+    records and the ends form one table, and a window in descending order of
+    date carries the nearest end to each day. It sees days and ends, bounded
+    by the calendar, and never records."""
+    keys = _keys(keys)
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    known = drop_null_keys(df, keys, start, start) if how == "inner" else df
+    dealt = _salted(known, keys, start)
+    days = drop_null_keys(dealt, keys, start, start).groupBy(*keys, start, SALT).agg(F.lit(None).cast("date").alias("_end"))
+    days = days.withColumnRenamed(start, "_date")
+    given = drop_null_keys(ends, keys, run_end, run_end).select(*keys, F.col(run_end).cast("date").alias("_date")).distinct()
+    given = given.select(*keys, "_date", F.lit(None).cast("long").alias(SALT), F.col("_date").alias("_end"))
+    # of one date, ends come before days
+    order = Window.partitionBy(*keys).orderBy(F.col("_date").desc(), F.col("_end").isNull())
+    near = F.last("_end", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = days.select(*keys, "_date", SALT, "_end").unionByName(given).withColumn(run_end, near)
+    found = found.where(F.col(SALT).isNotNull() & F.col(run_end).isNotNull()).withColumnRenamed("_date", start)
+    return _attach(dealt, found, keys, start, [run_end], how)
 
 
 def merge_overlaps(df: DataFrame, keys: str | Sequence[str], start: str, end: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Data-quality operators.
 
-Q1 ``reconcile_counts``: input (exposure x ingredient) rows vs summed era
+Q1 ``reconcile_counts``: input (exposure x ingredient) records vs summed era
    counts; both sides are one-row aggregates, so the cross join is 1 x 1.
+   ``audit_buckets``, ``audit_summary``, ``differing_keys``: the same for a stored
+   table, by mergeable sums over key buckets that lead to the keys that differ.
 Q2 ``quality_report``: one row per problem with the number of records that
    have it; computed as a single global aggregate (partial per task, one tiny
    final merge) and unpivoted, so it never groups records by a hot key.
@@ -10,6 +12,8 @@ Q2 ``quality_report``: one row per problem with the number of records that
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +32,11 @@ from spanpack.operators.targets import (
 from spanpack.schemas import as_date, require_columns
 
 
-def _invalid_reason(keys: list[str], start: str, end: str) -> Column:
+#: The mark of a row that breaks no rule.
+VALID = "valid"
+
+
+def invalid_reason(keys: list[str], start: str, end: str) -> Column:
     """The first failing check, in this order: NULL start, NULL end, NULL key
     (in key order), end before start."""
     checks = [(F.col(start).isNull(), "null_start_date"), (F.col(end).isNull(), "null_end_date")]
@@ -43,7 +51,7 @@ def _invalid_reason(keys: list[str], start: str, end: str) -> Column:
 def quarantine(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     """Rows that break the interval contract, with a ``reason`` column."""
     bad = df.filter(~F.coalesce(valid_interval(keys, start, end), F.lit(False)))
-    return bad.withColumn("reason", _invalid_reason(keys, start, end))
+    return bad.withColumn("reason", invalid_reason(keys, start, end))
 
 
 def split_valid(
@@ -140,17 +148,88 @@ def dose_quality_report(
     })
 
 
-def reconcile_counts(target: DataFrame, era: DataFrame, count_col: str) -> DataFrame:
-    """Q1: ``target_rows`` (rows that entered packing) vs ``era_count_sum``
-    (sum of ``count_col`` over the eras), and whether they match. Use the
-    same target (same filters) that built ``era``."""
-    left = target.agg(F.count(F.lit(1)).alias("target_rows"))
+def reconcile_counts(
+    target: DataFrame, era: DataFrame, count_col: str, record: Sequence[str] | None = None
+) -> DataFrame:
+    """Q1: ``target_rows`` (records that entered packing) vs ``era_count_sum``
+    (sum of ``count_col`` over the eras), and whether they match. Use the same
+    target (same filters) that built ``era``.
+
+    ``record`` names the columns that make one record (keys, start and id; for
+    stockpile drug eras the end as well): rows that repeat them are one record,
+    as in the eras. Without it every row counts."""
+    rows = target.select(*record).distinct() if record else target
+    left = rows.agg(F.count(F.lit(1)).alias("target_rows"))
     right = era.agg(F.coalesce(F.sum(count_col), F.lit(0)).cast("long").alias("era_count_sum"))
     return left.crossJoin(right).withColumn(
         "matches", F.col("target_rows") == F.col("era_count_sum")
     )
 
 
+# ------------------------------------------------- audit of a stored table
+#: Key buckets of an audit; a fixed number, whatever the tables' size.
+AUDIT_BUCKETS = 4096
+
+
+def record_counts(target: DataFrame, keys: Sequence[str], record: Sequence[str]) -> DataFrame:
+    """(keys, ``n``): each key's records, those that repeat ``record`` once."""
+    once = target.select(*record).distinct()
+    return once.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stored_counts(era: DataFrame, keys: Sequence[str], count_col: str, rename: dict[str, str] | None = None) -> DataFrame:
+    """(keys, ``n``): what a stored era table says, its columns renamed to the
+    target's keys."""
+    renamed = era.select(*[F.col(c).alias((rename or {}).get(c, c)) for c in era.columns])
+    return renamed.groupBy(*keys).agg(F.sum(count_col).alias("n"))
+
+
+def bucket_sums(counts: DataFrame, keys: Sequence[str], buckets: int = AUDIT_BUCKETS) -> DataFrame:
+    """(bucket, ``n_keys``, ``records``, ``digest``) of a count table. All are
+    sums, so buckets of parts of a table add up to those of the whole."""
+    h = F.xxhash64(*keys, F.col("n").cast("long")).cast("decimal(38,0)")
+    return counts.groupBy(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_keys"), F.sum("n").cast("long").alias("records"), F.sum(h).alias("digest")
+    )
+
+
+def audit_buckets(expected: DataFrame, stored: DataFrame, keys: Sequence[str], buckets: int = AUDIT_BUCKETS) -> DataFrame:
+    """One row a bucket: keys and records on both sides, and whether they agree."""
+    left = bucket_sums(expected, keys, buckets)
+    right = bucket_sums(stored, keys, buckets)
+    both = left.alias("l").join(right.alias("r"), "bucket", "full")
+    zero = F.lit(0).cast("long")
+    return both.select(
+        "bucket",
+        *[F.coalesce(F.col(f"{side}.{c}"), zero).alias(f"{name}_{c}") for side, name in (("l", "expected"), ("r", "stored")) for c in ("n_keys", "records")],
+        F.coalesce(
+            (F.col("l.digest") == F.col("r.digest")) & (F.col("l.n_keys") == F.col("r.n_keys")), F.lit(False)
+        ).alias("matches"),
+    )
+
+
+def audit_summary(expected: DataFrame, stored: DataFrame, keys: Sequence[str], buckets: int = AUDIT_BUCKETS) -> DataFrame:
+    """One row: keys and records on both sides, buckets that differ, ``matches``."""
+    return audit_buckets(expected, stored, keys, buckets).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("expected_n_keys", "stored_n_keys", "expected_records", "stored_records")],
+        F.coalesce(F.min("matches"), F.lit(True)).alias("matches"),
+    )
+
+
+def differing_keys(expected: DataFrame, stored: DataFrame, keys: Sequence[str], buckets: int = AUDIT_BUCKETS) -> DataFrame:
+    """(keys, ``expected_count``, ``stored_count``) of the keys whose counts
+    differ; 0 where a side lacks the key. Only keys of buckets that differ are
+    compared one by one; the list of those has ``buckets`` rows at most."""
+    bad = F.broadcast(audit_buckets(expected, stored, keys, buckets).where(~F.col("matches")).select("bucket"))
+
+    def narrowed(counts: DataFrame, name: str) -> DataFrame:
+        rows = counts.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).join(bad, "bucket", "left_semi")
+        return rows.select(*keys, F.col("n").cast("long").alias(name))
+
+    both = narrowed(expected, "expected_count").join(narrowed(stored, "stored_count"), [*keys], "full")
+    return both.na.fill(0, ["expected_count", "stored_count"]).where("expected_count <> stored_count")
+
+
 def duplicate_id_report(df: DataFrame, id_cols: list[str] | tuple[str, ...]) -> DataFrame:
     """One row: how many ids occur more than once and how many surplus rows
     they bring. Record ids must be unique for era counts to be exact (see

@@ -5,11 +5,11 @@ unit and dose carried along) and one ingredient map. With more
 than one drug output the map is written once to the shared checkpoint
 folder (when the session has one), so the vocabulary is read once.
 
-Where record ids are trusted to be unique (``EraConfig.assume_unique_ids``),
-plain and by-type variants of one table share one run numbering: the day rows
-are numbered at the (keys, day, type) grain, written once to the checkpoint
-folder, and both outputs aggregate that table. Otherwise an id may stand under
-two types, counts differ, and each output is packed for itself.
+Plain and by-type variants of one table share one run numbering, written once
+to the checkpoint folder, and both outputs aggregate that table. The target is
+read once for both: its day rows carry counts at two grains, since an id under
+two types counts once in the plain table and once for each type in the other
+(``EraConfig.assume_unique_ids`` trusts ids, and one grain serves both).
 
 ``materialize``: ``auto`` writes the ingredient map and a shared numbering,
 ``checkpoint`` the drug target as well, ``never`` nothing.
@@ -33,6 +33,7 @@ from spanpack.operators.eras import (
     drug_era_columns,
     drug_eras_by_type_from_target,
     drug_eras_from_target,
+    gap_measures,
 )
 from spanpack.operators.packing import collapse_eras, numbered_day_rows
 from spanpack.operators.targets import (
@@ -47,6 +48,7 @@ from spanpack.operators.targets import (
     ingredient_map,
 )
 from spanpack.sources.publish import publish, publish_swap
+from spanpack.sources.versions import publish_version
 
 ERA_OUTPUTS = ("condition_era", "condition_era_by_type", "drug_era", "drug_era_by_type", "dose_era")
 DRUG_OUTPUTS = ("drug_era", "drug_era_by_type", "dose_era")
@@ -82,10 +84,12 @@ def build_era_tables(
         raise ValueError(f"materialize must be one of {MATERIALIZE}")
     out: dict[str, DataFrame] = {}
 
-    def shared_numbering(target, keys, start, end, split):
+    def shared_numbering(target, keys, start, end, split, id_col, measures):
         """Plain and by-type outputs from one numbered table, written once
         to the shared checkpoint folder (recomputed per output without one)."""
-        numbered = numbered_day_rows(target, keys, start, end, cfg.grace_days, split)
+        numbered = numbered_day_rows(
+            target, keys, start, end, cfg.grace_days, split, cfg.id_column(id_col), measures, plain=True
+        )
         if materialize != "never":
             numbered = reliable_checkpoint(numbered) or numbered
         return collapse_eras(numbered, keys, start), collapse_eras(numbered, keys, start, split)
@@ -93,8 +97,10 @@ def build_era_tables(
     if {"condition_era", "condition_era_by_type"} & set(outputs):
         with_type = "condition_era_by_type" in outputs
         ct = condition_target(sources["condition_occurrence"], cfg, with_type=with_type)
-        if with_type and "condition_era" in outputs and cfg.assume_unique_ids:
-            plain, typed = shared_numbering(ct, CONDITION_KEYS, COND_START, COND_END, "condition_type_concept_id")
+        if with_type and "condition_era" in outputs:
+            plain, typed = shared_numbering(
+                ct, CONDITION_KEYS, COND_START, COND_END, "condition_type_concept_id", "condition_occurrence_id", ("ids",)
+            )
             out["condition_era"] = condition_era_columns(plain)
             out["condition_era_by_type"] = condition_era_by_type_columns(typed)
         else:
@@ -117,8 +123,10 @@ def build_era_tables(
         dt = drug_target(sources["drug_exposure"], None, None, cfg, extra=extra, mapping=mapping)
         if materialize == "checkpoint":
             dt = _materialize(dt)
-        if "drug_era" in wanted and "drug_era_by_type" in wanted and cfg.assume_unique_ids:
-            plain, typed = shared_numbering(dt, DRUG_KEYS, DRUG_START, DRUG_END, "drug_type_concept_id")
+        if "drug_era" in wanted and "drug_era_by_type" in wanted:
+            plain, typed = shared_numbering(
+                dt, DRUG_KEYS, DRUG_START, DRUG_END, "drug_type_concept_id", "drug_exposure_id", gap_measures(gap)
+            )
             out["drug_era"] = drug_era_columns(plain, gap)
             out["drug_era_by_type"] = drug_era_by_type_columns(typed)
         else:
@@ -154,9 +162,11 @@ def publish_era_tables(
 ) -> None:
     """Write each era DataFrame to its catalog table (or to ``paths[name]``).
 
-    An overwritten table is staged and swapped in (:func:`publish_swap`), so a
-    failing write leaves the previous eras readable; ``staged=False`` replaces
-    an ordinary table in place.
+    An overwritten target is staged: a table is swapped in (:func:`publish_swap`),
+    a path gets a new version and a commit (:func:`publish_version`, read with
+    :func:`read_version`), so a failing write leaves the previous eras
+    readable; ``staged=False`` replaces an ordinary table or folder in place.
+    An append to a path in that form goes through ``publish_version`` as well.
 
     ``targets`` maps output name -> logical table name of ``tables``; the
     by-type outputs go to the same logical tables as the plain ones by
@@ -168,7 +178,9 @@ def publish_era_tables(
     if len(set(dest)) != len(dest):
         raise ValueError(f"two outputs would overwrite the same table: {dict(zip(eras, dest))}")
     for name, df in eras.items():
-        if name in paths:
+        if name in paths and staged:
+            publish_version(df, paths[name], mode=mode, fmt=fmt)
+        elif name in paths:
             publish(df, path=paths[name], mode=mode, fmt=fmt)
         elif staged and mode == "overwrite":
             publish_swap(df, tables.qualified(targets[name]), fmt=fmt)

@@ -145,6 +145,43 @@ def repeated_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return de.unionByName(de.filter(kind == 1)).unionByName(later).unionByName(other)
 
 
+DIRTY_MOD = 13                   # which fault a record has follows from its concept or id
+
+
+def dirty_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`condition_occurrence` with a fault in about every second row: NULL
+    person, start, concept or type, the unmapped concept 0, an end before the start."""
+    co = condition_occurrence(spark, sf_dir)
+    fault = F.col("condition_occurrence_id") % DIRTY_MOD
+
+    def unless(kind: int, column: str, value) -> dict:
+        return {column: F.when(fault == kind, value).otherwise(F.col(column))}
+
+    none = F.lit(None)
+    return co.withColumns(
+        unless(0, "person_id", none) | unless(1, "condition_start_date", none) | unless(4, "condition_type_concept_id", none)
+        | {"condition_concept_id": F.when(fault == 2, none).when(fault == 3, F.lit("0")).otherwise(F.col("condition_concept_id")),
+           "condition_end_date": F.when(fault == 5, F.date_sub("condition_start_date", 4)).otherwise(F.col("condition_end_date"))})
+
+
+def dirty_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`drug_exposure` with faults: NULL person, start, concept, type, unit,
+    the unmapped drug 0, a drug without an ingredient, a negative supply, an end
+    before the start."""
+    de = drug_exposure(spark, sf_dir)
+    fault = F.col("drug_concept_id") % DIRTY_MOD
+
+    def unless(kind: int, column: str, value) -> dict:
+        return {column: F.when(fault == kind, value).otherwise(F.col(column))}
+
+    none = F.lit(None)
+    concept_id = F.when(fault == 2, none).when(fault == 3, F.lit(0)).when(fault == 4, F.lit(-5)).otherwise(F.col("drug_concept_id"))
+    return de.withColumns(
+        unless(0, "person_id", none) | unless(1, "drug_exposure_start_date", none) | {"drug_concept_id": concept_id.cast("long")}
+        | unless(5, "days_supply", -F.col("days_supply") - 3) | unless(6, "drug_type_concept_id", none)
+        | unless(7, "drug_exposure_end_date", F.date_sub("drug_exposure_start_date", 4)) | unless(8, "dose_unit_concept_id", none))
+
+
 def fine_doses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`drug_exposure` through :func:`spanpack.schemas.conform`, with
     double doses that differ in the fourth decimal."""

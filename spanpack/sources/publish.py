@@ -17,6 +17,9 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanpack.operators.quality import VALID, invalid_reason
 
 MODES = ("overwrite", "append")
 VERSION_SEP = "__v"
@@ -62,6 +65,32 @@ def publish(
         writer.save(path)
 
 
+def ranged(df: DataFrame, by: Sequence[str], files: int) -> DataFrame:
+    """``df`` in ``files`` ranges of nearly equal row counts over ``by`` (say
+    person, then start), each in order: a layout for reading by person. Spark
+    takes the bounds from the rows themselves, so a person with a large share
+    of the rows is cut along the later columns."""
+    return df.repartitionByRange(files, *by).sortWithinPartitions(*by)
+
+
+def publish_split(
+    df: DataFrame, keys: list[str], start: str, end: str, path: str, mode: str = "errorifexists", fmt: str = "parquet",
+    reason: str = "reason",
+) -> None:
+    """The rows an era builder takes and those it drops, written in one pass:
+    one folder for each reason (see :func:`spanpack.operators.quality.quarantine`),
+    the clean rows under ``valid``. No row moves between tasks."""
+    marked = df.withColumn(reason, F.coalesce(invalid_reason(keys, start, end), F.lit(VALID)))
+    marked.write.mode(mode).format(fmt).partitionBy(reason).save(path)
+
+
+def read_split(spark: SparkSession, path: str, fmt: str = "parquet", reason: str = "reason") -> tuple[DataFrame, DataFrame]:
+    """(clean rows, quarantined rows with their reason) of :func:`publish_split`;
+    each reads its own folders only."""
+    rows = spark.read.format(fmt).load(path)
+    return rows.where(F.col(reason) == VALID).drop(reason), rows.where(F.col(reason) != VALID)
+
+
 def publish_overwrite(df: DataFrame, **kw) -> None:
     """K1: replace the target's contents with ``df``."""
     publish(df, mode="overwrite", **kw)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from spanpack.config import EraConfig, TableNames
 from spanpack.schemas import SOURCE_SCHEMAS, concept_schema, conform
+from spanpack.sources.versions import read_version
 
 SOURCES = ("drug_exposure", "condition_occurrence", "concept_ancestor", "concept")
 
@@ -59,9 +60,13 @@ def read_source(
     return conform(df, expected, name)
 
 
-def read_era_table(spark: SparkSession, name: str, tables: TableNames = TableNames()) -> DataFrame:
-    """An already published era table (S5, used by the count audit)."""
-    return spark.table(tables.qualified(name))
+def read_era_table(
+    spark: SparkSession, name: str, tables: TableNames = TableNames(), path: str | None = None, fmt: str = "parquet"
+) -> DataFrame:
+    """An already published era table (S5, used by the count audit): the
+    catalog table, or what :func:`spanpack.sources.publish_version` committed
+    under ``path``."""
+    return spark.table(tables.qualified(name)) if path is None else read_version(spark, path, fmt)
 
 
 def load_sources(
