@@ -9,7 +9,7 @@ from spanpack import EraConfig, condition_era, dose_era, drug_era, drug_era_by_t
 from spanpack.operators.quality import duplicate_id_report
 from spanpack.plans import ERA_OUTPUTS, build_era_tables, publish_era_tables
 from spanpack.plans.inspect import scan_details
-from spanpack.sources import fixtures as fx
+from spanpack.sources import fixtures as fx, read_version
 
 
 def _sources(spark):
@@ -38,7 +38,7 @@ def test_shuffle_rollup_materializes_target_once(spark, tmp_out):
     eras = build_era_tables(srcs, outputs=["drug_era", "dose_era"], materialize="checkpoint")
     assert eras["drug_era"].count() == 6033 and eras["dose_era"].count() == 6516
     publish_era_tables(eras, paths={k: os.path.join(tmp_out, k) for k in eras})
-    assert spark.read.parquet(os.path.join(tmp_out, "dose_era")).count() == 6516
+    assert read_version(spark, os.path.join(tmp_out, "dose_era")).count() == 6516
 
 
 def test_repeated_ids_and_duplicate_report(spark):

@@ -5,11 +5,17 @@ from __future__ import annotations
 from conftest import SF0001
 from spanpack import (
     EraConfig,
+    assign_era_end,
+    attach_run_ends,
     condition_era,
     condition_era_by_type,
+    condition_target,
     dose_quality_report,
     drug_era,
     drug_quality_report,
+    drug_target,
+    era_end_dates,
+    pack_intervals,
 )
 from spanpack.plans.inspect import join_count, operator_counts, scan_details, shuffle_count
 from spanpack.sources import fixtures as fx
@@ -18,9 +24,12 @@ from spanpack.sources import fixtures as fx
 def test_condition_era_plan(spark):
     df = condition_era(fx.condition_occurrence(spark, SF0001))
     assert join_count(df) == 0
-    # (keys, day) partial aggregate shuffle + keys shuffle for the window;
-    # the final aggregate reuses the window's partitioning
-    assert shuffle_count(df) == 2
+    # (keys, day, id) and (keys, day) aggregate shuffles, each after a partial
+    # aggregate, + keys shuffle for the window; the final aggregate reuses the
+    # window's partitioning. Where ids are trusted the first one falls away
+    assert shuffle_count(df) == 3
+    trusted = condition_era(fx.condition_occurrence(spark, SF0001), EraConfig(assume_unique_ids=True))
+    assert shuffle_count(trusted) == 2
     ops = operator_counts(df)
     assert ops["Window"] >= 1 and ops["Sort"] == 1
     (scan,) = scan_details(df)
@@ -30,7 +39,7 @@ def test_condition_era_plan(spark):
 
 def test_type_split_adds_no_shuffle(spark):
     df = condition_era_by_type(fx.condition_occurrence(spark, SF0001))
-    assert shuffle_count(df) == 2 and join_count(df) == 0
+    assert shuffle_count(df) == 3 and join_count(df) == 0
 
 
 def test_drug_era_rollup_is_broadcast(spark):
@@ -68,17 +77,41 @@ def _tree_ops(df):
 
 
 def test_window_reads_pre_aggregated_day_rows(spark):
-    """Skew guard: the exchange that feeds the window sits on top of the
-    final (keys, day) aggregate, whose own exchange sits on a partial one."""
+    """Skew guard: every exchange below the window follows a partial aggregate:
+    day rows by key, on the (key, day) aggregate, on the (key, day, id) one."""
     for df in (
         condition_era(fx.condition_occurrence(spark, SF0001)),
+        condition_era_by_type(fx.condition_occurrence(spark, SF0001)),
+        drug_era(*fx.drug_sources(spark, SF0001), gap="stockpile"),
         drug_era(*fx.drug_sources(spark, SF0001), gap="both"),
     ):
         ops = _tree_ops(df)
         w = max(i for i, o in enumerate(ops) if o == "Window")  # the lowest window
         below = [o for o in ops[w + 1:] if o not in ("Project", "Filter")]
-        second = below.index("Exchange", 2)
-        assert below[:3] == ["Sort", "Exchange", "HashAggregate"] and set(below[2:second]) == {"HashAggregate"}, below
+        assert below[:8] == [
+            "Sort", "Exchange", "HashAggregate", "Exchange", "HashAggregate", "HashAggregate", "Exchange", "HashAggregate"
+        ], below
+
+
+def test_row_level_outputs_read_their_source_once(spark):
+    """Numbered rows come from the exchange they go back to; the target's join runs once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ct = condition_target(fx.condition_occurrence(spark, SF0001))
+        dt = drug_target(*fx.drug_sources(spark, SF0001))
+        ends = era_end_dates(ct, ["person_id", "condition_concept_id"], "condition_start_date", "condition_end_date")
+        for df, own in (
+            (pack_intervals(ct, ["person_id", "condition_concept_id"], "condition_start_date", "condition_end_date"), 1),
+            (assign_era_end(dt, ["person_id", "ingredient_concept_id"], "drug_exposure_start_date", "drug_exposure_end_date"), 6),
+            # and the ends once more
+            (attach_run_ends(ct, ends, ["person_id", "condition_concept_id"], "condition_start_date"), 2),
+        ):
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert plan.count("FileScan parquet") == own, plan
+            assert "ReusedExchange" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_unique_ids_aggregate_before_the_shuffle(spark):

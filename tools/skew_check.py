@@ -78,6 +78,13 @@ def main(scratch: str, n: int = ROWS) -> None:
     df = rows(spark, hot_same_day=False, n=n)
     sc.setJobGroup("day_level_eras", "summarize_eras")
     summarize_eras(df, ["k"], "s", "e", 30).write.format("noop").mode("overwrite").save()
+    same_day = rows(spark, hot_same_day=True, n=n).withColumn("id", F.monotonically_increasing_id())
+    copies = same_day.withColumn("id", F.when(F.col("k") == 0, F.lit(-1)).otherwise(F.col("id")))
+    for name, source in (("default_hot_day", same_day), ("default_hot_copies", copies)):
+        for measures in (("ids",), ("intervals",), ("ids", "intervals")):
+            sc.setJobGroup(name, "summarize_eras by id")
+            eras = summarize_eras(source, ["k"], "s", "e", 30, id_col="id", measures=measures)
+            eras.write.format("noop").mode("overwrite").save()
     sc.setJobGroup("row_level_window", "single window over rows")
     w = Window.partitionBy("k").orderBy("s", "e")
     x = df.withColumn("p", F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1)))
