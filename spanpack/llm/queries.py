@@ -108,7 +108,8 @@ def op12_warc(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages")
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(pages, f"{folder}/whole")
-    found = warc.resolved(warc.read_records(warc.normalise(spark, f"{folder}/whole", f"{folder}/records")))
+    found = durable(warc.read_records(warc.normalise(spark, f"{folder}/whole", f"{folder}/records")))
+    found = warc.resolved(found)
     kind = pages.schema["page_id"].dataType
     return found.select(F.col("source_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_source_id").cast(kind).alias("refers_to"))
 

@@ -280,12 +280,21 @@ def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
     return dealt.mapInArrow(run, _RECORD + (", payload binary" if with_payload else ""))
 
 
+#: Parts into which the revisits of one response are dealt.
+SALTS = 64
+
+
 def resolved(found: DataFrame) -> DataFrame:
     """Records with a revisit's payload size and digest taken from the response
-    that it refers to, and that response's ``refers_source_id``."""
+    that it refers to, and that response's ``refers_source_id``. However many
+    revisits one response has, they are dealt to ``SALTS`` parts; the response
+    goes to each part that holds any."""
     answers = found.where("record_type = 'response'").groupBy(F.col("record_id").alias("_to")).agg(
         F.max("source_id").alias("_source"), F.max("payload_digest").alias("_digest"), F.max("payload_bytes").alias("_bytes"))
-    joined = found.join(answers, F.col("refers_to") == F.col("_to"), "left")
+    salted = found.withColumn("_salt", F.pmod(F.xxhash64("archive", "offset"), F.lit(SALTS)))
+    asked = salted.where("record_type = 'revisit'").select(F.col("refers_to").alias("_asked"), F.col("_salt").alias("_part")).distinct()
+    given = asked.join(answers, F.col("_asked") == F.col("_to"))
+    joined = salted.join(given, (F.col("refers_to") == F.col("_asked")) & (F.col("_salt") == F.col("_part")), "left")
     revisit = F.col("record_type") == "revisit"
     own = [c for c in found.columns if c not in ("payload_digest", "payload_bytes")]
     return joined.select(
