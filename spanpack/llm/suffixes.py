@@ -444,10 +444,10 @@ def whole_characters(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[i
     return out
 
 
-def cut_texts(docs: DataFrame, length: int = 400) -> DataFrame:
+def cut_texts(docs: DataFrame, length: int = 400, anchor: int | None = None) -> DataFrame:
     """``docs`` with its columns, the repeated text cut out at whole characters
     and ``n_chars`` counted anew. A null text stays null."""
-    joined, name = _with_spans(docs, repeated_spans(docs, length=length), "doc_id", "text")
+    joined, name = _with_spans(docs, repeated_spans(docs, length=length, anchor=anchor), "doc_id", "text")
     columns, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
