@@ -13,9 +13,11 @@ those at blanks and tabs into words; all counts are per language.
 3. **Pairs.** Each shard's FM-index (:mod:`word_index`) gives its word pairs with
    counts, extending word intervals to the left; summed across shards, those
    that reach the least count go back to the shards that hold them.
-4. **Longer phrases.** Each shard extends these pairs to both sides up to the
-   longest length, through pairs that are left only. Sums give every phrase
-   that reaches the least count, with its extensions to the left and right.
+4. **Longer phrases.** Only chains of such pairs remain of a shard. Pairs are
+   extended to the right to triples, which are summed and sent back in turn, and
+   those to both sides up to the longest length, through triples that are left
+   only. Sums give every phrase that reaches the least count, with its
+   extensions to the left and right.
 5. **Scores**, by joins of the summed phrases alone.
 
 What travels is a count for each shard and phrase, so a phrase that stands in a
@@ -26,10 +28,12 @@ language as ``und``; rows that repeat count each time.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,6 +71,11 @@ def word_ids(text: bytes) -> tuple[np.ndarray, pa.Array]:
     return np.insert(ids, parted, 0), named.dictionary
 
 
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids byte plane by byte plane, the upper ones being near empty."""
+    return zstandard.compress(np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
 def _cuts(seq: np.ndarray, size: int, overlap: int) -> Iterator[tuple[int, np.ndarray]]:
     """``(weight, part)`` of a sequence: parts of about ``size`` and, of weight
     -1, the words that two neighbouring parts both hold."""
@@ -85,7 +94,7 @@ def _cuts(seq: np.ndarray, size: int, overlap: int) -> Iterator[tuple[int, np.nd
 
 def shards(docs: DataFrame, text: str = "text", lang: str = "lang", most: int = 5, size: int = SHARD_WORDS, gathered: int = GATHERED_BYTES) -> DataFrame:
     """``(shard, lang, weight, words, seq)``: a shard's words, joined by line
-    feeds, and its ids as 32-bit integers."""
+    feeds, and its ids as 32-bit integers, both compressed."""
     src = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text")).where(F.length("text") > 0)
 
     def made(held: dict[str, list[bytes]], count: int) -> Iterator[pa.RecordBatch]:
@@ -98,7 +107,7 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang", most: int =
                     present, ids = np.concatenate([[0], present]), ids + 1
                 own = b"\n".join(words.take(pa.array(present[1:] - 1)).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([here + count]), pa.array([name]), pa.array([weight]), pa.array([own], pa.binary()), pa.array([ids.astype("<i4").tobytes()], pa.binary())],
+                    [pa.array([here + count]), pa.array([name]), pa.array([weight]), pa.array([zstandard.compress(own)], pa.binary()), pa.array([_packed(ids)], pa.binary())],
                     names=["shard", "lang", "weight", "words", "seq"])
                 count += 1
 
@@ -121,21 +130,24 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang", most: int =
 
 
 def _read(row: dict) -> tuple[np.ndarray, pa.Array]:
-    words = row["words"].split(b"\n") if row["words"] else []
-    return np.frombuffer(row["seq"], "<i4").astype(np.int64), pa.array(words, pa.binary())
+    words = zstandard.decompress(row["words"])
+    ids = np.frombuffer(zstandard.decompress(row["seq"]), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(ids.T).view("<i4").ravel().astype(np.int64), pa.array(words.split(b"\n") if words else [], pa.binary())
+
+
+def _texts(words: pa.Array, p: Phrases) -> pa.Array:
+    each = [words.take(pa.array(p.words[:, j] - 1)) for j in range(p.words.shape[1])]
+    return (pc.binary_join_element_wise(*each, pa.scalar(b" ", pa.binary())) if len(each) > 1 else each[0]).cast(pa.string())
 
 
 def _named(row: dict, words: pa.Array, p: Phrases) -> pa.RecordBatch:
-    """Counts of a shard's phrases, with the ids of a pair for the way back."""
+    """Counts of a shard's phrases, numbered for the way back."""
     n = len(p.count)
-    texts = [words.take(pa.array(p.words[:, j] - 1)) for j in range(p.words.shape[1])]
-    phrase = pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.binary())) if len(texts) > 1 else texts[0]
-    local = p.words[:, 0] << 32 | p.words[:, 1] if len(texts) > 1 else p.words[:, 0]
-    cols = [pa.array([row["lang"]] * n, pa.string()), phrase.cast(pa.string()), pa.array(np.full(n, len(texts), np.int32)), pa.array(p.count * row["weight"]), pa.array(np.full(n, row["shard"])), pa.array(local)]
-    return pa.RecordBatch.from_arrays(cols, names=["lang", "phrase", "words", "n", "shard", "local"])
+    cols = [pa.array([row["lang"]] * n, pa.string()), _texts(words, p), pa.array((p.count * row["weight"]).astype(np.int32)), pa.array(np.full(n, row["shard"])), pa.array(np.arange(n, dtype=np.int32))]
+    return pa.RecordBatch.from_arrays(cols, names=["lang", "phrase", "n", "shard", "local"])
 
 
-_COUNTS = "lang string, phrase string, words int, n long, shard long, local long"
+_COUNTS = "lang string, phrase string, n int, shard long, local int"
 
 
 def _each(step):
@@ -155,27 +167,69 @@ def _words(row: dict) -> Iterator[pa.RecordBatch]:
     yield _named(row, words, Phrases(ids[:, None], ids, ids, np.bincount(seq, minlength=len(words) + 1)[1:]))
 
 
-def _pairs_of(row: dict, depth: int) -> tuple[WordIndex, pa.Array, Phrases]:
-    """The index over the words that are left, and its pairs."""
+def _index(row: dict, depth: int) -> tuple[WordIndex, pa.Array]:
+    seq, words = _read(row)
+    return WordIndex(seq, len(words) + 1, depth), words
+
+
+def _frequent_only(row: dict) -> tuple[np.ndarray, pa.Array]:
+    """The sequence with 0 for words that are not left."""
     seq, words = _read(row)
     left = np.zeros(len(words) + 1, bool)
-    left[np.array(row["left"] or [], np.int64)] = True
-    index = WordIndex(np.where(left[seq], seq, 0), len(words) + 1, depth)
-    return index, words, index.to_left(index.words())
+    left[np.array(row["left"] or [], np.int64) + 1] = True
+    return np.where(left[seq], seq, 0), words
 
 
 def _send_pairs(row: dict) -> Iterator[pa.RecordBatch]:
-    _, words, pairs = _pairs_of(row, 2)
-    yield _named(row, words, pairs)
+    seq, words = _frequent_only(row)
+    index = WordIndex(seq, len(words) + 1, 2)
+    yield _named(row, words, index.to_left(index.words()))
+
+
+def _chains(row: dict) -> Iterator[pa.RecordBatch]:
+    """The shard's runs of three words and more whose neighbours are all pairs
+    that are left, as a shard of the same number."""
+    seq, words = _frequent_only(row)
+    symbols = len(words) + 1
+    both = (seq[:-1] > 0) & (seq[1:] > 0)
+    # in the order in which the pairs were numbered: by second word, then first
+    known, at = np.unique(seq[1:][both] * symbols + seq[:-1][both], return_inverse=True)
+    left = np.zeros(len(known), bool)
+    left[np.array(row["pairs"] or [], np.int64)] = True
+    linked = np.zeros(len(both) + 1, bool)
+    linked[np.flatnonzero(both)] = left[at]                # the word and the one after it
+    twice = linked[:-1] & linked[1:]
+    keep = np.zeros(len(seq) + 2, bool)
+    for j in range(3):
+        keep[j : j + len(twice)] |= twice
+    places = np.flatnonzero(keep[: len(seq)])
+    if not len(places):
+        return
+    apart = np.flatnonzero((np.diff(places) != 1) | ~linked[places[:-1]]) + 1
+    present, ids = np.unique(seq[places], return_inverse=True)
+    own = b"\n".join(words.take(pa.array(present - 1)).to_pylist())
+    cols = [pa.array([row["shard"]]), pa.array([row["lang"]]), pa.array([row["weight"]])]
+    cols += [pa.array([zstandard.compress(own)], pa.binary()), pa.array([_packed(np.insert(ids + 1, apart, 0))], pa.binary())]
+    yield pa.RecordBatch.from_arrays(cols, names=["shard", "lang", "weight", "words", "seq"])
+
+
+def _triples(index: WordIndex) -> Phrases:
+    return index.to_right(index.to_left(index.words()))
+
+
+def _send_triples(row: dict) -> Iterator[pa.RecordBatch]:
+    index, words = _index(row, 3)
+    yield _named(row, words, _triples(index))
 
 
 def _send_longer(most: int):
     def step(row: dict) -> Iterator[pa.RecordBatch]:
-        index, words, pairs = _pairs_of(row, most)
-        known = np.sort(np.array(row["pairs"] or [], np.int64))
-        pairs = pairs.where(np.isin(pairs.words[:, 0] << 32 | pairs.words[:, 1], known))
-        for phrases in longer(index, pairs, most):
-            yield _named(row, words, phrases)
+        index, words = _index(row, most)
+        triples = _triples(index).where(np.sort(np.array(row["left"] or [], np.int64)))
+        for length, phrases in enumerate(longer(index, triples, most), 4):
+            n = len(phrases.count)
+            cols = [pa.array([row["lang"]] * n, pa.string()), _texts(words, phrases), pa.array(np.full(n, length, np.int32)), pa.array(phrases.count * row["weight"])]
+            yield pa.RecordBatch.from_arrays(cols, names=["lang", "phrase", "words", "n"])
 
     return step
 
@@ -197,16 +251,27 @@ def _back(table: DataFrame, reaching: DataFrame, name: str) -> DataFrame:
 def phrase_counts(docs: DataFrame, least: int = 100, most: int = 5, text: str = "text", lang: str = "lang", size: int = SHARD_WORDS, gathered: int = GATHERED_BYTES) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, words, f)`` of every phrase of 1 to ``most`` words with
     ``f`` of ``least`` or more, and ``(lang, n)``: all words of a language."""
+    if most < 2:
+        raise ValueError("phrases have two words and more")
     table = durable(shards(docs, text, lang, most, size, gathered))
-    words = table.mapInArrow(_each(_words), _COUNTS)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    frequent = durable(_reaching(words, least).select("lang", "phrase", "words", "f", "shard", "local"))
-    table = _back(table, frequent, "left")
-    pairs = durable(_reaching(table.mapInArrow(_each(_send_pairs), _COUNTS), least).select("lang", "phrase", "words", "f", "shard", "local"))
-    deep = _back(table, pairs, "pairs").mapInArrow(_each(_send_longer(most)), _COUNTS)
-    deep = deep.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    short = frequent.union(pairs).select("lang", "phrase", "words", "f").distinct()
-    return durable(short.union(deep)), totals
+
+    def round_(of: DataFrame, step) -> DataFrame:
+        found = _reaching(of.mapInArrow(_each(step), _COUNTS), least)
+        return durable(found.select("lang", "phrase", "f", "shard", "local"))
+
+    totals = table.mapInArrow(_each(_words), _COUNTS).groupBy("lang").agg(F.sum("n").alias("n"))
+    rounds = [round_(table, _words)]
+    table = _back(table, rounds[0], "left")
+    rounds.append(round_(table, _send_pairs))
+    whole = [t.select("lang", "phrase", F.lit(k).alias("words"), "f").distinct() for k, t in enumerate(rounds, 1)]
+    if most > 2:
+        chains = durable(_back(table, rounds[1], "pairs").mapInArrow(_each(_chains), "shard long, lang string, weight long, words binary, seq binary"))
+        triples = round_(chains, _send_triples)
+        whole.append(triples.select("lang", "phrase", F.lit(3).alias("words"), "f").distinct())
+        if most > 3:
+            deep = _back(chains, triples, "left").mapInArrow(_each(_send_longer(most)), "lang string, phrase string, words int, n long")
+            whole.append(deep.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
+    return durable(reduce(DataFrame.union, whole)), totals
 
 
 def extensions(counts: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ operations.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
@@ -70,13 +71,21 @@ class _Side:
 
 
 class WordIndex:
-    """Both sides over one sequence of ids in ``0 .. symbols - 1``."""
+    """Both sides over one sequence of ids in ``0 .. symbols - 1`` (2**21 at
+    most), each made when it is first asked for."""
 
     def __init__(self, seq: np.ndarray, symbols: int, depth: int) -> None:
         seq = np.concatenate([[0], np.asarray(seq, np.int64), [0]])
         self.symbols, self.depth = symbols, depth
-        self.ahead, self.behind = _Side(seq, depth), _Side(seq[::-1], depth)
-        self.counts = np.bincount(seq, minlength=symbols)
+        self.seq, self.counts = seq, np.bincount(seq, minlength=symbols)
+
+    @cached_property
+    def ahead(self) -> _Side:
+        return _Side(self.seq, self.depth)
+
+    @cached_property
+    def behind(self) -> _Side:
+        return _Side(self.seq[::-1], self.depth)
 
     def words(self) -> Phrases:
         """All single words."""
@@ -95,18 +104,22 @@ class WordIndex:
         return Phrases(np.column_stack([p.words[one], word]), p.low[one] + smaller, back, count)
 
 
-def longer(index: WordIndex, pairs: Phrases, most: int) -> list[Phrases]:
-    """Phrases of 3 to ``most`` words, by length, all of whose neighbouring
-    words are among ``pairs``: grown from the pairs to the right and to the
-    left in turn, so both ends are checked as they appear."""
-    known = np.sort(pairs.words[:, 0] * index.symbols + pairs.words[:, 1])
-    out, now = [], pairs
-    for length in range(3, most + 1):
+def longer(index: WordIndex, triples: Phrases, most: int) -> list[Phrases]:
+    """Phrases of 4 to ``most`` words, by length, all of whose neighbouring
+    three words are among ``triples``: grown to the left and to the right in
+    turn, so both ends are checked as they appear."""
+
+    def key(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return (a * index.symbols + b) * index.symbols + c
+
+    known = np.sort(key(*triples.words.T))
+    out, now = [], triples
+    for length in range(4, most + 1):
         right = length % 2 == 1
         now = index.to_right(now) if right else index.to_left(now)
-        a, b = (now.words[:, -2], now.words[:, -1]) if right else (now.words[:, 0], now.words[:, 1])
-        key = a * index.symbols + b
-        at = np.searchsorted(known, key)
-        now = now.where((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == key) if len(known) else np.zeros(len(key), bool))
+        ends = now.words[:, -3:] if right else now.words[:, :3]
+        got = key(*ends.T)
+        at = np.minimum(np.searchsorted(known, got), max(0, len(known) - 1))
+        now = now.where(known[at] == got if len(known) else np.zeros(len(got), bool))
         out.append(now)
     return out
