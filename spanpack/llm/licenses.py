@@ -1,23 +1,26 @@
 """Licence notices by conditional compression.
 
-Each place where a text has a telling word pair of a template is a candidate
-for that template, whatever the lines and the text around. It is compared word
-by word with the words around it, some more than the template has. A notice is
-confirmed if at least ``COVER`` of the template's words stand there in order,
-with no more other words between them than ``COVER`` allows to lack, and every
-difference is listed; words with a digit (versions) or in capitals (names such
-as MIT) must all be there. Years, holders and other words around do not count
-against it.
-
-Where confirmed notices overlap, the one with most words in place stands, then
-the fuller, then the one whose template as a zstandard raw dictionary saves
-most on the words around it (up to a template's length on either side). The
-saving only ranks; it rejects nothing.
-
-Word pairs only find candidates: a template's every pair with a word that is
-no common function word is looked for, so words that satisfy ``COVER`` are
-never missed for want of a pair (templates have ``MIN_WORDS`` words or more).
-Null and empty texts hold no notice. Texts are read whole.
+1. **Blocks.** Each place where a text has a telling word pair of a template is
+   a candidate for that template: the words around it, some more on either side
+   than the template has there.
+2. **Compress and rank.** Each block is compressed alone and with the template as
+   a zstandard raw dictionary; candidates are ranked by the bytes that the
+   template saves.
+3. **Confirm down the ranking.** A candidate's block is compared word by word
+   with the template, from each of its pairs, and every difference is listed. It is a notice if at least ``COVER`` of the template's
+   words stand there in order, with no more other words between them than
+   ``COVER`` allows to lack; words with a digit (versions) or in capitals (names
+   such as MIT) must all be there. Years, holders and other words around do not
+   count against it. A confirmed notice keeps its words; a candidate further
+   down whose block reaches into them is ranked anew by what is left of it. No
+   candidate is left out: the saving ranks and rejects nothing.
+
+A template's every pair with a word that is no common function word is looked
+for, so words that satisfy ``COVER`` are never missed for want of a pair
+(templates have ``MIN_WORDS`` words or more). Candidates that save the same are
+taken by template, then by place. Null and empty texts hold no notice; rows that
+repeat give their notices each; other columns play no part, whatever their
+names. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -84,54 +87,61 @@ class Scanner:
         self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
 
     def notices(self, text: str) -> list[tuple[str, int, int, float, float, str]]:
-        """``(licence, start, end, saved, cover, differences)`` in code points."""
+        """``(licence, start, end, saved, cover, differences)`` in code points;
+        ``saved`` is the share of its block that the template saves."""
         words = " ".join(_WORD.findall(text)).lower().split(" ")
-        heap, before = [], set()
+        heap, before, places = [], set(), {}
         for i, pair in enumerate(zip(words, words[1:])):
             hits = self.pairs.get(pair)
             if hits:
                 for k, j in hits:
+                    places.setdefault(k, []).append((i, j))
                     if (k, i - 1, j - 1) not in before:   # a run of pairs is one candidate
-                        self._place(heap, words, k, i, j, 0, len(words))
+                        heapq.heappush(heap, self._ranked(words, k, i, j, 0, len(words)))
                 before = {(k, i, j) for k, j in hits}
         begins, ends, chosen = [], [], []        # of the notices that stand, in order
         while heap:
-            *_, first, k, i, j, last, cover, saved, told = heapq.heappop(heap)
+            *_, k, i, j, lo, hi, saved = heapq.heappop(heap)
             at = bisect(begins, i)
-            lo, hi = ends[at - 1] if at else 0, begins[at] if at < len(begins) else len(words)
-            if i < lo:
+            free_lo, free_hi = ends[at - 1] if at else 0, begins[at] if at < len(begins) else len(words)
+            if i < free_lo or i + 1 >= free_hi:
                 continue
-            if first < lo or last >= hi:         # what stands before and after a notice is looked at again
-                self._place(heap, words, k, i, j, lo, hi)
+            if lo < free_lo or hi > free_hi:     # part of the block is another notice by now
+                heapq.heappush(heap, self._ranked(words, k, i, j, free_lo, free_hi))
                 continue
-            begins.insert(at, first)
-            ends.insert(at, last + 1)
-            chosen.insert(at, (self.names[k], round(saved, 6), round(cover, 6), told))
+            # the fullest notice around any of the template's pairs in the block, each compared once
+            mine = places[k][bisect(places[k], (lo,)) : bisect(places[k], (hi - 1,))]
+            found = [x for y in mine if (x := self._confirm(words, k, *y, free_lo, free_hi)) is not None]
+            if found:
+                first, last, same, told = max(found, key=lambda x: (x[2], x[0] - x[1], -x[0]))
+                begins.insert(at, first)
+                ends.insert(at, last + 1)
+                chosen.insert(at, (self.names[k], round(saved, 6), round(same / len(self.words[k]), 6), told))
         if not chosen:
             return []
         edges = {*begins, *(e - 1 for e in ends)}
         spans = {x: m.span() for x, m in enumerate(_WORD.finditer(text)) if x in edges}
         return [(name, spans[a][0], spans[b - 1][1], *rest) for a, b, (name, *rest) in zip(begins, ends, chosen)]
 
-    def _place(self, heap: list, words: list[str], k: int, i: int, j: int, lo: int, hi: int) -> None:
-        """Puts template ``k``'s notice within ``words[lo:hi]``, if there is one, on the heap."""
-        place = self._confirm(words, k, i, j, lo, hi)
-        if place is not None:
-            first, last, same, told = place
-            n = len(self.words[k])
-            raw = " ".join(words[max(lo, first - n) : min(hi, last + 1 + n)]).encode()
-            size = len(self.alone.compress(raw))
-            saved = (size - len(self.dictionaries[k].compress(raw))) / size
-            heapq.heappush(heap, (-same, -same / n, -saved, first, k, i, j, last, same / n, saved, told))
+    def _block(self, k: int, i: int, j: int, lo: int, hi: int) -> tuple[int, int]:
+        """The words around pair ``j`` of template ``k`` at ``i``, within ``lo`` and ``hi``."""
+        n, most = len(self.words[k]), self.most[k]
+        return max(lo, i - j - most), min(hi, i + n - j + most)
+
+    def _ranked(self, words: list[str], k: int, i: int, j: int, lo: int, hi: int) -> tuple:
+        """A candidate's entry on the heap: what saves most bytes comes first."""
+        lo, hi = self._block(k, i, j, lo, hi)
+        raw = " ".join(words[lo:hi]).encode()
+        size = len(self.alone.compress(raw))
+        less = size - len(self.dictionaries[k].compress(raw))
+        return -less, k, i, j, lo, hi, less / size
 
     def _confirm(self, words: list[str], k: int, i: int, j: int, lo: int, hi: int) -> tuple[int, int, int, str] | None:
         """``(first, last, words in place, differences)`` of the fullest notice in
         which words ``i`` and ``i + 1`` are the template's ``j`` and ``j + 1``."""
         template, required, least, most = self.words[k], self.required[k], self.least[k], self.most[k]
         n = len(template)
-        lo, hi = max(lo, i - j - most), min(hi, i + n - j + most)
-        if i < lo or i + 1 >= hi:
-            return None
+        lo, hi = self._block(k, i, j, lo, hi)
         has = Counter(words[lo:hi])
         if sum(min(c, has[w]) for w, c in self.counts[k].items()) < least:
             return None
