@@ -10,8 +10,9 @@ dropped one.
 
 The model is learned from at most ``SAMPLE_PAGES`` pages (least hashes of id
 and page) of those with up to ``SAMPLE_CHARS`` characters whose markup says where
-the article is (``article`` or ``main``), however few they are. Each is also rebuilt in other layouts: the
-article in plain containers with usual names, and side bars, notices, forms,
+the article is (``article`` or ``main``), however few they are. Each is also rebuilt in other layouts: its
+article, or one of any block elements (lists, tables, quotes, code; from a word
+or two to many blocks), in plain containers with usual names, and side bars, notices, forms,
 adverts and comments made of other pages' sentences around and inside it, so
 that text alone tells nothing. Without such a page, a fixed rule over the
 same features stands in.
@@ -34,9 +35,9 @@ from .boosting import Boosted
 from .common import slices, texts_of
 from .dom import SILENT, Page, blocks_of, parse
 
-SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS = 240, 200_000, 3
+SAMPLE_PAGES, SAMPLE_CHARS, LAYOUTS = 240, 200_000, 6
 #: What dropping an element inside an article costs, and beginning an article, in log odds.
-CUT, BEGIN = 24.0, 16.0
+CUT, BEGIN = 12.0, 3.0
 
 # Element groups and attribute tokens that are features.
 TAG_GROUPS = {
@@ -193,14 +194,15 @@ def _surround(kind: str, rng: random.Random, say) -> str:
     name, plain = rng.choice(_AROUND[kind]), rng.random() < 0.5
     where = f'{rng.choice(["class", "id"])}="{name}" data-y="0"'
     links = "".join(f'<li><a href="/x">{say()[:40]}</a></li>' for _ in range(rng.randint(2, 7)))
-    text = "".join(f"<p>{say()}</p>" for _ in range(rng.randint(1, 3)))
+    short = rng.random() < 0.3
+    text = "".join(f"<p>{say()[: rng.randint(8, 40)] if short else say()}</p>" for _ in range(rng.randint(1, 3)))
     tag = {"side": "aside", "nav": "nav", "header": "header", "footer": "footer", "form": "form", "comment": "section"}.get(kind, "div")
     bare = rng.random() < 0.4 and tag not in ("div", "section")       # the element's own name has to do
     head = f"<{tag} data-y=\"0\">" if bare else f"<{tag if plain else 'div'} {where}>"
     tail = f"</{tag}>" if bare or plain else "</div>"
     inside = {
         "nav": f"<ul>{links}</ul>", "header": f"<a href='/'>{say()[:30]}</a><p>{say()[:60]}</p>", "footer": rng.choice([f"&copy; {say()}", f"<p>{say()}</p><ul>{links}</ul>"]),
-        "side": rng.choice([f"<h3>{say()[:30]}</h3><ul>{links}</ul>", f"<h2>{say()[:30]}</h2>{text}"]), "advert": rng.choice([say(), f"<a href='/b'>{say()}</a>", text]),
+        "side": rng.choice([f"<h3>{say()[:30]}</h3><ul>{links}</ul>", f"<h2>{say()[:30]}</h2>{text}", text]), "advert": rng.choice([say(), f"<a href='/b'>{say()}</a>", text]),
         "notice": rng.choice([say(), f"<p>{say()}</p><button>OK</button>"]), "related": f"<h3>{say()[:30]}</h3><ul>{links}</ul>", "share": f"<ul>{links}</ul>",
         "form": f"<label>{say()[:30]}</label><input type='text'><p>{say()}</p><button>{say()[:12]}</button>",
         "comment": "<h3>" + say()[:30] + "</h3>" + "".join(rng.choice([f'<div class="comment"><p>{say()} {say()}</p></div>', f"<p><b>{say()[:12]}</b> {say()}</p>", f"<ul><li>{say()}</li></ul>"]) for _ in range(rng.randint(1, 5))),
@@ -208,11 +210,42 @@ def _surround(kind: str, rng: random.Random, say) -> str:
     return head + inside + tail
 
 
+def _varied(rng: random.Random, say) -> str:
+    """An article's inner markup of any block elements, from a word or two to many blocks."""
+
+    def line(most: int = 200) -> str:
+        return say()[: rng.randint(2, most)].strip() or "."
+
+    def text() -> str:
+        out = rng.choice([line(40), line(), say(), say() + " " + say()])
+        return rng.choice([out, out, f"{out} <a href='/r'>{line(30)}</a> {line(60)}", f"<b>{line(20)}</b> {out}", f"{out}<br>{say()}", f"{out} <code>{line(12)}</code>."])
+
+    def items(tag: str = "li") -> str:
+        linked = rng.random() < 0.3
+        return "".join(f"<{tag}>" + (f'<a href="/r">{line(40)}</a>' if linked else rng.choice([line(40), text(), f"<p>{text()}</p>"])) + f"</{tag}>" for _ in range(rng.randint(1, 6)))
+
+    def table() -> str:
+        width = rng.randint(2, 4)
+        rows = [f"<tr>{''.join(f'<td>{line(20)}</td>' for _ in range(width))}</tr>" for _ in range(rng.randint(1, 5))]
+        head = f"<tr>{''.join(f'<th>{line(12)}</th>' for _ in range(width))}</tr>"
+        return f"<table>{rng.choice(['', '<caption>' + line(40) + '</caption>'])}{head}{''.join(rows)}</table>"
+
+    makers = {
+        "p": lambda: f"<p>{text()}</p>", "h": lambda: f"<h2>{line(50)}</h2>", "ul": lambda: f"<ul>{items()}</ul>", "ol": lambda: f"<ol>{items()}</ol>",
+        "pre": lambda: rng.choice([f"<pre>{line()}\n{line()}</pre>", f"<pre><code>{line(60)}\n{line(60)}</code></pre>"]), "table": table,
+        "quote": lambda: f"<blockquote>{rng.choice([say(), f'<p>{say()}</p>'])}</blockquote>", "dl": lambda: "<dl>" + "".join(f"<dt>{line(20)}</dt><dd>{text()}</dd>" for _ in range(rng.randint(1, 3))) + "</dl>",
+        "figure": lambda: f"<figure><img src='/i'><figcaption>{line(80)}</figcaption></figure>", "details": lambda: f"<details><summary>{line(20)}</summary><p>{text()}</p></details>",
+        "div": lambda: f"<div>{text()}</div>", "section": lambda: f"<section><h2>{line(40)}</h2><p>{text()}</p></section>",
+    }
+    some = ["p"] * 6 + list(makers)
+    return "".join(makers[rng.choice(some)]() for _ in range(rng.choice([1, 1, 2, 3, 4, 6, 9])))
+
+
 def _layout(body: str, rng: random.Random, say) -> str:
     """One page around an article's inner markup, labelled by ``data-y``."""
     paragraphs = re.split(r"(?=<p[ >])", body)
     if len(paragraphs) > 2 and rng.random() < 0.6:
-        for kind in rng.sample(["advert", "related", "share", "notice", "form"], rng.randint(1, 2)):
+        for kind in rng.sample(["advert", "related", "share", "notice", "form", "side", "side"], rng.randint(1, 2)):
             paragraphs.insert(rng.randint(1, len(paragraphs)), _surround(kind, rng, say))
     inner = "".join(paragraphs)
     if rng.random() < 0.4:
@@ -222,8 +255,8 @@ def _layout(body: str, rng: random.Random, say) -> str:
     main = f'<{tag}{name} data-y="1">{inner}</{tag}>'
     if rng.random() < 0.3:
         main = f"<main>{main}{_surround('comment', rng, say) if rng.random() < 0.5 else ''}</main>"
-    over = [_surround(k, rng, say) for k in rng.sample(["header", "nav", "notice", "advert", "side", "form"], rng.randint(1, 4))]
-    below = [_surround(k, rng, say) for k in rng.sample(["comment", "related", "side", "advert", "form", "notice", "share"], rng.randint(1, 4))] + [_surround("footer", rng, say)]
+    over = [_surround(k, rng, say) for k in rng.sample(["header", "nav", "notice", "advert", "side", "form"], rng.randint(0, 4))]
+    below = [_surround(k, rng, say) for k in rng.sample(["comment", "related", "side", "advert", "form", "notice", "share"], rng.randint(0, 4))] + [_surround("footer", rng, say)]
     if rng.random() < 0.4:
         main = f'<div class="{rng.choice(["wrapper", "container", "row", "page", "layout"])}">{main}{below.pop(0)}</div>'
     return f"<html><head><title>{say()}</title></head><body>{''.join(over)}{main}{''.join(below)}</body></html>"
@@ -263,7 +296,7 @@ def learn(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample
     rng = random.Random(11)
     sentences = [s.strip() for _, body in marked for s in _TEXT_BIT.findall(body)[:40]] or ["."]
     say = lambda: rng.choice(sentences)
-    made = [parse(h, labelled=False) for h, _ in marked] + [parse(_layout(body, rng, say)) for _, body in marked for _ in range(LAYOUTS)]
+    made = [parse(h, labelled=False) for h, _ in marked] + [parse(_layout(rng.choice([body, _varied(rng, say)]), rng, say)) for _, body in marked for _ in range(LAYOUTS)]
     if not made:
         return None
     x, own, _ = features(made)

@@ -1,0 +1,75 @@
+"""Main text of pages written by hand, in no layout that the learner makes."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+from tests_paths import SF0001
+
+from spanpack.llm import html_main
+
+A = "The river ran low that summer, and the boats stayed tied up along the quay."
+B = "Nobody in the village could remember a drought like it."
+C = "Old people spoke of the year of the locusts, but that was different."
+D = "In the end the rain came, three weeks late."
+NAV = '<nav><ul><li><a href="/">Home</a></li><li><a href="/a">About us</a></li><li><a href="/c">Contact</a></li></ul></nav>'
+FOOT = "<footer><p>Copyright 2020 Example. All rights reserved.</p></footer>"
+
+PAGES = {
+    "lists, code, a table and a quote": (
+        f"{NAV}<article><h1>Drought</h1><p>{A}</p><ul><li>First point of the list</li><li>Second point</li></ul><pre>x = 1\ny = 2</pre>"
+        f"<table><tr><th>Year</th><th>Rain</th></tr><tr><td>2019</td><td>30 mm</td></tr></table><blockquote>{B}</blockquote><p>{D}</p></article>{FOOT}",
+        ["Drought", A, "First point of the list", "Second point", "x = 1 y = 2", "Year", "Rain", "2019", "30 mm", B, D]),
+    "a word": (f"{NAV}<article><p>Hi.</p></article>{FOOT}", ["Hi."]),
+    "a word in main": (f"{NAV}<main><p>Hi.</p></main>{FOOT}", ["Hi."]),
+    "a figure and terms": (
+        f"{NAV}<article><p>{A}</p><figure><img src=x><figcaption>A boat at the quay.</figcaption></figure><p>{B}</p><dl><dt>Term</dt><dd>Its meaning</dd></dl></article>{FOOT}",
+        [A, "A boat at the quay.", B, "Term", "Its meaning"]),
+    "no article element": (
+        f'{NAV}<div class="content"><h2>Title here</h2><p>{A}</p><ol><li>{B}</li><li>Two</li></ol><p>{C}</p></div><div class="sidebar"><ul><li><a href=/x>Other</a></li></ul></div>{FOOT}',
+        ["Title here", A, B, "Two", C]),
+    "a side note, a form and comments": (
+        f"{NAV}<article><p>{A}</p><aside><p>Buy our book now.</p></aside><p>{B}</p><form><input><button>Go</button></form></article>"
+        f'<section id="comments"><h3>Comments</h3><p>Nice post, thanks a lot!</p></section>{FOOT}', [A, B]),
+    "links within": (
+        f'{NAV}<article><p>{A} See <a href="/q">the long report on the drought</a> for more.</p><ul><li><a href="/1">Linked point one</a></li><li><a href="/2">Linked point two</a></li></ul><p>{C}</p></article>{FOOT}',
+        [A + " See the long report on the drought for more.", "Linked point one", "Linked point two", C]),
+    "code and details": (
+        f"{NAV}<main><article><h1>Howto</h1><p>{A}</p><pre><code>import os\nprint(os.name)</code></pre><p>Use <code>os.name</code>.</p><details><summary>More</summary><p>{B}</p></details></article></main>{FOOT}",
+        ["Howto", A, "import os print(os.name)", "Use os.name.", "More", B]),
+    "comments within": (f'{NAV}<article><p>{A}</p><div class="comments"><p>I agree with this, well said.</p></div></article>{FOOT}', [A]),
+    "an advert within": (f'{NAV}<article><p>{A}</p><div class="ad">Cheap flights to the sea!</div><p>{B}</p></article>{FOOT}', [A, B]),
+    "nothing but a menu": (f"{NAV}{FOOT}", []),
+    "a table alone": (
+        f"{NAV}<article><table><tr><th>Year</th><th>Rain</th></tr><tr><td>2019</td><td>30 mm</td></tr><tr><td>2020</td><td>41 mm</td></tr></table></article>{FOOT}",
+        ["Year", "Rain", "2019", "30 mm", "2020", "41 mm"]),
+}
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return html_main.learn(spark.read.parquet(f"{SF0001.replace('0.001', '0.01')}/pages.parquet"))
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_page(model, name):
+    body, want = PAGES[name]
+    (got,) = html_main.extract_texts([f"<!DOCTYPE html><html><head><title>x</title></head><body>{body}</body></html>"], model)
+    assert got.split("\n") == (want or [""])
+
+
+def test_given_pages_are_their_articles(spark, model):
+    """The given pages' article without what it holds of adverts, notices and comments is what is extracted."""
+    rows = spark.read.parquet(f"{SF0001.replace('0.001', '0.01')}/pages.parquet").where(F.col("html").contains("<article")).collect()
+    texts = html_main.extract_texts([r["html"] for r in rows], model)
+    wrong = 0
+    for r, text in zip(rows, texts):
+        page = html_main.parse(r["html"], labelled=False)
+        inside, keep = [], []
+        for i, tag in enumerate(page.tag):
+            up = page.parent[i]
+            inside.append(up >= 0 and inside[up] or tag == "article")
+            names = set(page.names[i]) & {"ad", "comments", "comment", "cookie", "notice", "share", "related", "newsletter"}
+            keep.append(inside[i] and not names and tag not in ("aside", "nav", "form", "footer", "header") and (up < 0 or keep[up] or tag == "article"))
+        wrong += html_main.blocks_of(page, keep) != text
+    assert wrong == 0, (wrong, len(rows))
