@@ -85,8 +85,42 @@ def hex_of(a: Column) -> Column:
     return F.concat_ws("", F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")))
 
 
-#: Id ranges that rows are dealt to, at most; a table of them stays small.
-MOST_PARTS = 65_536
+#: Ranges that rows are dealt to, at most, and how finely their bounds are found.
+MOST_PARTS, ACCURACY = 4_096, 16_384
+_LEAST_LONG = -(2**63)
+
+
+def _at_most(bounds: Column, count: int, value: Column, equal: bool) -> Column:
+    """How many of ``count`` ascending bounds (padded to a power of two less
+    one) lie below ``value``, with ``equal`` at most at it: a binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, count.bit_length())))])
+    found = F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: F.when((F.get(bounds, at + step - 1) <= value) if equal else (F.get(bounds, at + step - 1) < value), at + step).otherwise(at))
+    return F.least(found, F.lit(count))
+
+
+def range_parts(rows: DataFrame, id_col: str, tie: str, per_part: int = 4_096) -> Column:
+    """The number of the range that a row falls into: ranges follow the order by
+    id (rows without one first), then by ``tie``, a 64-bit hash, and hold nearly
+    equal numbers of rows however ids are spread. The bounds are quantiles over
+    all rows; an id that fills several ranges is cut by its ties."""
+    own = F.col(id_col).cast("long")
+    key = F.when(own.isNull(), F.lit(_LEAST_LONG)).otherwise(F.greatest(own, F.lit(_LEAST_LONG + 1)))
+    shares = [i / MOST_PARTS for i in range(1, MOST_PARTS)]
+    n, all_bounds = rows.select(key.alias("k")).agg(F.count("*"), F.percentile_approx("k", shares, ACCURACY)).first()
+    parts = max(1, min(MOST_PARTS, -(-n // per_part)))
+    bounds = [all_bounds[i * MOST_PARTS // parts - 1] for i in range(1, parts)] if all_bounds else []
+    if not bounds:
+        return F.lit(0).cast("long")
+    width = (1 << len(bounds).bit_length()) - 1
+    text = ",".join(map(str, bounds + [2**63 - 1] * (width - len(bounds))))
+    array = F.split(F.lit(text), ",").cast("array<bigint>")
+    lower, upper = _at_most(array, len(bounds), key, False), _at_most(array, len(bounds), key, True)
+    many = upper - lower
+    share = F.col(tie).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    within = lower + 1 + F.least(many - 1, F.floor(share * many))
+    return F.when(many <= 1, upper).otherwise(within).cast("long")
 
 
 def with_next(rows: DataFrame, columns: list[str], id_col: str, tie: str, per_part: int = 4_096) -> DataFrame:
@@ -94,21 +128,19 @@ def with_next(rows: DataFrame, columns: list[str], id_col: str, tie: str, per_pa
     next row by descending ``id_col`` (after the last row the first), ties by
     descending ``tie``; rows without an id come last.
 
-    Rows are dealt to equal id ranges; a window finds the next row within a
-    range, to which the first row of the following range is sent as well, so no
-    window holds all rows. Ids far from evenly spread make uneven ranges."""
-    n, low, high = rows.agg(F.count("*"), F.min(id_col), F.max(id_col)).first()
-    parts = max(1, min(MOST_PARTS, -(-n // per_part)))
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // parts))
-    part = F.coalesce(F.floor((F.col(id_col) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1))
+    Rows are dealt to ranges of nearly equal counts (:func:`range_parts`); a
+    window finds the next row within a range, to which the first row of the
+    following range is sent as well, so no window holds all rows. Only rows that
+    repeat id and tie stand in one range however many they are."""
+    part = range_parts(rows, id_col, tie, per_part)
     dealt = rows.withColumn("_part", part).withColumn("_extra", F.lit(False))
     slim = rows.select(id_col, tie).withColumn("_part", part)
-    heads = durable(slim.groupBy("_part").agg(F.max(F.struct(id_col, tie)).alias("h")))          # MOST_PARTS rows at most
+    first = F.max(F.struct(F.col(id_col).isNotNull().alias("known"), F.col(id_col).alias("id"), F.col(tie).alias("tie")))
+    heads = durable(slim.groupBy("_part").agg(first.alias("h")))          # MOST_PARTS rows at most
     before = F.lag("_part").over(Window.orderBy(F.col("_part").desc()))
     last = heads.agg(F.min("_part").alias("_last"))
     sent = heads.select("_part", "h", before.alias("_to")).join(F.broadcast(last), F.lit(True)).select(
-        F.col("_part").alias("_from"), F.coalesce("_to", "_last").alias("_to"), F.col(f"h.{id_col}").alias("_id"), F.col(f"h.{tie}").alias("_tie"))
+        F.col("_part").alias("_from"), F.coalesce("_to", "_last").alias("_to"), F.col("h.id").alias("_id"), F.col("h.tie").alias("_tie"))
     match = (F.col("_part") == F.col("_from")) & F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(tie) == F.col("_tie"))
     extra = dealt.join(F.broadcast(sent), match).withColumn("_part", F.col("_to")).withColumn("_extra", F.lit(True)).select(*dealt.columns)
     order = Window.partitionBy("_part").orderBy("_extra", F.col(id_col).desc_nulls_last(), F.col(tie).desc())
