@@ -8,8 +8,13 @@ q-grams are counted for each text, item and band; bands that reach the bound
 are verified by an alignment kept to the band, which also gives place and edits.
 
 ``e`` is ``rate`` of the item's length, less where an item is too short for
-the bound to be positive; an item under ``q`` code points has no q-gram and
-never matches. Letters A-Z match a-z, and white space matches white space.
+the bound to be positive. An item under ``q`` code points has no q-gram; it is
+looked up as it is, between characters that are no letters or digits. An item of
+over ``PART_CHARS`` code points is matched in parts of equal length, each with a
+budget of its own, so a region may be a part of such an item; of shorter items
+only the whole matches. Letters A-Z match a-z, and a run of white space matches
+any other; regions are given in the text as it stands. Items that are empty, or
+white space only, never match.
 
 Items are a stated query set. They are read in blocks of at most
 ``BLOCK_CHARS`` code points; each block is broadcast and scanned against all
@@ -21,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +36,8 @@ from .common import keep_rows, slices, texts_of
 
 GRAM, RATE = 10, 0.08
 BLOCK_CHARS = 2_000_000
+#: The longest stretch of an item that is aligned at a time.
+PART_CHARS = 4_000
 #: Code points of text that are looked up at a time.
 SCAN_CHARS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -44,6 +52,27 @@ def plain_codes(text: str) -> np.ndarray:
     return c
 
 
+def collapsed(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`plain_codes` with one space for each run of white space, and
+    where in the text each code stands."""
+    c = plain_codes(text)
+    keep = np.ones(len(c), bool)
+    keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
+    return c[keep], np.flatnonzero(keep)
+
+
+def _trimmed(codes: np.ndarray) -> np.ndarray:
+    return codes[int(len(codes) > 0 and codes[0] == 32) : len(codes) - int(len(codes) > 1 and codes[-1] == 32)]
+
+
+def _parts(codes: np.ndarray) -> list[np.ndarray]:
+    return np.array_split(codes, max(1, -(-len(codes) // PART_CHARS)))
+
+
+def _string(codes: np.ndarray) -> str:
+    return codes.astype("<u4").tobytes().decode("utf-32-le")
+
+
 def edit_budget(m: int, q: int = GRAM, rate: float = RATE) -> int:
     """Edits that an item of ``m`` code points may show (-1: it never matches)."""
     return min(int(rate * m), (m - q) // q) if m >= q else -1
@@ -64,8 +93,14 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str]], q: int = GRAM, rate: float = RATE) -> None:
         self.q = q
-        coded = [(i, plain_codes(t)) for i, t in items]
-        coded = [(i, c) for i, c in coded if edit_budget(len(c), q, rate) >= 0]
+        whole = [(i, _trimmed(collapsed(t)[0])) for i, t in items]
+        self.short = ahocorasick.Automaton()
+        for i, c in whole:
+            if 0 < len(c) < q:
+                word = _string(c)
+                self.short.add_word(word, (len(word), [*self.short.get(word, (0, []))[1], i]))
+        self.short.make_automaton()
+        coded = [(i, part) for i, c in whole for part in _parts(c) if edit_budget(len(part), q, rate) >= 0]
         self.ids = [i for i, _ in coded]
         self.codes = [c for _, c in coded]
         self.m = np.array([len(c) for c in self.codes], np.int64)
@@ -175,18 +210,35 @@ class Items:
     def leaks(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each text its verified regions ``(item id, start, end, edits)``
         in code points; of regions of one item that overlap, the best."""
-        coded = [plain_codes(t) for t in texts]
+        both = [collapsed(t) for t in texts]
+        coded = [c for c, _ in both]
         out: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
-        if not self.ids or not coded:
-            return out
+        if len(self.short):
+            for t, c in enumerate(coded):
+                out[t] += self._exact(_string(c))
+        if self.ids and coded:
+            self._similar(coded, out)
+        for rows, (_, back) in zip(out, both):
+            rows[:] = [(i, int(back[a]), int(back[b - 1]) + 1, d) for i, a, b, d in rows]
+        return out
+
+    def _exact(self, text: str) -> list[tuple[int, int, int, int]]:
+        """Where short items stand between characters that are no letters or digits."""
+        found = []
+        for last, (n, ids) in self.short.iter(text):
+            a, b = last + 1 - n, last + 1
+            if not (a and text[a - 1].isalnum() and text[a].isalnum()) and not (b < len(text) and text[b].isalnum() and text[b - 1].isalnum()):
+                found += [(i, a, b, 0) for i in ids]
+        return found
+
+    def _similar(self, coded: list[np.ndarray], out: list[list[tuple[int, int, int, int]]]) -> None:
         text, item, low = self.candidates(coded)
         edits, start, end = self.align(coded, text, item, low)
-        good = edits <= self.e[item]
+        good = (edits <= self.e[item]) & (end > start)
         rows = sorted(zip(text[good].tolist(), item[good].tolist(), edits[good].tolist(), start[good].tolist(), end[good].tolist()))
         for t, i, d, a, b in rows:
             if not any(x[0] == self.ids[i] and a < x[2] and x[1] < b for x in out[t]):
                 out[t].append((self.ids[i], a, b, d))
-        return out
 
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:

@@ -24,14 +24,13 @@ nothing. Documents may have any length: grams are hashed in one pass.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bytes_of, durable, slices
@@ -144,7 +143,7 @@ def _dealt(length: int, anchor: int):
                     continue
                 which, begin, count, spots = map(np.concatenate, (which, begin, count, spots))
                 a, c = np.array(ah, np.uint64).view(np.int64), np.array(sh, np.uint64).view(np.int64)
-                crc = np.array([zlib.crc32(t) for t in texts], np.int64)
+                crc = np.array([xxhash.xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)
                 order = np.lexsort((c, a))
                 same = (a[order[1:]] == a[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
                 again, twice = np.concatenate([[False], same]), np.concatenate([same, [False]])
@@ -351,22 +350,29 @@ def _hashed_windows(length: int):
 
 
 # --------------------------------------------------------------- 4: spans
+def _text_hash(text: Column) -> Column:
+    """64 bits of a text, the same as in :func:`_dealt`."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, anchor: int | None = None, block_stretches: int = BLOCK_STRETCHES) -> DataFrame:
     """``(doc_id, crc, spans)`` of the documents that have any: the starts of
-    repeated windows as ``array<struct<start, windows>>``, ``crc`` telling
-    rows apart that share a doc_id."""
+    repeated windows as ``array<struct<start, windows>>``, ``crc``, a
+    64-bit hash of the text, telling rows apart that share a doc_id."""
     anchor = anchor or max(1, length * 7 // 10)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = src.mapInArrow(_dealt(length, anchor), _ROW)
     met = rows.repartition("anchor").sortWithinPartitions("anchor", "stretch").mapInArrow(_met(), _ROW)
     span = F.when(F.col("settled"), F.struct("start", "windows"))
     left = F.when(~F.col("settled"), F.struct("anchor", "start", "windows", "spot"))
-    found = durable(met.groupBy("doc_id", "crc").agg(F.collect_list(span).alias("spans"), F.collect_list(left).alias("open")))
+    # sets: rows that repeat an id and a text bring the same spans, however many they are
+    found = durable(met.groupBy("doc_id", "crc").agg(F.collect_set(span).alias("spans"), F.collect_set(left).alias("open")))
 
-    keyed = src.withColumn("crc", F.crc32(F.coalesce("text", F.lit(""))))
+    keyed = src.withColumn("crc", _text_hash(F.col("text")))
     unsettled = found.where(F.size("open") > 0).select("doc_id", "crc", "open")
-    # rows that repeat an id and a text fetch the same stretch again; it counts once below
-    fetched = unsettled.join(keyed, unsettled["doc_id"].eqNullSafe(keyed["doc_id"]) & (unsettled["crc"] == keyed["crc"]))
+    match = unsettled["doc_id"].eqNullSafe(keyed["doc_id"]) & (unsettled["crc"] == keyed["crc"])
+    once = keyed.join(unsettled, match, "left_semi").groupBy("doc_id", "crc").agg(F.first("text").alias("text"))
+    fetched = unsettled.join(once, unsettled["doc_id"].eqNullSafe(once["doc_id"]) & (unsettled["crc"] == once["crc"]))
     fetched = fetched.select(unsettled["doc_id"], unsettled["crc"], "text", "open")
     bodies = durable(fetched.mapInArrow(_bodies(length), _TEXTS))
     many = bodies.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > block_stretches).select("anchor")
@@ -374,7 +380,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hashed = bodies.join(many, "anchor", "left_semi").mapInArrow(_hashed_windows(length), "digest binary, " + _SPANS).distinct()
     twice = hashed.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
     closer = sorted_.union(hashed.join(twice, "digest", "left_semi").select("doc_id", "crc", "start", "windows"))
-    closer = closer.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
+    closer = closer.groupBy("doc_id", "crc").agg(F.collect_set(F.struct("start", "windows")).alias("spans"))
     return found.select("doc_id", "crc", "spans").union(closer).groupBy("doc_id", "crc").agg(F.flatten(F.collect_list("spans")).alias("spans")).where(F.size("spans") > 0)
 
 
@@ -396,7 +402,7 @@ def _with_spans(docs: DataFrame, spans: DataFrame, doc_id: str, text: str) -> tu
         name = "_" + name
     right = spans.select(F.col("doc_id").alias("_d"), F.col("crc").alias("_c"), F.col("spans").alias(name))
     left = docs.alias("l")
-    on = F.col(f"l.`{doc_id}`").cast("long").eqNullSafe(F.col("r._d")) & (F.crc32(F.coalesce(F.col(f"l.`{text}`"), F.lit(""))) == F.col("r._c"))
+    on = F.col(f"l.`{doc_id}`").cast("long").eqNullSafe(F.col("r._d")) & (_text_hash(F.col(f"l.`{text}`")) == F.col("r._c"))
     joined = left.join(right.alias("r"), on, "left")
     return joined.select(*[F.col(f"l.`{c}`") for c in docs.columns], F.col(f"r.{name}")), name
 
