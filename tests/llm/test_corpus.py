@@ -37,7 +37,7 @@ def test_stages_against_plain_versions(spark, stages):
 
     before, after = stages[2]
     texts = {r["doc_id"]: r["text"] for r in after}
-    for r, (n, gone, _, _) in zip(before, brute.cut([r["text"] for r in before], 400)):
+    for r, (n, gone, _, _) in zip(before, brute.cut([r["text"] for r in before], corpus_pipeline.PASSAGE_BYTES)):
         assert n - gone <= len(texts[r["doc_id"]].encode()) <= n - gone + 6 * (gone > 0)
         assert gone or texts[r["doc_id"]] == r["text"]
 
