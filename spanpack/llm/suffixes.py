@@ -368,12 +368,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # sets: rows that repeat an id and a text bring the same spans, however many they are
     found = durable(met.groupBy("doc_id", "crc").agg(F.collect_set(span).alias("spans"), F.collect_set(left).alias("open")))
 
-    keyed = src.withColumn("crc", _text_hash(F.col("text")))
-    unsettled = found.where(F.size("open") > 0).select("doc_id", "crc", "open")
-    match = unsettled["doc_id"].eqNullSafe(keyed["doc_id"]) & (unsettled["crc"] == keyed["crc"])
-    once = keyed.join(unsettled, match, "left_semi").groupBy("doc_id", "crc").agg(F.first("text").alias("text"))
-    fetched = unsettled.join(once, unsettled["doc_id"].eqNullSafe(once["doc_id"]) & (unsettled["crc"] == once["crc"]))
-    fetched = fetched.select(unsettled["doc_id"], unsettled["crc"], "text", "open")
+    # plain equality, so that one exchange of the texts serves both joins and the aggregate;
+    # a null id and the least one share a key, and with equal texts they share their spans
+    key = F.coalesce("doc_id", F.lit(-(2**63))).alias("key")
+    unsettled = found.where(F.size("open") > 0).select(key, "doc_id", "crc", "open")
+    keyed = src.select(key, _text_hash(F.col("text")).alias("crc"), "text")
+    once = keyed.join(unsettled.select("key", "crc"), ["key", "crc"], "left_semi").groupBy("key", "crc").agg(F.first("text").alias("text"))
+    fetched = unsettled.join(once, ["key", "crc"]).select("doc_id", "crc", "text", "open")
     bodies = durable(fetched.mapInArrow(_bodies(length), _TEXTS))
     many = bodies.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > block_stretches).select("anchor")
     sorted_ = bodies.join(many, "anchor", "left_anti").repartition("anchor").sortWithinPartitions(*_ONE_ROW).mapInArrow(_sorted_blocks(length, anchor), _SPANS)
