@@ -202,6 +202,39 @@ FROM ranked WHERE rank <= 2000
 """
 
 
+def _op13() -> str:
+    """Each round measures every part against its codebook, then moves the entries."""
+    parts = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * (len(v) // 16) + 1:(p + 1) * (len(v) // 16)] AS v FROM kept, (SELECT unnest(range(16)) AS p)),
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM part
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 64)"""
+    near = """,
+near{r} AS MATERIALIZED (
+  SELECT vec_id, label, a.p, any_value(a.v) AS v,
+         MIN(64 * CAST(list_sum(list_transform(range(len(a.v)), lambda i: (a.v[i + 1] - b.v[i + 1]) * (a.v[i + 1] - b.v[i + 1]))) AS BIGINT) + b.e) AS x
+  FROM part a JOIN book{r} b ON a.p = b.p GROUP BY vec_id, label, a.p)"""
+    move = """,
+sum{r} AS (
+  SELECT p, x % 64 AS e, i, SUM(v[i + 1]) AS s, COUNT(*) AS n FROM near{q}, (SELECT unnest(range((SELECT len(v) FROM part LIMIT 1))) AS i) GROUP BY ALL),
+mean{r} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM sum{r} GROUP BY p, e),
+book{r} AS MATERIALIZED (SELECT b.p, b.e, COALESCE(m.v, b.v) AS v FROM book{q} b LEFT JOIN mean{r} m ON b.p = m.p AND b.e = m.e)"""
+    end = """,
+coded AS (
+  SELECT vec_id, label, string_agg(lpad(to_hex(x % 64), 2, '0'), '' ORDER BY p) AS code, CAST(SUM(x // 64) AS BIGINT) AS error
+  FROM near2 GROUP BY vec_id, label)
+SELECT vec_id, lower(code) AS code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+    return parts + near.format(r=0) + "".join(move.format(r=r, q=r - 1) + near.format(r=r) for r in (1, 2)) + end
+
+
 def oracle_sql() -> dict[str, str]:
     """What can be said in SQL that runs on whole tables."""
-    return {"op1_url_rules": _OP1, "op11_collocations": _OP11, "op12_warc": _OP12}
+    return {"op1_url_rules": _OP1, "op11_collocations": _OP11, "op12_warc": _OP12, "op13_vector_codes": _op13()}
