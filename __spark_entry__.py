@@ -113,12 +113,16 @@ def _condition_end_normalized(spark: SparkSession, d: str) -> DataFrame:
     return co.select("condition_occurrence_id", "condition_start_date", "condition_end_date")
 
 
+ROLLUP_COLUMNS = (
+    "drug_exposure_id", "person_id", "ingredient_concept_id",
+    "drug_exposure_start_date", "drug_exposure_end_date",
+)
+SPREAD = EraConfig(spread_hot_concepts=True)
+
+
 def _ingredient_rollup(spark: SparkSession, d: str) -> DataFrame:
     t = drug_target(*fx.drug_sources(spark, d))
-    return t.select(
-        "drug_exposure_id", "person_id", "ingredient_concept_id",
-        "drug_exposure_start_date", "drug_exposure_end_date",
-    )
+    return t.select(*ROLLUP_COLUMNS)
 
 
 def _condition_era_mapped_only(spark: SparkSession, d: str) -> DataFrame:
@@ -220,6 +224,10 @@ def _repeated_drugs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame,
     return fx.repeated_exposures(spark, d), *fx.drug_sources(spark, d)[1:]
 
 
+def _hot_drugs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return fx.hot_exposures(spark, d), *fx.drug_sources(spark, d)[1:]
+
+
 def _drug_era_filtered(spark: SparkSession, d: str) -> DataFrame:
     """T4 and T5 within a drug build: one drug counts as unmapped, and rows
     without a supply of 0 or more go."""
@@ -369,6 +377,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_drug_era_audit": _stored_drug_era_audit,
     "stored_condition_era_audit": _stored_condition_era_audit,
     "stored_drug_era_faults": _stored_drug_era_faults,
+    # one drug concept with a third of the exposures and more
+    "ingredient_rollup_hot_concept": lambda s, d: drug_target(*_hot_drugs(s, d), SPREAD).select(*ROLLUP_COLUMNS),
+    "drug_era_hot_concept": lambda s, d: drug_era(*_hot_drugs(s, d), SPREAD, gap="both"),
+    "dose_era_hot_concept": lambda s, d: dose_era(*_hot_drugs(s, d), SPREAD),
     "condition_era_appended_twice": _condition_era_appended_twice,
     "drug_era_from_files": _drug_era_from_files,
     # sources with faults of every kind
@@ -671,6 +683,35 @@ FROM x_rows GROUP BY person_id, ingredient_concept_id, unit_concept_id, dose_val
     return q
 
 
+def _drug_eras_sql(sources: str) -> str:
+    """Drug eras of the given source CTEs, with ``{gaps}`` for the gap columns."""
+    return _with(sources, _DRUG_SWEEP, _covered("g_rows", DRUG_KEYS, "g")) + """
+, g_era AS (
+  SELECT person_id, ingredient_concept_id, era_end, MIN(s) AS era_start,
+         COUNT(*) AS n, SUM(e - s) AS sum_days
+  FROM g_rows GROUP BY person_id, ingredient_concept_id, era_end)
+SELECT a.person_id, a.ingredient_concept_id AS drug_concept_id,
+       a.era_start AS drug_era_start_date, a.era_end AS drug_era_end_date,
+       a.n AS drug_exposure_count, {gaps}
+FROM g_era a LEFT JOIN g_cov c
+  ON a.person_id = c.person_id AND a.ingredient_concept_id = c.ingredient_concept_id
+ AND a.era_end = c.era_end"""
+
+
+def _dose_eras_sql(sources: str) -> str:
+    return _with(sources, _sweep("dt", _DOSE_KEYS, 30, "x")) + """
+SELECT person_id, ingredient_concept_id AS drug_concept_id, unit_concept_id, dose_value,
+       MIN(s) AS dose_era_start_date, era_end AS dose_era_end_date
+FROM x_rows GROUP BY person_id, ingredient_concept_id, unit_concept_id, dose_value, era_end"""
+
+
+def _rollup_sql(sources: str) -> str:
+    return _with(sources) + """
+SELECT drug_exposure_id, person_id, ingredient_concept_id,
+       s AS drug_exposure_start_date, e AS drug_exposure_end_date
+FROM dt"""
+
+
 def _oracles() -> dict[str, str]:
     q = _repeated_oracles()
     q["condition_era"] = _with(_SOURCES, _COND_SWEEP) + """
@@ -683,17 +724,7 @@ SELECT person_id, condition_concept_id,
        MIN(s) AS condition_era_start_date, era_end AS condition_era_end_date,
        condition_type_concept_id, COUNT(*) AS condition_occurrence_count
 FROM c_rows GROUP BY person_id, condition_concept_id, condition_type_concept_id, era_end"""
-    drug_eras = _with(_SOURCES, _DRUG_SWEEP, _covered("g_rows", DRUG_KEYS, "g")) + """
-, g_era AS (
-  SELECT person_id, ingredient_concept_id, era_end, MIN(s) AS era_start,
-         COUNT(*) AS n, SUM(e - s) AS sum_days
-  FROM g_rows GROUP BY person_id, ingredient_concept_id, era_end)
-SELECT a.person_id, a.ingredient_concept_id AS drug_concept_id,
-       a.era_start AS drug_era_start_date, a.era_end AS drug_era_end_date,
-       a.n AS drug_exposure_count, {gaps}
-FROM g_era a LEFT JOIN g_cov c
-  ON a.person_id = c.person_id AND a.ingredient_concept_id = c.ingredient_concept_id
- AND a.era_end = c.era_end"""
+    drug_eras = _drug_eras_sql(_SOURCES)
     stock = "CAST((a.era_end - a.era_start) - a.sum_days AS BIGINT)"
     cover = "CAST((a.era_end - a.era_start) - COALESCE(c.covered, 0) AS BIGINT)"
     q["drug_era_stockpile"] = drug_eras.format(gaps=f"{stock} AS gap_days")
@@ -701,24 +732,25 @@ FROM g_era a LEFT JOIN g_cov c
     q["drug_era_both_gaps"] = drug_eras.format(
         gaps=f"a.n AS drug_exposure_count_stockpile, {stock} AS gap_days_stockpile, {cover} AS gap_days_covered"
     )
+    hot = _SOURCES.replace(
+        "l_partkey AS drug_concept_id", "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS drug_concept_id")
+    q["drug_era_hot_concept"] = _drug_eras_sql(hot).format(
+        gaps=f"a.n AS drug_exposure_count_stockpile, {stock} AS gap_days_stockpile, {cover} AS gap_days_covered"
+    )
+    q["dose_era_hot_concept"] = _dose_eras_sql(hot)
+    q["ingredient_rollup_hot_concept"] = _rollup_sql(hot)
     q["drug_era_by_type"] = _with(_SOURCES, _DRUG_SWEEP) + """
 SELECT person_id, ingredient_concept_id AS drug_concept_id,
        MIN(s) AS drug_era_start_date, era_end AS drug_era_end_date,
        drug_type_concept_id, COUNT(*) AS drug_exposure_count
 FROM g_rows GROUP BY person_id, ingredient_concept_id, drug_type_concept_id, era_end"""
-    q["dose_era"] = _with(_SOURCES, _sweep("dt", _DOSE_KEYS, 30, "x")) + """
-SELECT person_id, ingredient_concept_id AS drug_concept_id, unit_concept_id, dose_value,
-       MIN(s) AS dose_era_start_date, era_end AS dose_era_end_date
-FROM x_rows GROUP BY person_id, ingredient_concept_id, unit_concept_id, dose_value, era_end"""
+    q["dose_era"] = _dose_eras_sql(_SOURCES)
     q["drug_end_normalized"] = _with(_SOURCES) + """
 SELECT drug_exposure_id, drug_exposure_start_date, norm_end AS drug_exposure_end_date, end_source
 FROM den"""
     q["condition_end_normalized"] = _with(_SOURCES) + """
 SELECT condition_occurrence_id, s AS condition_start_date, e AS condition_end_date FROM ct"""
-    q["ingredient_rollup"] = _with(_SOURCES) + """
-SELECT drug_exposure_id, person_id, ingredient_concept_id,
-       s AS drug_exposure_start_date, e AS drug_exposure_end_date
-FROM dt"""
+    q["ingredient_rollup"] = _rollup_sql(_SOURCES)
     mapped_sweep = _sweep("ctm", COND_KEYS, 30, "m")
     q["condition_era_mapped_only"] = _with(
         _SOURCES,

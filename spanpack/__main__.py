@@ -30,6 +30,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--default-days", type=int, default=1)
     p.add_argument("--exclude-unmapped", action="store_true")
     p.add_argument("--require-nonneg-supply", action="store_true")
+    p.add_argument("--spread-hot-concepts", action="store_true",
+                   help="deal the exposures of heavy drug concepts out before the ingredient join")
     p.add_argument("--invalid", default="quarantine", choices=["quarantine", "clamp"])
     p.add_argument("--vocabulary-column", default="vocabulary_id")
     p.add_argument("--vocabulary-value", default="8",
@@ -51,6 +53,7 @@ def main(argv: list[str] | None = None) -> None:
         default_days=args.default_days,
         exclude_unmapped=args.exclude_unmapped,
         require_nonneg_supply=args.require_nonneg_supply,
+        spread_hot_concepts=args.spread_hot_concepts,
         invalid=args.invalid,
         vocabulary_column=args.vocabulary_column,
         vocabulary_value=int(args.vocabulary_value) if args.vocabulary_value.isdigit() else args.vocabulary_value,

@@ -57,6 +57,9 @@ class EraConfig:
     # a record id that repeats with one key and start counts once; True trusts
     # ids to be unique and counts rows, which saves two local aggregates
     assume_unique_ids: bool = False
+    # where the ingredient map is too large to broadcast and one drug concept may hold
+    # much of the exposures: count heavy concepts first and deal their records out
+    spread_hot_concepts: bool = False
     # ingredient selection in the concept table
     vocabulary_column: str = "vocabulary_id"
     vocabulary_value: Any = DEFAULT_VOCABULARY_VALUE

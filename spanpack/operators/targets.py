@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from spanpack.config import EraConfig
 from spanpack.functions.dates import condition_end_date, drug_end_date, drug_end_source
+from spanpack.operators.spread import spread_join
 from spanpack.schemas import as_date, require_columns
 
 DRUG_KEYS = ["person_id", "ingredient_concept_id"]
@@ -136,11 +137,17 @@ def rollup_to_ingredient(
     ingredient and a drug without an ingredient ancestor disappears.
 
     ``mapping`` (from :func:`ingredient_map`) skips rebuilding the map when
-    several targets share it."""
+    several targets share it. ``cfg.spread_hot_concepts`` joins by
+    :func:`spanpack.operators.spread.spread_join`, whose tasks stay even
+    however many records one drug concept holds, at one more read of the
+    concept column."""
     require_columns(exposure, ["drug_concept_id"], "drug_exposure")
     if mapping is None:
         mapping = ingredient_map(concept_ancestor, concept, cfg)
-    joined = exposure.join(mapping, F.col("drug_concept_id") == F.col("descendant_concept_id"))
+    if cfg.spread_hot_concepts:
+        joined = spread_join(exposure, mapping, "drug_concept_id", "descendant_concept_id")
+    else:
+        joined = exposure.join(mapping, F.col("drug_concept_id") == F.col("descendant_concept_id"))
     return joined.drop("descendant_concept_id")
 
 

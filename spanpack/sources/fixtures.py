@@ -145,6 +145,13 @@ def repeated_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return de.unionByName(de.filter(kind == 1)).unionByName(later).unionByName(other)
 
 
+def hot_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`drug_exposure` with one drug concept for the exposures of every third order."""
+    order = F.split("drug_exposure_id", r"\|")[0].cast("long")
+    concept = F.when(order % 3 == 0, F.lit(1)).otherwise(F.col("drug_concept_id"))
+    return drug_exposure(spark, sf_dir).withColumn("drug_concept_id", concept)
+
+
 DIRTY_MOD = 13                   # which fault a record has follows from its concept or id
 
 

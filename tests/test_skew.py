@@ -34,6 +34,12 @@ def test_hot_key_never_lands_in_one_window_task():
         assert len(by_id) >= 6
         for s in by_id:
             assert s["max_task"] <= max(1.5 * s["total"] / s["tasks"], ROWS / 100), s
+    # a join to a lookup table sends the hot key to one task, spread_join to all
+    largest = lambda plan: max((s for s in stages if s["plan"] == plan), key=lambda s: s["total"])
+    assert largest("lookup_plain")["max_task"] >= hot
+    spread = largest("lookup_spread")
+    assert spread["total"] >= ROWS and spread["tasks"] == 16
+    assert spread["max_task"] <= 1.5 * spread["total"] / spread["tasks"], spread
     # and the hot (key, day) of the row-level outputs is dealt evenly too
     for s in join:
         assert s["max_task"] <= 1.5 * s["total"] / s["tasks"], s

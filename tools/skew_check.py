@@ -4,7 +4,9 @@ Not a registered query (it runs on generated rows by design). It runs
 1. ``summarize_eras`` (day-level plan) vs a single-window row-level plan
    with one key holding a third of 3M rows spread over ten years, and
 2. ``pack_intervals`` with that key's rows all on ONE day, with AQE skew
-   thresholds lowered so the split is visible at this size,
+   thresholds lowered so the split is visible at this size, and
+3. a join to a lookup table on that key, plain and by ``spread_join``, without
+   broadcasting or AQE's skew join,
 and prints, per shuffle-reading stage, the total and the largest per-task
 shuffle input taken from Spark's event log (written to a fresh folder
 under the given directory).
@@ -25,6 +27,7 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from spanpack import pack_intervals, summarize_eras  # noqa: E402
+from spanpack.operators import spread_join  # noqa: E402
 from spanpack.session import local_session  # noqa: E402
 
 ROWS = 3_000_000
@@ -95,6 +98,13 @@ def main(scratch: str, n: int = ROWS) -> None:
     pack_intervals(rows(spark, hot_same_day=True, n=n), ["k"], "s", "e", 30).write.format("noop").mode(
         "overwrite"
     ).save()
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    lookup = spark.range(100_001, numPartitions=16).select(F.col("id").alias("code"), (F.col("id") % 97).alias("to"))
+    sc.setJobGroup("lookup_plain", "join to a lookup table")
+    df.join(lookup, F.col("k") == F.col("code")).write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("lookup_spread", "spread_join to a lookup table")
+    spread_join(df, lookup, "k", "code").write.format("noop").mode("overwrite").save()
     spark.stop()
     for s in stage_stats(logdir):
         print(json.dumps(s))
