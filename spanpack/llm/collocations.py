@@ -18,7 +18,8 @@ those at blanks and tabs into words; all counts are per language.
    those to both sides up to the longest length, through triples that are left
    only. Sums give every phrase that reaches the least count, with its
    extensions to the left and right.
-5. **Scores**, by joins of the summed phrases alone.
+5. **Scores**, by joins of the summed phrases alone. Ranks are taken in parts by a
+   hash of the phrase first, and each language's among the first of its parts.
 
 What travels is a count for each shard and phrase, so a phrase that stands in a
 third of all texts sends one row a shard. Null text counts as empty, null
@@ -44,6 +45,9 @@ from .word_index import Phrases, WordIndex, longer
 #: Words of a shard, and bytes of text gathered before shards are made.
 SHARD_WORDS, GATHERED_BYTES = 1 << 20, 12 << 20
 
+#: Parts in which a language's phrases are ranked before its first are.
+RANK_PARTS = 256
+
 # The bytes that end a piece, and those that end a word within one.
 _ENDS = np.zeros(256, np.uint8)
 _ENDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 2
@@ -313,5 +317,10 @@ def collocations(docs: DataFrame, least: int = 100, most: int = 5, top: int = 20
     cuts = cuts.withColumn("score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r")))
     scored = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("c"))
     scored = scored.select("lang", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), "n", F.col("c.score").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # a language's first are among the first of their part, so one task ranks top * RANK_PARTS rows at most
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)).alias("_part")
+    place = F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))
+    firsts = scored.select("*", part).withColumn("_place", place).where(F.col("_place") <= top).drop("_part", "_place")
+    whole = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return firsts.withColumn("rank", whole).where(F.col("rank") <= top).select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
