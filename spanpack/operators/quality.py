@@ -218,16 +218,16 @@ def audit_summary(expected: DataFrame, stored: DataFrame, keys: Sequence[str], b
 
 def differing_keys(expected: DataFrame, stored: DataFrame, keys: Sequence[str], buckets: int = AUDIT_BUCKETS) -> DataFrame:
     """(keys, ``expected_count``, ``stored_count``) of the keys whose counts
-    differ; 0 where a side lacks the key. Only keys of buckets that differ are
-    compared one by one; the list of those has ``buckets`` rows at most."""
-    bad = F.broadcast(audit_buckets(expected, stored, keys, buckets).where(~F.col("matches")).select("bucket"))
-
-    def narrowed(counts: DataFrame, name: str) -> DataFrame:
-        rows = counts.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets))).join(bad, "bucket", "left_semi")
-        return rows.select(*keys, F.col("n").cast("long").alias(name))
-
-    both = narrowed(expected, "expected_count").join(narrowed(stored, "stored_count"), [*keys], "full")
-    return both.na.fill(0, ["expected_count", "stored_count"]).where("expected_count <> stored_count")
+    differ; 0 where a side lacks the key. Both count tables are taken once and
+    compared key by key, so whatever they are computed from is read once;
+    ``buckets`` has no part in the result."""
+    zero = F.lit(0).cast("long")
+    n = F.col("n").cast("long")
+    left = expected.select(*keys, n.alias("expected_count"), zero.alias("stored_count"))
+    right = stored.select(*keys, zero.alias("expected_count"), n.alias("stored_count"))
+    both = left.union(right).groupBy(*keys)
+    both = both.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("expected_count", "stored_count")])
+    return both.where("expected_count <> stored_count")
 
 
 def duplicate_id_report(df: DataFrame, id_cols: list[str] | tuple[str, ...]) -> DataFrame:
