@@ -13,7 +13,7 @@ Parquet scan prunes columns and receives pushed filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,12 +137,18 @@ def repeated_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
     supply and a later end, or under another type."""
     de = drug_exposure(spark, sf_dir)
     kind = F.split("drug_exposure_id", r"\|")[1].cast("int") % 3
-    later = de.filter(kind == 2).withColumns({
-        "days_supply": F.col("days_supply") + 7,
-        "drug_exposure_end_date": F.date_add("drug_exposure_end_date", 7),
-    })
-    other = de.filter(kind == 0).withColumn("drug_type_concept_id", F.lit("Z"))
-    return de.unionByName(de.filter(kind == 1)).unionByName(later).unionByName(other)
+
+    def variant(**changes) -> Column:
+        names = ("drug_type_concept_id", "days_supply", "drug_exposure_end_date")
+        return F.struct(*[changes.get(c, F.col(c)).alias(c) for c in names])
+
+    # each record with its repetition, so that the join that makes records runs once
+    later = variant(days_supply=F.col("days_supply") + 7, drug_exposure_end_date=F.date_add("drug_exposure_end_date", 7))
+    other = variant(drug_type_concept_id=F.lit("Z"))
+    copies = F.when(kind == 1, F.array(variant(), variant())).when(kind == 2, F.array(variant(), later)).when(kind == 0, F.array(variant(), other))
+    rows = de.withColumn("_copies", F.coalesce(copies, F.array(variant())))
+    kept = [c for c in de.columns if c not in ("drug_type_concept_id", "days_supply", "drug_exposure_end_date")]
+    return rows.select(*kept, F.inline("_copies")).select(*de.columns)
 
 
 def hot_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import SF0001
 from pyspark.sql import functions as F
 
 from spanpack.operators.quality import differing_keys, record_counts
-from spanpack.plans.inspect import scan_details
+from spanpack.plans.inspect import join_count, scan_details
 from spanpack.sources import fixtures as fx
 
 
@@ -18,3 +18,16 @@ def test_differing_keys_read_their_sources_once(spark):
     a = spark.createDataFrame([(None, 3), (1, 3), (2, 4), (4, 0)], "k int, n long")
     b = spark.createDataFrame([(None, 3), (1, 5), (3, 6)], a.schema)
     assert sorted(tuple(r) for r in differing_keys(a, b, ["k"], buckets=1).collect()) == [(1, 3, 5), (2, 4, 0), (3, 0, 6)]
+
+
+def test_repeated_exposures_join_once(spark):
+    got = fx.repeated_exposures(spark, SF0001)
+    de = fx.drug_exposure(spark, SF0001)
+    assert join_count(got) == 1 and len(scan_details(got)) == 2
+    kind = F.split("drug_exposure_id", r"\|")[1].cast("int") % 3
+    later = de.filter(kind == 2).withColumns({
+        "days_supply": F.col("days_supply") + 7, "drug_exposure_end_date": F.date_add("drug_exposure_end_date", 7)})
+    other = de.filter(kind == 0).withColumn("drug_type_concept_id", F.lit("Z"))
+    want = de.unionByName(de.filter(kind == 1)).unionByName(later).unionByName(other)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
