@@ -263,7 +263,8 @@ def _attach_stored_eras(spark: SparkSession, d: str) -> DataFrame:
     srcs = fx.drug_sources(spark, d)
     eras = _stored(spark, drug_era(*srcs), "drug_era")
     ends = eras.select("person_id", F.col("drug_concept_id").alias("ingredient_concept_id"), F.col("drug_era_end_date").alias("era_end_date"))
-    out = attach_run_ends(drug_target(*srcs), ends, DRUG_KEYS, "drug_exposure_start_date", "era_end_date")
+    records = drug_target(*srcs).select("drug_exposure_id", *DRUG_KEYS, "drug_exposure_start_date")
+    out = attach_run_ends(records, ends, DRUG_KEYS, "drug_exposure_start_date", "era_end_date")
     return out.select("drug_exposure_id", "person_id", "ingredient_concept_id", "drug_exposure_start_date", "era_end_date")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from conftest import SF0001
 from pyspark.sql import functions as F
 
 from spanpack.operators.quality import differing_keys, record_counts
-from spanpack.plans.inspect import join_count, scan_details
+from spanpack.plans.inspect import join_count, plan_text, scan_details
 from spanpack.sources import fixtures as fx
 
 
@@ -31,3 +33,11 @@ def test_repeated_exposures_join_once(spark):
     want = de.unionByName(de.filter(kind == 1)).unionByName(later).unionByName(other)
     assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_attached_ends_deal_only_what_is_returned(spark):
+    import __spark_entry__ as entry
+
+    plan = plan_text(entry._QUERIES["attach_stored_eras"](spark, SF0001))
+    salts = re.findall(r"xxhash64\(([^)]*)\)", plan)
+    assert salts and all("drug_exposure_id" in s and "days_supply" not in s and "end_date" not in s for s in salts)
