@@ -37,7 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,8 @@ SALT = "_salt"
 
 #: What day rows count by id: records (``ids``), record intervals (``intervals``).
 MEASURES = ("ids", "intervals")
+#: Interval lengths in days, from 0, that an id's row holds as bits of a long.
+LENGTH_BITS = 64
 #: Parts into which the records of one (key, day) are dealt at row level.
 ROW_SALTS = 1024
 # grains that an id is counted at
@@ -118,35 +120,78 @@ def day_summary(
 def _counted_by_id(
     df: DataFrame, keys: Sequence[str], start: str, end: str, split: str | None, id_col: str, grains: list[int]
 ) -> DataFrame:
-    """Each record stands once for each grain; one aggregate leaves an id (and,
-    for intervals, an end) once, a second one makes the day rows."""
-    no_end = F.lit(None).cast(df.schema[end].dataType)
-    no_split = F.lit(None).cast(df.schema[split].dataType) if split else None
-
-    def row(grain: int) -> list:
-        cols = [F.lit(grain).alias("_grain"), (F.col(end) if grain == _INTERVALS else no_end).alias("_of_end")]
-        return cols + ([(F.col(split) if grain == _SPLIT_IDS else no_split).alias("_split")] if split else [])
-
-    base = [*keys, start, end, id_col]
-    if len(grains) == 1:
-        rows = df.select(*base, *row(grains[0]))
-    else:
-        rows = df.select(*base, F.inline(F.array(*[F.struct(*row(g)) for g in grains])))
+    """One aggregate leaves an id once, a second one makes the day rows."""
+    intervals = _INTERVALS in grains
+    rows = _rows_by_grain(df, keys, start, end, split, id_col, grains)
     once = ["_grain", "_of_end", *(["_split"] if split else [])]
-    per_id = rows.groupBy(*keys, start, id_col, *once).agg(F.max(end).alias(DAY_END))
-    interval = F.col("_grain") == _INTERVALS
+    lengths = [F.bit_or("_lengths").alias("_lengths")] if intervals else []
+    per_id = rows.groupBy(*keys, start, id_col, *once).agg(F.max(end).alias(DAY_END), *lengths)
+    long = F.col("_of_end").isNotNull()
+    n_intervals, summed = F.lit(0), F.lit(0).cast("long")
+    if intervals:
+        n_intervals = F.when(long, 1).otherwise(F.bit_count("_lengths"))
+        summed = F.when(long, days_between(start, DAY_END)).otherwise(_sum_of_bits(F.col("_lengths")))
     marks = []
     if split:
         marks = [F.col("_split").alias(split)]
         marks += [(F.col("_grain") == _SPLIT_IDS).alias(TYPED)] if len(grains) > 1 else []
     return per_id.groupBy(*keys, start, *marks).agg(
-        F.sum(F.when(interval, 0).otherwise(1)).alias(N),
+        F.sum(F.when(F.col("_grain") == _INTERVALS, 0).otherwise(1)).alias(N),
         F.max(DAY_END).alias(DAY_END),
-        F.sum(F.when(interval, 1).otherwise(0)).alias(N_INTERVALS),
-        F.sum(F.when(interval, days_between(start, DAY_END)).otherwise(0)).alias(LEN),
+        F.sum(n_intervals).alias(N_INTERVALS),
+        F.sum(summed).alias(LEN),
     )
 
 
+def _rows_by_grain(
+    df: DataFrame, keys: Sequence[str], start: str, end: str, split: str | None, id_col: str, grains: list[int]
+) -> DataFrame:
+    """The records as they are counted by id.
+
+    The intervals of an id are its different lengths: those below ``LENGTH_BITS``
+    days are bits of one number in the id's row, so that a record travels once
+    however much is counted of it. A longer one stands as a row of its own for
+    each end, and an id under a split value as a row for each value."""
+    types = {f.name: f.dataType for f in df.schema}
+    no_end, intervals = F.lit(None).cast(types[end]), _INTERVALS in grains
+    days = days_between(start, end)
+    dates = isinstance(types[start], T.DateType) and isinstance(types[end], T.DateType)
+    short = days.between(0, LENGTH_BITS - 1) if dates else F.lit(False)
+    bit = F.when(short, F.call_function("shiftleft", F.lit(1).cast("long"), days.cast("int"))).otherwise(F.lit(0).cast("long"))
+
+    def row(grain: int, of_end=no_end, bits=F.lit(0).cast("long")) -> list:
+        cols = [F.lit(grain).alias("_grain"), of_end.alias("_of_end")]
+        cols += [bits.alias("_lengths")] if intervals else []
+        return cols + ([(F.col(split) if grain == _SPLIT_IDS else F.lit(None).cast(types[split])).alias("_split")] if split else [])
+
+    always = []
+    if _IDS in grains:
+        always.append(row(_IDS, bits=bit))
+    elif intervals:
+        always.append(row(_INTERVALS, F.when(~short, F.col(end)), bit))
+    if _SPLIT_IDS in grains:
+        always.append(row(_SPLIT_IDS))
+    at_times = [row(_INTERVALS, F.col(end))] if intervals and _IDS in grains else []
+    base = [*keys, start, end, id_col]
+    if len(always) == 1 and not at_times:
+        return df.select(*base, *always[0])
+    stands = [F.struct(*r) for r in always]
+    standing = F.array(*stands)
+    if at_times:
+        standing = F.when(short, standing).otherwise(F.array(*stands, F.struct(*at_times[0])))
+    return df.select(*base, F.inline(standing))
+
+
+def _sum_of_bits(bits: Column) -> Column:
+    """The sum of the positions of a number's set bits."""
+    total = F.lit(0).cast("long")
+    for j in range(LENGTH_BITS.bit_length() - 1):
+        mask = sum(1 << i for i in range(LENGTH_BITS) if i >> j & 1)
+        mask -= (1 << 64) if mask >> 63 else 0
+        total = total + F.bit_count(bits.bitwiseAND(F.lit(mask).cast("long"))) * (1 << j)
+    return total
+
+
 def number_runs(days: DataFrame, keys: Sequence[str], start: str, grace_days: int) -> DataFrame:
     """Add ``era_seq`` (1-based run number per key, in time order), the running
     maximum end before each row and the days each row adds to the covered set."""
