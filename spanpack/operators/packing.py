@@ -19,8 +19,9 @@ Plan shape (skew-safe by construction)
    records), times the number of split values where the rows are numbered at
    a split grain, never by the number of records, so no task holds an
    unbounded group.
-3. ``groupBy(keys, era_seq)`` reuses the window's hash partitioning on
-   ``keys``: no further exchange.
+3. Eras are taken from the last row of each run by windows that reuse the
+   partitioning and order of the first: no further exchange, and no hash table
+   of eras. A split adds one sort by ``(keys, era_seq, split, start)``.
 
 Row-level outputs (:func:`pack_intervals`, :func:`assign_era_end`,
 :func:`attach_run_ends`) deal the records once, by ``(keys, start, salt)``. The
@@ -229,27 +230,43 @@ def numbered_day_rows(
 
 def collapse_eras(numbered: DataFrame, keys: str | Sequence[str], start: str, split: str | None = None) -> DataFrame:
     """Eras from :func:`numbered_day_rows` (see :func:`summarize_eras` for the
-    columns). ``split`` must be None or the split the rows were numbered with."""
+    columns). ``split`` must be None or the split the rows were numbered with.
+
+    The rows already lie in time order, so running totals taken at the last row
+    of each run give the eras; a hash table of them would hold nearly as many
+    groups as rows where most runs are short."""
     keys = _keys(keys)
     both = TYPED in numbered.columns
     if split is None:
         count = F.when(F.col(TYPED), 0).otherwise(F.col(N)) if both else F.col(N)
-        return numbered.groupBy(*keys, SEQ).agg(
-            F.min(start).alias("era_start"),
-            F.max(DAY_END).alias("era_end"),
-            F.sum(count).alias("record_count"),
-            F.sum(N_INTERVALS).alias("interval_count"),
-            F.sum(LEN).alias("sum_days"),
-            F.sum(COVERED).alias("covered_days"),
+        sums = {"record_count": count, "interval_count": F.col(N_INTERVALS), "sum_days": F.col(LEN), "covered_days": F.col(COVERED)}
+        order = Window.partitionBy(*keys).orderBy(F.col(start), F.col(DAY_END))
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        following = F.lead(SEQ).over(order)
+        latest = F.max(F.struct(F.col(SEQ), F.col(DAY_END))).over(upto)
+        last = numbered.select(
+            *keys, SEQ, start, DAY_END,
+            F.max(F.when(F.col(OPEN) == 1, F.col(start))).over(upto).alias("era_start"),
+            latest.alias("_latest"),
+            *[F.sum(c).over(upto).alias(name) for name, c in sums.items()],
+            (following.isNull() | (following != F.col(SEQ))).alias("_last"),
+        ).where("_last")
+        # totals so far, less those at the end of the run before
+        return last.select(
+            *keys, SEQ, "era_start", F.col("_latest")[DAY_END].alias("era_end"),
+            *[(F.col(name) - F.coalesce(F.lag(name).over(order), F.lit(0).cast("long"))).alias(name) for name in sums],
         )
     rows = numbered.where(TYPED) if both else numbered
-    per_split = rows.groupBy(*keys, SEQ, split).agg(
-        F.min(start).alias("era_start"),
-        F.max(DAY_END).alias("_split_end"),
-        F.sum(N).alias("record_count"),
-    )
-    run = Window.partitionBy(*keys, SEQ)
-    return per_split.withColumn("era_end", F.max("_split_end").over(run)).drop("_split_end")
+    # one sort serves both windows
+    run = Window.partitionBy(*keys, SEQ).orderBy(split, start)
+    part = Window.partitionBy(*keys, SEQ, split).orderBy(start)
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.select(
+        *keys, SEQ, split, F.col(start).alias("era_start"),
+        F.sum(N).over(part.rowsBetween(*whole)).alias("record_count"),
+        F.max(DAY_END).over(run.rowsBetween(*whole)).alias("era_end"),
+        F.row_number().over(part).alias("_nth"),
+    ).where(F.col("_nth") == 1).drop("_nth")
 
 
 def summarize_eras(
@@ -291,7 +308,7 @@ def era_end_dates(
     """The distinct end dates of the runs of each key: (keys, era_end_date)."""
     keys = _keys(keys)
     numbered = numbered_day_rows(df, keys, start, end, grace_days)
-    return numbered.groupBy(*keys, SEQ).agg(F.max(DAY_END).alias("era_end_date")).drop(SEQ)
+    return collapse_eras(numbered, keys, start).select(*keys, F.col("era_end").alias("era_end_date"))
 
 
 def _salted(df: DataFrame, keys: list[str], start: str) -> DataFrame:

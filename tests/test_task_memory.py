@@ -1,0 +1,91 @@
+"""What one task holds: no hash table of eras, no wide rows to count concepts."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from datetime import date, timedelta
+
+import pytest
+
+from conftest import SF0001
+from spanpack import EraConfig, collapse_eras, dose_era, drug_era, drug_era_by_type, drug_target, numbered_day_rows
+from spanpack.operators.packing import SEQ
+from spanpack.plans.inspect import scan_details
+from spanpack.sources import fixtures as fx
+from test_plans import _tree_ops
+
+DAY0 = date(2020, 1, 1)
+
+
+@pytest.mark.parametrize("build", [drug_era, drug_era_by_type, dose_era])
+def test_eras_are_taken_without_a_hash_table(spark, build):
+    """Most runs hold one day row, so tables of eras would hold nearly all rows of a task, twice."""
+    ops = _tree_ops(build(*fx.drug_sources(spark, SF0001)))
+    lowest = max(i for i, o in enumerate(ops) if o == "Window")
+    assert "HashAggregate" not in ops[:lowest], ops
+    assert ops[:lowest + 2].count("Sort") == (2 if build is drug_era_by_type else 1)
+
+
+def _intervals(seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(5):
+        for _ in range(rng.choice([1, 3, 40])):
+            s = DAY0 + timedelta(days=rng.randrange(200))
+            rows.append((k, rng.choice(["a", "b", None]), s, s + timedelta(days=rng.randrange(6))))
+    return rows + rows[:4]
+
+
+def _runs(rows, grace):
+    """(k, era_seq) -> rows, by walking the rows of a key in time order."""
+    runs = defaultdict(list)
+    for k in {r[0] for r in rows}:
+        seq, latest = 0, None
+        for r in sorted((r for r in rows if r[0] == k), key=lambda r: r[2:]):
+            if latest is None or r[2] > latest + timedelta(days=grace):
+                seq += 1
+            latest = r[3] if latest is None else max(latest, r[3])
+            runs[k, seq].append(r)
+    return runs
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_totals_of_a_run_hold_nothing_of_the_runs_beside_it(spark, seed):
+    rows = _intervals(seed)
+    df = spark.createDataFrame(rows, "k int, t string, s date, e date")
+    runs, types = _runs(rows, 3), {}
+    want = {}
+    for at, members in runs.items():
+        covered = {s + timedelta(days=i) for _, _, s, e in members for i in range((e - s).days)}
+        end = max(e for *_, e in members)
+        want[at] = (min(r[2] for r in members), end, len(members), len(members), sum((e - s).days for *_, s, e in members), len(covered))
+        for t in {r[1] for r in members}:
+            mine = [r for r in members if r[1] == t]
+            types[*at, t] = (min(r[2] for r in mine), end, len(mine))
+    columns = ["era_start", "era_end", "record_count", "interval_count", "sum_days", "covered_days"]
+    for split in (None, "t"):
+        numbered = numbered_day_rows(df, "k", "s", "e", 3, split=split)
+        got = collapse_eras(numbered, "k", "s").collect()
+        assert len(got) == len(want)
+        assert {(r["k"], r[SEQ]): tuple(r[c] for c in columns) for r in got} == want
+    got = collapse_eras(numbered, "k", "s", "t").collect()
+    assert len(got) == len(types)
+    assert {(r["k"], r[SEQ], r["t"]): tuple(r[c] for c in columns[:3]) for r in got} == types
+
+
+def test_concepts_are_counted_from_narrow_rows(spark):
+    """The pass that counts heavy concepts reads the two keys of a line, the other pass the whole record."""
+    target = drug_target(*fx.drug_sources(spark, SF0001), EraConfig(spread_hot_concepts=True))
+    hot = drug_target(fx.hot_exposures(spark, SF0001), *fx.drug_sources(spark, SF0001)[1:], EraConfig(spread_hot_concepts=True))
+    for df in (target, hot):
+        lines = sorted((s["ReadSchema"] for s in scan_details(df) if "l_partkey" in s["ReadSchema"]), key=len)
+        assert "l_shipdate" in lines[-1] and len(lines) > 1
+        assert all("l_shipdate" not in x and "l_quantity" not in x for x in lines[:-1]), lines
+
+
+def test_heavy_concepts_counted_before_filters_give_the_same_target(spark):
+    sources = fx.dirty_exposures(spark, SF0001), *fx.drug_sources(spark, SF0001)[1:]
+    for cfg in (EraConfig(), EraConfig(exclude_unmapped=True, require_nonneg_supply=True)):
+        plain, spread = drug_target(*sources, cfg), drug_target(*sources, cfg.with_(spread_hot_concepts=True))
+        assert plain.exceptAll(spread).isEmpty() and spread.exceptAll(plain).isEmpty()
