@@ -34,14 +34,25 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def spread_join(records: DataFrame, lookup: DataFrame, record_key: str, lookup_key: str, parts: int = PARTS) -> DataFrame:
+def spread_join(
+    records: DataFrame,
+    lookup: DataFrame,
+    record_key: str,
+    lookup_key: str,
+    parts: int = PARTS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
     """Inner equi-join of ``records`` to ``lookup``, the same rows as
     ``records.join(lookup, record_key == lookup_key)``, without a hot task.
 
     Records of a heavy key are dealt by a hash of their columns and the number
     of their input partition, so that copies of one record part too; both are
-    the same when a lost task runs again."""
-    heavy = heavy_keys(records, record_key, parts)
+    the same when a lost task runs again.
+
+    ``counted`` holds the ``record_key`` of all records before filters on other
+    columns, where that is cheaper to read: it only decides how many parts a key
+    gets, never which rows come out."""
+    heavy = heavy_keys(records if counted is None else counted, record_key, parts)
     hashed = [_quoted(f.name) for f in records.schema.fields if not _has_map(f.dataType)]
     shares = F.coalesce(F.col(_SHARES), F.lit(1))
     dealt = records.where(F.col(record_key).isNotNull()).join(F.broadcast(heavy), F.col(record_key) == F.col(_KEY), "left")

@@ -131,6 +131,7 @@ def rollup_to_ingredient(
     concept: DataFrame | None = None,
     cfg: EraConfig = EraConfig(),
     mapping: DataFrame | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each drug by every ingredient ancestor (T3): adds
     ``ingredient_concept_id``; a combination drug fans out to one row per
@@ -140,12 +141,12 @@ def rollup_to_ingredient(
     several targets share it. ``cfg.spread_hot_concepts`` joins by
     :func:`spanpack.operators.spread.spread_join`, whose tasks stay even
     however many records one drug concept holds, at one more read of the
-    concept column."""
+    concept column, from ``counted`` if given (see there)."""
     require_columns(exposure, ["drug_concept_id"], "drug_exposure")
     if mapping is None:
         mapping = ingredient_map(concept_ancestor, concept, cfg)
     if cfg.spread_hot_concepts:
-        joined = spread_join(exposure, mapping, "drug_concept_id", "descendant_concept_id")
+        joined = spread_join(exposure, mapping, "drug_concept_id", "descendant_concept_id", counted=counted)
     else:
         joined = exposure.join(mapping, F.col("drug_concept_id") == F.col("descendant_concept_id"))
     return joined.drop("descendant_concept_id")
@@ -206,7 +207,9 @@ def drug_target(
     [extra], start, end, days_supply."""
     df = _drug_source(drug_exposure, cfg, list(extra))
     df = enforce_valid(df, ["person_id"], DRUG_START, DRUG_END, cfg.invalid)
-    df = rollup_to_ingredient(df, concept_ancestor, concept, cfg, mapping=mapping)
+    # the dates and supply that make a record valid need not be read to count concepts
+    counted = filter_unmapped(drug_exposure, "drug_concept_id", cfg.unmapped_id) if cfg.exclude_unmapped else drug_exposure
+    df = rollup_to_ingredient(df, concept_ancestor, concept, cfg, mapping=mapping, counted=counted)
     return df.select(
         "drug_exposure_id", "person_id", "ingredient_concept_id", *extra,
         DRUG_START, DRUG_END, "days_supply",

@@ -94,6 +94,11 @@ def condition_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exposures_of_orders(spark, sf_dir).drop("_order")
+
+
+def _exposures_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`drug_exposure` with the key of the order, never NULL, as ``_order``."""
     l = read(spark, sf_dir, "lineitem")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     x = l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -118,6 +123,7 @@ def drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") == 0, F.lit(None).cast(DOSE_TYPE))
         .otherwise(F.ceil(F.col("l_quantity") / DOSE_DIV).cast(DOSE_TYPE))
         .alias("effective_drug_dose"),
+        F.col("l_orderkey").alias("_order"),
     )
 
 
@@ -153,9 +159,9 @@ def repeated_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hot_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`drug_exposure` with one drug concept for the exposures of every third order."""
-    order = F.split("drug_exposure_id", r"\|")[0].cast("long")
-    concept = F.when(order % 3 == 0, F.lit(1)).otherwise(F.col("drug_concept_id"))
-    return drug_exposure(spark, sf_dir).withColumn("drug_concept_id", concept)
+    # the order's key itself: to cut it from the record id would read every column of the id
+    concept = F.when(F.col("_order") % 3 == 0, F.lit(1)).otherwise(F.col("drug_concept_id"))
+    return _exposures_of_orders(spark, sf_dir).withColumn("drug_concept_id", concept).drop("_order")
 
 
 DIRTY_MOD = 13                   # which fault a record has follows from its concept or id
