@@ -13,6 +13,8 @@ import tempfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,6 +118,64 @@ def test_other_lengths(spark, most):
     assert sorted(map(tuple, got.collect())) == plain_collocations(rows, 4, most, 50)
 
 
+def _one_shard(texts, number, parts, weight=1):
+    """A shard of which every word is left, as the rounds after the words see it."""
+    seq, words = collocations.word_ids("\n".join(texts).encode())
+    names = [w.as_py().decode() for w in words]
+    left = [(i << 32) + int(w[1:]) for i, w in enumerate(names)]
+    row = {"shard": number, "lang": "en", "weight": weight, "parts": parts, "words": collocations.zstandard.compress("\n".join(names).encode()), "seq": collocations._packed(seq), "left": left}
+    return next(collocations._frequent(row)).to_pylist()[0]
+
+
+@pytest.mark.parametrize("step,length", [(collocations._send_pairs, 2), (collocations._send_triples, 3)])
+def test_phrases_travel_packed_and_are_spelled_once(step, length):
+    """Rows are one a shard and part, however many phrases; a phrase takes a few
+    bytes; one of the shards that hold a frequent phrase gets its count."""
+    rnd = random.Random(3)
+    texts = [[" ".join(f"w{int(rnd.paretovariate(0.6)) % 5000}" for _ in range(4000)) for _ in range(8)] for _ in range(3)]
+    rows = [_one_shard(t, i << 40, 7) for i, t in enumerate(texts)] + [_one_shard(texts[0][:1], 9, 7, -1)]
+    truth = collections.Counter()
+    for t, sign in [(x, 1) for t in texts for x in t] + [(texts[0][0], -1)]:
+        w = t.split()
+        truth.update({k: sign * c for k, c in collections.Counter(" ".join(w[i : i + length]) for i in range(len(w) - length + 1)).items()})
+    sent = pa.Table.from_batches([b for r in rows for b in step(r)])
+    assert sent.num_rows <= 7 * len(rows)
+    phrases = sum(len(collocations._ints(x.as_py())) // (length + 1) for x in sent["phrases"])
+    assert phrases > 10_000 and sum(len(x.as_py()) for x in sent["phrases"]) < 6 * phrases
+    back = pa.concat_tables(collocations._summed(4)(sent.filter(pc.equal(sent["part"], p))) for p in range(7)).to_pylist()
+    spelled = []
+    for r in rows:
+        r["back"] = [b for b in back if b["shard"] == r["shard"]]
+        index, words, ids = collocations._opened(r, 3)
+        p = index.to_left(index.words()) if length == 2 else collocations._triples(index)
+        marks, f = collocations._marks(r, ids, p.words)
+        named = collocations._texts(words, p.words).to_pylist()
+        assert all((m > 0) == (truth[x] >= 4) for m, x in zip(marks, named))
+        _, phrase, _, count = collocations._spelled(r, words, p.words, marks, f)
+        spelled += zip(phrase.to_pylist(), count.to_pylist())
+    assert sorted(spelled) == sorted((x, c) for x, c in truth.items() if c >= 4)
+
+
+def test_phrase_sums_pass_32_bits():
+    big = (1 << 31) - 1
+    blob = collocations._packed(np.array([[5], [(1 << 31) - 2], [big]]).ravel())
+    sent = pa.table({"lang": ["en"] * 3, "words": pa.array([2] * 3, pa.int32()), "part": pa.array([0] * 3, pa.int32()), "shard": [3, 1, 2], "phrases": pa.array([blob] * 3, pa.binary())})
+    out = collocations._summed(3 * big)(sent).to_pylist()
+    assert [r["shard"] for r in out] == [1, 2, 3]
+    assert [np.frombuffer(collocations.zstandard.decompress(r["f"]), "<i8").tolist() for r in out] == [[3 * big], [], []]
+    assert collocations._summed(3 * big + 1)(sent).num_rows == 0
+
+
+def test_words_get_one_number_and_one_spelling(spark):
+    rows = [("en", f"w{i}", 2, s << 40, i) for i in range(300) for s in range(3)] + [("de", "w1", 7, 5, 0), ("en", "rare", 5, 0, 300)]
+    got = collocations._left_words(spark.createDataFrame(rows, "lang string, phrase string, n int, shard long, local int"), 6).collect()
+    assert len(got) == 901 and sorted((r["lang"], r["phrase"], r["f"]) for r in got if r["phrase"]) == sorted([("de", "w1", 7), *(("en", f"w{i}", 6) for i in range(300))])
+    numbers = collections.defaultdict(set)
+    for r in got:
+        numbers[r["shard"] == 5, r["local"]].add(r["id"])
+    assert all(len(x) == 1 for x in numbers.values()) and len(set.union(*numbers.values())) == 301
+
+
 def test_extensions_are_the_most_frequent_longer_phrases(spark):
     df = spark.createDataFrame([("en", "a b c")] * 5 + [("en", "x b c")] * 3 + [("en", "b d")] * 2, "lang string, text string")
     counts, totals = collocations.phrase_counts(df, least=2, most=3)
