@@ -57,6 +57,7 @@ from spanpack.sources import (
     publish_version,
     read_era_table,
     read_split,
+    read_version,
 )
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -258,13 +259,21 @@ def _stored(spark: SparkSession, eras: DataFrame, name: str) -> DataFrame:
     return read_era_table(spark, name, path=path)
 
 
+def _stored_target(spark: SparkSession, srcs: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """The records of a drug target, written once for the eras and for what is held against them."""
+    path = _new_folder(spark, "drug_target")
+    publish_version(drug_target(*srcs).select(*DRUG_RECORD), path, sort_within=None, compression="zstd")
+    return read_version(spark, path)
+
+
 def _attach_stored_eras(spark: SparkSession, d: str) -> DataFrame:
     """P3 against stored eras: their ends are read, not computed again."""
     srcs = fx.drug_sources(spark, d)
-    eras = _stored(spark, drug_era(*srcs), "drug_era")
+    target = _stored_target(spark, srcs)
+    eras = _stored(spark, drug_era(*srcs, stored_target=target), "drug_era")
     ends = eras.select("person_id", F.col("drug_concept_id").alias("ingredient_concept_id"), F.col("drug_era_end_date").alias("era_end_date"))
-    records = drug_target(*srcs).select("drug_exposure_id", *DRUG_KEYS, "drug_exposure_start_date")
-    out = attach_run_ends(records, ends, DRUG_KEYS, "drug_exposure_start_date", "era_end_date")
+    records = target.select("drug_exposure_id", *DRUG_KEYS, "drug_exposure_start_date")
+    out = attach_run_ends(records, ends, DRUG_KEYS, "drug_exposure_start_date", "era_end_date", weigh=True)
     return out.select("drug_exposure_id", "person_id", "ingredient_concept_id", "drug_exposure_start_date", "era_end_date")
 
 

@@ -38,7 +38,7 @@ from spanpack.operators.quality import (
     reconcile_counts,
     split_valid,
 )
-from spanpack.operators.spread import heavy_keys, spread_join
+from spanpack.operators.spread import heavy_keys, split_by_weight, spread_join
 from spanpack.operators.targets import (
     condition_target,
     dose_target,

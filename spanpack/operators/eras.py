@@ -76,11 +76,14 @@ def condition_era_by_type_columns(e: DataFrame) -> DataFrame:
     )
 
 
-def drug_eras_from_target(target: DataFrame, cfg: EraConfig = EraConfig(), gap: str = "stockpile") -> DataFrame:
-    """E3/E4 over an already built :func:`drug_target`."""
+def drug_eras_from_target(
+    target: DataFrame, cfg: EraConfig = EraConfig(), gap: str = "stockpile", weigh: bool = False
+) -> DataFrame:
+    """E3/E4 over an already built :func:`drug_target`; ``weigh`` for a stored
+    one (see :func:`summarize_eras`)."""
     e = summarize_eras(
         target, DRUG_KEYS, DRUG_START, DRUG_END, cfg.grace_days,
-        id_col=cfg.id_column("drug_exposure_id"), measures=gap_measures(gap),
+        id_col=cfg.id_column("drug_exposure_id"), measures=gap_measures(gap), weigh=weigh,
     )
     return drug_era_columns(e, gap)
 
@@ -168,6 +171,7 @@ def drug_era(
     concept: DataFrame,
     cfg: EraConfig = EraConfig(),
     gap: str = "stockpile",
+    stored_target: DataFrame | None = None,
 ) -> DataFrame:
     """E3/E4: ingredient-level drug eras with ``gap_days``.
 
@@ -175,9 +179,14 @@ def drug_era(
     when supplies overlap). ``gap="covered"``: era length minus the days
     covered by at least one exposure. ``gap="both"`` returns both as
     ``gap_days_stockpile`` and ``gap_days_covered`` from the same single pass.
+
+    ``stored_target`` is the :func:`drug_target` of these sources and this ``cfg``
+    where it was written before, for more than one use: it is read, not built again.
     """
     if gap not in GAP_METHODS:
         raise ValueError(f"gap must be one of {GAP_METHODS}")
+    if stored_target is not None:
+        return drug_eras_from_target(stored_target, cfg, gap, weigh=True)
     t = drug_target(drug_exposure, concept_ancestor, concept, cfg)
     return drug_eras_from_target(t, cfg, gap)
 

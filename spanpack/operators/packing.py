@@ -29,6 +29,11 @@ numbered rows are made from that exchange, and come back to it by an equi-join
 on the same columns, so the source is read once and its rows move once. The
 salt (a hash of the record) cuts a hot ``(key, day)`` into ``ROW_SALTS`` parts.
 
+Over a stored table (``weigh=True``) the keys are counted first, by bucket, in one
+more read of their columns. Records of keys that hold no more than a 1,024th of all
+move once, by their keys, and all else is done where they lie; only those of heavier
+keys take the exchanges above. Both ways give the same rows.
+
 Preconditions: ``start`` and ``end`` are DATE columns and ``end >= start``
 (the target builders quarantine or clamp other rows). Rows with a NULL key,
 start or end are dropped, as the equality joins of the SQL original drop them.
@@ -43,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanpack.functions.dates import covered_days, days_between, opens_new_run
+from spanpack.operators.spread import split_by_weight
 
 # internal column names
 N = "_n"
@@ -278,6 +284,7 @@ def summarize_eras(
     split: str | None = None,
     id_col: str | None = None,
     measures: Sequence[str] = MEASURES,
+    weigh: bool = False,
 ) -> DataFrame:
     """Era table: one row per (keys, run[, split]).
 
@@ -297,9 +304,20 @@ def summarize_eras(
     reported once per split value present in it, with the run's end and the
     earliest start *of that split value* (rows of one run share the end and
     may overlap in time).
+
+    ``weigh`` is for a table that is cheap to read again, as a stored one is:
+    records travel once, by their keys, unless these are heavy.
     """
-    numbered = numbered_day_rows(df, keys, start, end, grace_days, split, id_col, measures)
-    return collapse_eras(numbered, keys, start, split)
+    def eras(rows: DataFrame) -> DataFrame:
+        numbered = numbered_day_rows(rows, keys, start, end, grace_days, split, id_col, measures)
+        return collapse_eras(numbered, keys, start, split)
+
+    if not weigh:
+        return eras(df)
+    keys = _keys(keys)
+    used = list(dict.fromkeys([*keys, start, end, *[c for c in (split, id_col) if c]]))
+    ((light, heavy),) = split_by_weight([drop_null_keys(df, keys, start, end).select(*used)], keys)
+    return eras(light.repartition(*keys)).unionByName(eras(heavy))
 
 
 def era_end_dates(
@@ -383,6 +401,7 @@ def attach_run_ends(
     start: str,
     run_end: str = "era_end_date",
     how: str = "inner",
+    weigh: bool = False,
 ) -> DataFrame:
     """Every record with the earliest of the *given* run ends of its key that
     lies on or after its start, as ``run_end`` (P3 where runs were built, or
@@ -393,11 +412,39 @@ def attach_run_ends(
     A forward as-of join without a range predicate: the start days of the
     records and the ends form one table, and a window in descending order of
     date carries the nearest end to each day. It sees days and ends, bounded
-    by the calendar, and never records."""
+    by the calendar, and never records.
+
+    With ``weigh``, for tables that are cheap to read again, that holds for heavy
+    keys; the records of the others go through the window themselves."""
     keys = _keys(keys)
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     known = drop_null_keys(df, keys, start, start) if how == "inner" else df
+    if not weigh:
+        return _attach_by_day(known, ends, keys, start, run_end, how)
+    given = drop_null_keys(ends, keys, run_end, run_end).select(*keys, run_end)
+    (light, heavy), (light_ends, heavy_ends) = split_by_weight([known, given], keys)
+    rows = _attach_by_record(light, light_ends, keys, start, run_end, how)
+    return rows.unionByName(_attach_by_day(heavy, heavy_ends, keys, start, run_end, how))
+
+
+def _attach_by_record(df: DataFrame, ends: DataFrame, keys: list[str], start: str, run_end: str, how: str) -> DataFrame:
+    """:func:`attach_run_ends` by a window over the records and the ends, which move once."""
+    types = {f.name: f.dataType for f in df.schema}
+    rows = df.withColumn("_end", F.lit(None).cast("date"))
+    end = F.col(run_end).cast("date")
+    others = [F.lit(None).cast(types[c]).alias(c) for c in df.columns if c not in (*keys, start)]
+    given = ends.select(*keys, end.cast(types[start]).alias(start), *others, end.alias("_end"))
+    # of one date, ends come before records
+    order = Window.partitionBy(*keys).orderBy(F.col(start).desc(), F.col("_end").isNull())
+    near = F.last("_end", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # a record without a start comes last; no end lies after it
+    found = rows.unionByName(given).withColumn(run_end, F.when(F.col(start).isNotNull(), near)).where(F.col("_end").isNull())
+    return (found.where(F.col(run_end).isNotNull()) if how == "inner" else found).drop("_end")
+
+
+def _attach_by_day(known: DataFrame, ends: DataFrame, keys: list[str], start: str, run_end: str, how: str) -> DataFrame:
+    """:func:`attach_run_ends` by a window over days and ends, that go back to the dealt records."""
     dealt = _salted(known, keys, start)
     days = drop_null_keys(dealt, keys, start, start).groupBy(*keys, start, SALT).agg(F.lit(None).cast("date").alias("_end"))
     days = days.withColumnRenamed(start, "_date")

@@ -3,10 +3,15 @@
 A hash join sends all records of one key to one task. Here the heavy keys are
 counted first, their records are dealt into parts by a hash, and the lookup rows
 of these keys are repeated once a part; all other keys join as they are.
+
+``split_by_weight`` sets the records of heavy keys apart, for work by key that
+may deal all other records by their key alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +20,10 @@ from pyspark.sql import types as T
 #: than ``PARTS`` keys can be, so the table of them is bounded whatever the input.
 PARTS = 1024
 
-_KEY, _SHARES, _LEFT, _RIGHT = "_heavy_key", "_heavy_shares", "_record_part", "_lookup_part"
+#: Keys are weighed in so many buckets, so their weights are bounded like the keys.
+BUCKETS = 1 << 14
+
+_KEY, _SHARES, _LEFT, _RIGHT, _BUCKET = "_heavy_key", "_heavy_shares", "_record_part", "_lookup_part", "_bucket"
 
 
 def heavy_keys(df: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
@@ -70,3 +78,23 @@ def _has_map(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
         return any(_has_map(f.dataType) for f in dtype.fields)
     return isinstance(dtype, T.MapType)
+
+
+def split_by_weight(
+    tables: Sequence[DataFrame], keys: Sequence[str], counted: Sequence[DataFrame] | None = None, parts: int = PARTS
+) -> list[tuple[DataFrame, DataFrame]]:
+    """(light, heavy) rows of each table. Heavy are the keys of a bucket with more
+    than ``1 / parts`` of the rows of all tables, so no light key has more than that.
+
+    Keys are counted by bucket, merged map-side, in one more read of their columns
+    (of ``counted`` if given): the tables should be cheap to read, as stored ones are.
+    A key is light or heavy in all tables alike."""
+    bucket = F.pmod(F.hash(*[_quoted(k) for k in keys]), F.lit(BUCKETS))
+    weighed = [t.select(bucket.alias(_BUCKET)) for t in (tables if counted is None else counted)]
+    every = weighed[0]
+    for w in weighed[1:]:
+        every = every.union(w)
+    heavy = F.broadcast(heavy_keys(every, _BUCKET, parts).select(_KEY))
+    marked = [t.withColumn(_BUCKET, bucket) for t in tables]
+    same = F.col(_BUCKET) == F.col(_KEY)
+    return [(t.join(heavy, same, "left_anti").drop(_BUCKET), t.join(heavy, same, "left_semi").drop(_BUCKET)) for t in marked]

@@ -99,10 +99,11 @@ def drug_exposure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _exposures_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`drug_exposure` with the key of the order, never NULL, as ``_order``."""
-    l = read(spark, sf_dir, "lineitem")
+    # the day goes through the join, not the time it is taken from
+    l = read(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     x = l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-    start = F.to_date("l_shipdate")
+    start = F.col("l_shipdate")
     qty = F.col("l_quantity").cast("int")
     exposure_id = F.concat_ws(
         "|",

@@ -45,9 +45,11 @@ def publish_version(
     batch: str | None = None,
     fmt: str = "parquet",
     sort_within: Sequence[str] | None = ("person_id",),
+    compression: str | None = None,
 ) -> str | None:
     """Write ``df`` as a new version of the target under ``path`` and commit it.
-    Returns the version, or None where ``batch`` was there already."""
+    Returns the version, or None where ``batch`` was there already. ``compression``
+    names a codec of ``fmt``; without it Spark's setting holds."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be overwrite or append")
     spark = df.sparkSession
@@ -57,7 +59,8 @@ def publish_version(
     seq = max((c["seq"] for c in current), default=0) + 1
     version = f"v{seq}-{uuid.uuid4().hex[:8]}"
     rows = df.sortWithinPartitions(*sort_within) if sort_within else df
-    rows.write.mode("errorifexists").format(fmt).save(f"{path}/data/{version}")
+    options = {"compression": compression} if compression else {}
+    rows.write.mode("errorifexists").format(fmt).options(**options).save(f"{path}/data/{version}")
     commit = spark.createDataFrame([(seq, mode, version, batch)], COMMIT).coalesce(1)
     commit.write.mode("append").json(f"{path}/commits")
     return version
