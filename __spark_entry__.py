@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Callable
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanpack import (
@@ -277,14 +277,19 @@ def _attach_stored_eras(spark: SparkSession, d: str) -> DataFrame:
     return out.select("drug_exposure_id", "person_id", "ingredient_concept_id", "drug_exposure_start_date", "era_end_date")
 
 
-def _drug_audit(spark: SparkSession, d: str, eras: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _drug_audit(spark: SparkSession, d: str, lost: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """The records of each key, and what a stored table of their eras says, less those ``lost``."""
     srcs = _repeated_drugs(spark, d)
-    expected = record_counts(drug_target(*srcs), DRUG_KEYS, DRUG_RECORD)
+    target = _stored_target(spark, srcs)
+    eras = drug_era(*srcs, stored_target=target)
+    if lost is not None:
+        eras = eras.withColumn("drug_exposure_count", F.col("drug_exposure_count") - lost)
+    expected = record_counts(target, DRUG_KEYS, DRUG_RECORD, weigh=True)
     return expected, stored_counts(_stored(spark, eras, "drug_era"), DRUG_KEYS, "drug_exposure_count", STORED_DRUG)
 
 
 def _stored_drug_era_audit(spark: SparkSession, d: str) -> DataFrame:
-    return audit_summary(*_drug_audit(spark, d, drug_era(*_repeated_drugs(spark, d))), DRUG_KEYS)
+    return audit_summary(*_drug_audit(spark, d), DRUG_KEYS)
 
 
 def _stored_condition_era_audit(spark: SparkSession, d: str) -> DataFrame:
@@ -298,8 +303,7 @@ def _stored_condition_era_audit(spark: SparkSession, d: str) -> DataFrame:
 def _stored_drug_era_faults(spark: SparkSession, d: str) -> DataFrame:
     """A stored table that counts one too few for some persons: the audit finds which."""
     short = (F.col("person_id") % LOST_MOD == 0).cast("int")
-    eras = drug_era(*_repeated_drugs(spark, d)).withColumn("drug_exposure_count", F.col("drug_exposure_count") - short)
-    return differing_keys(*_drug_audit(spark, d, eras), DRUG_KEYS)
+    return differing_keys(*_drug_audit(spark, d, short), DRUG_KEYS)
 
 
 def _condition_era_appended_twice(spark: SparkSession, d: str) -> DataFrame:

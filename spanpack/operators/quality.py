@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from spanpack.config import EraConfig
 from spanpack.functions.dates import condition_end_date, drug_end_date
+from spanpack.operators.spread import split_by_weight
 from spanpack.operators.targets import (
     COND_END,
     COND_START,
@@ -171,10 +172,19 @@ def reconcile_counts(
 AUDIT_BUCKETS = 4096
 
 
-def record_counts(target: DataFrame, keys: Sequence[str], record: Sequence[str]) -> DataFrame:
-    """(keys, ``n``): each key's records, those that repeat ``record`` once."""
-    once = target.select(*record).distinct()
-    return once.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def record_counts(target: DataFrame, keys: Sequence[str], record: Sequence[str], weigh: bool = False) -> DataFrame:
+    """(keys, ``n``): each key's records, those that repeat ``record`` once.
+
+    ``record`` takes in the keys. ``weigh`` is for a target that is cheap to read
+    again, as a stored one is: its rows travel once, by their keys, unless these are heavy."""
+    def counts(rows: DataFrame) -> DataFrame:
+        return rows.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+    rows = target.select(*record)
+    if not weigh:
+        return counts(rows)
+    ((light, heavy),) = split_by_weight([rows], keys)
+    return counts(light.repartition(*keys)).unionByName(counts(heavy))
 
 
 def stored_counts(era: DataFrame, keys: Sequence[str], count_col: str, rename: dict[str, str] | None = None) -> DataFrame:

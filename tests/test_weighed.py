@@ -14,6 +14,7 @@ from conftest import SF0001
 from spanpack import attach_run_ends, drug_era, drug_target, summarize_eras
 from spanpack.operators import split_by_weight
 from spanpack.operators.packing import era_end_dates
+from spanpack.operators.quality import record_counts
 from spanpack.operators.spread import PARTS
 from spanpack.plans.inspect import scan_details
 from spanpack.sources import fixtures as fx
@@ -94,6 +95,17 @@ def test_given_ends_are_the_same_by_either_way(spark, how):
     assert _rows(attach_run_ends(df, ends, KEYS, "s", how=how)) == want
 
 
+def test_record_counts_are_the_same_by_either_way(spark):
+    rows = _records(3)
+    record = [*KEYS, "s", "e", "id"]
+    df = _frame(spark, rows)
+    want = Counter((k, g) for k, g, *_ in {(k, g, s, e, i) for k, g, i, _, s, e in rows})
+    for weigh in (False, True):
+        got = record_counts(df, KEYS, record, weigh=weigh)
+        assert got.columns == [*KEYS, "n"] and {(r["k"], r["g"]): r["n"] for r in got.collect()} == want
+        assert got.count() == len(want)
+
+
 def _final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
@@ -123,6 +135,6 @@ def test_a_stored_target_gives_the_same_eras(spark, tmp_out):
 
 def test_the_target_is_built_once_for_the_stored_queries(spark):
     """What is held against the stored eras is read from the stored target, whose join ran before."""
-    for name in ("attach_stored_eras",):
+    for name in ("attach_stored_eras", "stored_drug_era_audit", "stored_drug_era_faults"):
         schemas = [s["ReadSchema"] for s in scan_details(entry._QUERIES[name](spark, SF0001))]
         assert any("drug_exposure_id" in s for s in schemas) and not any("l_orderkey" in s for s in schemas), (name, schemas)
